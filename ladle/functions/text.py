@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ladle.functions import fixed
 
-_WORD = r"[\p{L}\p{M}\p{N}_]"
+_WORD = r"[\p{L}\p{N}_]"
 _SPACE = r"(?U)\s+"
 # Separators and the characters an item line may keep.
 LINE_BREAKS = r"[\n;]+"
@@ -71,7 +71,7 @@ def model_text(c: Column, drop_words: Sequence[str] = tuple(fixed.UNIT_WORDS)) -
     """Lower case, standalone numbers and unit words removed, white space collapsed; NULL becomes ''."""
     start, end = f"(?<!{_WORD})", f"(?!{_WORD})"
     text = F.lower(F.coalesce(c, F.lit("")))
-    text = F.regexp_replace(text, start + r"\d+(?:\.\d+)?" + end, " ")
+    text = F.regexp_replace(text, start + r"\p{Nd}+(?:\.\p{Nd}+)?" + end, " ")
     text = F.regexp_replace(text, start + "(?:" + "|".join(drop_words) + ")" + end, " ")
     return squeeze(text)
 
