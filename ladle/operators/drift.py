@@ -16,24 +16,27 @@ def drift_columns(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], lis
     return [c for c in columns if c in df.columns], [c for c in columns if c not in df.columns]
 
 
-def _stack(df: DataFrame, columns: Sequence[str], current: bool) -> DataFrame:
+def _stack(df: DataFrame, columns: Sequence[str], current: bool, groups: Sequence[str] = ()) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-    return df.select(F.explode(pairs).alias("p")).select(
-        "p.column", "p.v", F.lit(1 if current else 0).cast("bigint").alias("cur"),
+    return df.select(*groups, F.explode(pairs).alias("p")).select(
+        *groups, "p.column", "p.v", F.lit(1 if current else 0).cast("bigint").alias("cur"),
         F.lit(0 if current else 1).cast("bigint").alias("ref"),
     ).where(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def _steps(current: DataFrame, reference: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _steps(
+    current: DataFrame, reference: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
+) -> DataFrame:
     """Both empirical distribution functions at every distinct value of every column."""
-    both = _stack(reference, columns, False).unionByName(_stack(current, columns, True))
-    ranks = value_ranks(both, "v", ["column"], {"cur": F.col("cur"), "ref": F.col("ref")})
+    both = _stack(reference, columns, False, groups).unionByName(_stack(current, columns, True, groups))
+    ranks = value_ranks(both, "v", [*groups, "column"], {"cur": F.col("cur"), "ref": F.col("ref")})
 
     def share(x: str) -> Column:
-        return (F.col(f"before_{x}") + F.col(x)).cast("double") / F.nullif(F.col(f"total_{x}").cast("double"), F.lit(0.0))
+        total = F.nullif(F.col(f"total_{x}").cast("double"), F.lit(0.0))
+        return (F.col(f"before_{x}") + F.col(x)).cast("double") / total
 
     return ranks.select(
-        "column", "v", "next_value", "n", "cur", "ref", "total_cur", "total_ref",
+        *groups, "column", "v", "next_value", "n", "cur", "ref", "total_cur", "total_ref",
         (share("cur") - share("ref")).alias("gap"),
     )
 
@@ -53,18 +56,37 @@ def kolmogorov_p(d: Column, n: Column, m: Column, terms: int = 101) -> Column:
     return F.when(x < 0.2, F.lit(1.0)).otherwise(p)
 
 
-def ks_drift(
-    current: DataFrame, reference: DataFrame, columns: Sequence[str], alpha: float = fixed.P_DRIFTED
+def _summary(
+    current: DataFrame, reference: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
 ) -> DataFrame:
-    """Kolmogorov-Smirnov per column: sizes, statistic, p-value and the decision ``p < alpha``."""
-    stats = _steps(current, reference, columns).groupBy("column").agg(
+    """Per column: sizes, largest gap with its p-value, and the area between both distribution functions
+    over the reference deviation. Both tests come from one rank table."""
+    keys = [*groups, "column"]
+    base = _steps(current, reference, columns, groups).groupBy(*keys).agg(
         F.max("total_cur").alias("n_current"),
         F.max("total_ref").alias("n_reference"),
-        F.max(F.abs("gap")).alias("statistic"),
+        F.max(F.abs("gap")).alias("ks_statistic"),
+        F.coalesce(F.sum(F.abs("gap") * (F.col("next_value") - F.col("v"))), F.lit(0.0)).alias("area"),
     )
-    p = kolmogorov_p(F.col("statistic"), F.col("n_current"), F.col("n_reference"))
-    return stats.withColumn("p_value", p).withColumn(
-        "drifted", F.coalesce(F.col("p_value") < alpha, F.lit(False))
+    dev = _stack(reference, columns, False).groupBy("column").agg(F.stddev_pop("v").alias("dev"))
+    p = kolmogorov_p(F.col("ks_statistic"), F.col("n_current"), F.col("n_reference"))
+    return base.join(dev, "column").select(
+        *keys, "n_current", "n_reference", "ks_statistic", p.alias("ks_p_value"),
+        (F.col("area") / F.greatest(F.col("dev"), F.lit(0.001))).alias("distance"),
+    )
+
+
+def _below(c: str, alpha: float) -> Column:
+    return F.coalesce(F.col(c) < alpha, F.lit(False))
+
+
+def ks_drift(
+    current: DataFrame, reference: DataFrame, columns: Sequence[str], alpha: float = fixed.P_DRIFTED
+) -> DataFrame:
+    """Kolmogorov-Smirnov per column: sizes, statistic, p-value and the decision ``p < alpha``."""
+    return _summary(current, reference, columns).select(
+        "column", "n_current", "n_reference", F.col("ks_statistic").alias("statistic"),
+        F.col("ks_p_value").alias("p_value"), _below("ks_p_value", alpha).alias("drifted"),
     )
 
 
@@ -72,14 +94,8 @@ def wasserstein_drift(
     current: DataFrame, reference: DataFrame, columns: Sequence[str], at_least: float = fixed.DISTANCE_DRIFTED
 ) -> DataFrame:
     """Area between both distribution functions over the reference deviation; drifted from ``at_least``."""
-    steps = _steps(current, reference, columns)
-    area = steps.groupBy("column").agg(
-        F.coalesce(F.sum(F.abs("gap") * (F.col("next_value") - F.col("v"))), F.lit(0.0)).alias("distance")
-    )
-    dev = _stack(reference, columns, False).groupBy("column").agg(F.stddev_pop("v").alias("dev"))
-    value = F.col("distance") / F.greatest(F.col("dev"), F.lit(0.001))
-    return area.join(dev, "column").select(
-        "column", value.alias("statistic"), (value >= at_least).alias("drifted")
+    return _summary(current, reference, columns).select(
+        "column", F.col("distance").alias("statistic"), (F.col("distance") >= at_least).alias("drifted")
     )
 
 
@@ -88,27 +104,30 @@ def drift_report(
     reference: DataFrame,
     columns: Sequence[str],
     small: int = 1000,
+    groups: Sequence[str] = (),
 ) -> DataFrame:
     """Per column: the method by reference size (K-S up to ``small`` rows, distance above) and its decision.
 
-    The method is part of the result, so a distance is never read as a p-value.
+    The method is part of the result, so a distance is never read as a p-value. ``groups`` name columns of
+    both tables that separate several comparisons made in one pass.
     """
-    ks = ks_drift(current, reference, columns).select(
-        "column", "n_reference", F.col("p_value").alias("ks_value"), F.col("drifted").alias("ks_drifted"))
-    ws = wasserstein_drift(current, reference, columns).withColumnRenamed("statistic", "ws_value")
     use_ks = F.col("n_reference") <= small
-    return ks.join(ws, "column").select(
+    return _summary(current, reference, columns, groups).select(
+        *groups,
         "column",
         F.when(use_ks, "ks_p_value").otherwise("wasserstein_normed").alias("method"),
-        F.when(use_ks, F.col("ks_value")).otherwise(F.col("ws_value")).alias("value"),
-        F.when(use_ks, F.col("ks_drifted")).otherwise(F.col("drifted")).alias("drifted"),
+        F.when(use_ks, F.col("ks_p_value")).otherwise(F.col("distance")).alias("value"),
+        F.when(use_ks, _below("ks_p_value", fixed.P_DRIFTED))
+        .otherwise(F.col("distance") >= fixed.DISTANCE_DRIFTED).alias("drifted"),
     )
 
 
-def dataset_drift(per_column: DataFrame, above: float = fixed.SHARE_DRIFTED) -> DataFrame:
+def dataset_drift(
+    per_column: DataFrame, above: float = fixed.SHARE_DRIFTED, groups: Sequence[str] = ()
+) -> DataFrame:
     """Share of drifted columns and the verdict ``share > above``."""
     share = F.avg(F.col("drifted").cast("double"))
-    return per_column.agg(
+    return per_column.groupBy(*groups).agg(
         share.alias("drifted_column_share"),
         F.coalesce(share > above, F.lit(False)).alias("dataset_drift_detected"),
     )

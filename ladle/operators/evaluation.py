@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from ladle.operators.ordering import exact_quantiles, value_ranks
 from ladle.operators.skew import join_same
+from ladle.session import materialize
 
 _WIDE = "decimal(38,0)"
 
@@ -83,7 +84,11 @@ def evaluate(
     k: int = 5,
     tie: str = "id",
 ) -> DataFrame:
-    """One row: sample count, positive rate, AUC, precision@k, k, and macro precision@k over groups."""
+    """One row: sample count, positive rate, AUC, precision@k, k, and macro precision@k over groups.
+
+    The predictions are stored once as a narrow table, which every metric then reads.
+    """
+    df = materialize(df.select(*dict.fromkeys([label, score, tie, *([group] if group else [])])), "predictions")
     out = df.agg(
         F.count(F.lit(1)).alias("n_samples"),
         F.avg(F.col(label).cast("double")).alias("positive_rate"),

@@ -8,6 +8,7 @@ whatever the cell bounds are. Only the quality of the bounds, never the result,
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,18 +16,21 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ladle.operators.skew import join_same
-from ladle.session import range_buckets
+from ladle.session import materialize, range_buckets
 
 _SAMPLE_PER_BUCKET = 32
+ONE_CELL_ROWS = 50_000
 
 
-def _bounds(keys: DataFrame, buckets: int) -> Column:
+def _bounds(keys: DataFrame, buckets: int, distinct: int | None = None) -> Column:
     """Cut points over the distinct values of the single column ``k``, as a constant array.
 
     A uniform sample of distinct values is taken by hash, so a value carried by a third of the rows
     counts once. The driver only sees the cut points (fewer than ``buckets``).
     """
-    distinct = keys.agg(F.approx_count_distinct(F.xxhash64("k"))).first()[0]
+    kind = T.ArrayType(keys.schema["k"].dataType)
+    if distinct is None:
+        distinct = keys.agg(F.approx_count_distinct(F.xxhash64("k"))).first()[0]
     stride = max(1, distinct // (buckets * _SAMPLE_PER_BUCKET))
     sample = keys.where(F.pmod(F.xxhash64("k"), F.lit(stride)) == 0).distinct().limit(
         buckets * _SAMPLE_PER_BUCKET * 4
@@ -44,7 +48,6 @@ def _bounds(keys: DataFrame, buckets: int) -> Column:
             )
         )
     ).first()[0]
-    kind = T.ArrayType(keys.schema["k"].dataType)
     return F.from_json(F.lit(picked), kind)
 
 
@@ -110,6 +113,15 @@ def row_positions(
     return positions_in_cells(celled, "__cell", key, groups, name).drop("__cell")
 
 
+@dataclass(frozen=True)
+class Ranks:
+    """Rank table with what is known about its size: distinct (group, value) pairs and the largest count."""
+
+    table: DataFrame
+    distinct: int
+    largest: int
+
+
 def value_ranks(
     df: DataFrame,
     value: str,
@@ -123,18 +135,44 @@ def value_ranks(
     ``total_<x>`` = total of the group; ``next_value`` = the next larger value. NULL values are left out.
     Rows are combined per value before the shuffle, so a hot value costs one row per map task.
     """
+    return measured_ranks(df, value, groups, sums, buckets).table
+
+
+def measured_ranks(
+    df: DataFrame,
+    value: str,
+    groups: Sequence[str] = (),
+    sums: Mapping[str, Column] | None = None,
+    buckets: int | None = None,
+    one_cell: int = ONE_CELL_ROWS,
+) -> Ranks:
+    """``value_ranks`` with its measured size.
+
+    The input is read once: counts per value are stored, and everything after works on that table. Up to
+    ``one_cell`` distinct values, counted, fit one task; more are cut into range cells.
+    """
     buckets = buckets or range_buckets(df.sparkSession)
     groups = list(groups)
     sums = dict(sums or {})
     names = ["n", *sums]
-    present = df.where(F.col(value).isNotNull())
-    key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
-    bounds = _bounds(present.select(key.alias("k")), buckets)
-    per_value = (
-        present.groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(s) for s, c in sums.items()])
-        .withColumn("__cell", _cell(key, bounds, buckets))
+    stored = materialize(
+        df.where(F.col(value).isNotNull())
+        .groupBy(*groups, value)
+        .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(s) for s, c in sums.items()]),
+        "per-value",
     )
+    size = stored.agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("m")).first()
+    key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
+    if size["d"] <= one_cell:
+        per_value = stored.withColumn("__cell", F.lit(0))
+    else:
+        bounds = _bounds(stored.select(key.alias("k")), buckets, size["d"])
+        per_value = stored.withColumn("__cell", _cell(key, bounds, buckets))
+    return Ranks(_running(per_value, value, groups, names), size["d"], size["m"] or 0)
+
+
+def _running(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:
+    """Running totals over celled per-value rows: inside the cell, plus the totals of earlier cells."""
     cells = per_value.groupBy(*groups, "__cell").agg(
         *[F.sum(x).alias(f"__t_{x}") for x in names], F.min(value).alias("__first")
     )

@@ -8,6 +8,7 @@ from ladle.functions.flags import binary_label
 from ladle.operators import dedupe, evaluation, popularity, ranks, sampling
 from ladle.plans import inputs
 from ladle.plans.catalog.registry import query, rounded
+from ladle.session import materialize
 from ladle.plans.inputs import ITEMS_SQL, LABELLED_SQL, RATINGS_SQL
 
 SPLIT_CTE = """ordered AS (
@@ -25,6 +26,11 @@ def _split(spark, sf):
     return sampling.stratified_split(inputs.ratings(spark, sf), "label", "id")
 
 
+def _stored_split(spark, sf):
+    """The split as the table later stages read."""
+    return materialize(_split(spark, sf).select("id", "rating", "label", "grp", "split"), "split")
+
+
 @query("popularity_ranking", """
 SELECT a.n_samples, a.roc_auc, g.macro_avg_precision_at_k, g.num_groups FROM (
   SELECT count(*) AS n_samples,
@@ -43,7 +49,7 @@ scored AS (
   FROM parts p LEFT JOIN fitted f USING (grp) WHERE split = 'val')"""))
 def popularity_ranking(spark, sf):
     """Flagship: label, split, fit group means on train, score val, AUC and grouped precision@5."""
-    split = _split(spark, sf)
+    split = _stored_split(spark, sf)
     model = popularity.fit_popularity(split.where("split = 'train'"), "grp", "rating")
     scored = model.score(split.where("split = 'val'").select("id", "label", "grp"))
     out = evaluation.evaluate(rounded(scored, "score", digits=9), "grp")
@@ -125,7 +131,7 @@ FROM parts p LEFT JOIN fitted f USING (grp) WHERE split <> 'train'""",
        (RATINGS_SQL, SPLIT_CTE, """fitted AS (
   SELECT grp, avg(rating) AS m, stddev_samp(rating) AS s FROM parts WHERE split = 'train' GROUP BY grp)"""))
 def group_zscore(spark, sf):
-    split = _split(spark, sf)
+    split = _stored_split(spark, sf)
     model = popularity.fit_popularity(split.where("split = 'train'"), "grp", "rating")
     rest = split.where("split <> 'train'").select("id", "grp", "rating")
     return rounded(model.zscore(rest, "rating"), "zscore").select("id", "zscore")
@@ -146,7 +152,7 @@ FROM parts p LEFT JOIN fitted f USING (grp) WHERE split = 'val'""",
        (RATINGS_SQL, SPLIT_CTE, """fitted AS (
   SELECT grp, avg(rating) AS m FROM parts WHERE split = 'train' GROUP BY grp)"""))
 def popularity_score(spark, sf):
-    split = _split(spark, sf)
+    split = _stored_split(spark, sf)
     model = popularity.fit_popularity(split.where("split = 'train'"), "grp", "rating")
     return rounded(model.score(split.where("split = 'val'").select("id", "label", "grp")), "score").drop("grp")
 

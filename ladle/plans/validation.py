@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ladle.functions import fixed
 from ladle.operators import drift, evaluation, inject, quality, ranks
 from ladle.operators.dedupe import dedupe_first
+from ladle.session import materialize
 
 # Scenarios and whether each must be noticed.
 EXPECTED = {
@@ -39,19 +40,21 @@ def alert_verification(
     expected: Mapping[str, bool] = EXPECTED,
 ) -> DataFrame:
     """Inject every fault, run quality checks and drift tests on each, and compare with what was injected."""
-    spark = clean.sparkSession
-    results = None
-    for name, faulty in scenarios(clean, seed).items():
-        issues = quality.batch_findings(faulty, clean, order).agg(F.count(F.lit(1)).alias("quality_check_issues"))
-        present, _ = drift.drift_columns(faulty, columns)
-        if len(present) == len(columns):
-            found = drift.dataset_drift(drift.drift_report(faulty, clean, present))
-            detected = found.select("dataset_drift_detected").scalar()
-        else:
-            detected = F.lit(None).cast("boolean")  # a changed schema cannot be compared
-        row = issues.withColumns({"scenario": F.lit(name), "dataset_drift_detected": detected})
-        results = row if results is None else results.unionByName(row)
-    return drift.verify_alerts(results, expected)
+    faulty = scenarios(clean, seed)
+    issues = None
+    comparable = None
+    for name, batch in faulty.items():
+        row = quality.batch_findings(batch, clean, order).agg(F.count(F.lit(1)).alias("quality_check_issues"))
+        row = row.withColumn("scenario", F.lit(name))
+        issues = row if issues is None else issues.unionByName(row)
+        if not drift.drift_columns(batch, columns)[1]:  # a changed schema cannot be compared
+            part = batch.select(F.lit(name).alias("scenario"), *columns)
+            comparable = part if comparable is None else comparable.unionByName(part)
+    names = [n for n, b in faulty.items() if not drift.drift_columns(b, columns)[1]]
+    reference = clean.select(F.explode(F.array(*[F.lit(n) for n in names])).alias("scenario"), *columns)
+    report = drift.drift_report(comparable, reference, columns, groups=["scenario"])
+    found = drift.dataset_drift(report, groups=["scenario"]).drop("drifted_column_share")
+    return drift.verify_alerts(issues.join(found, "scenario", "left"), expected)
 
 
 def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str, order: Sequence) -> DataFrame:
@@ -72,9 +75,9 @@ def production_validation(
 
     ``score_batches`` gets the rows with ``batch_id`` and returns ``(key, score, ...)``.
     """
-    batched = ranks.batches(rows, list(order), batch_size)
+    batched = materialize(ranks.batches(rows, list(order), batch_size), "batched")
     predicted = score_batches(batched)
-    joined = attach_predictions(rows, predicted, key, ["score"])
+    joined = materialize(attach_predictions(rows, predicted, key, ["score"]), "predicted")
     scored = joined.where(F.col("predicted_score").isNotNull())
     auc = evaluation.roc_auc(scored, "label", "predicted_score").scalar()
     out = joined.agg(
