@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CELL_DIGITS = 4
+CELL_DIGITS = 3
 
 
 def seeded_hash(key: Column, seed: Column | int | str) -> Column:

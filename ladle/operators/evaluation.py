@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ladle.operators.ordering import exact_quantiles, value_ranks
-from ladle.operators.skew import join_same
 from ladle.session import materialize
 
 _WIDE = "decimal(38,0)"
@@ -62,7 +61,7 @@ def grouped_precision_at_k(
     best = known.select(group, label, score, tie).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
     top = best.groupBy(group).agg((F.sum(label) / F.count(F.lit(1))).cast("double").alias("precision_at_k"))
     sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
-    return join_same(sizes, top, [group], "inner").select(group, "precision_at_k", "group_size")
+    return sizes.join(top, group).select(group, "precision_at_k", "group_size")
 
 
 def macro_precision(per_group: DataFrame) -> DataFrame:
@@ -109,6 +108,7 @@ def evaluate(
 
 def fold_summary(df: DataFrame, model: str = "model", value: str = "auc") -> DataFrame:
     """Mean, population deviation, exact median, extremes and count of fold scores per model."""
+    df = df.where(F.col(model).isNotNull())
     base = df.groupBy(model).agg(
         F.avg(value).alias("mean_auc"),
         F.stddev_pop(value).alias("std_auc"),
@@ -117,7 +117,7 @@ def fold_summary(df: DataFrame, model: str = "model", value: str = "auc") -> Dat
         F.count(value).alias("n_folds"),
     )
     median = exact_quantiles(df, value, {"median_auc": 0.5}, [model], "linear")
-    return join_same(base, median, [model], "left").select(
+    return base.join(median, model, "left").select(
         model, "mean_auc", "std_auc", "median_auc", "min_auc", "max_auc", "n_folds"
     )
 

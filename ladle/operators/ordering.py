@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ladle.operators.skew import join_same
 from ladle.session import materialize, range_buckets
 
 _SAMPLE_PER_BUCKET = 32
@@ -73,22 +72,41 @@ def order_key(order: Sequence[str | tuple[str, str]]) -> Column:
     return F.struct(*parts)
 
 
+def _solid(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Group columns as never-NULL key columns, so windows and joins on them share one shuffle."""
+    cols: dict[str, Column] = {}
+    for i, g in enumerate(groups):
+        kind = df.schema[g].dataType
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            blank = F.lit("1970-01-01").cast(kind)
+        elif isinstance(kind, T.StringType):
+            blank = F.lit("")
+        else:
+            blank = F.lit(0).cast(kind)
+        cols[f"__g{i}"] = F.coalesce(F.col(g), blank)
+        cols[f"__z{i}"] = F.col(g).isNull()
+    return (df.withColumns(cols) if cols else df), list(cols)
+
+
 def positions_in_cells(
     df: DataFrame, cell: str, order: Column, groups: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
-    """1-based position in ``order`` per group, given a ``cell`` column that grows with the order."""
-    groups = list(groups)
-    local = df.withColumn(name, F.row_number().over(Window.partitionBy(*groups, cell).orderBy(order)))
-    earlier = Window.partitionBy(*groups).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    """1-based position in ``order`` per group, given a ``cell`` column that grows with the order.
+
+    The window over (group, cell) is the only move of the rows; the offsets arrive by a join on the same keys.
+    """
+    keyed, keys = _solid(df, list(groups))
+    local = keyed.withColumn(name, F.row_number().over(Window.partitionBy(*keys, cell).orderBy(order)))
+    earlier = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        df.groupBy(*groups, cell)
+        keyed.groupBy(*keys, cell)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*groups, cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+        .select(*keys, cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
     )
     return (
-        join_same(local, offsets, [*groups, cell], "inner")
+        local.join(offsets, [*keys, cell])
         .withColumn(name, (F.col(name) + F.col("__off")).cast("bigint"))
-        .drop("__off")
+        .select(*df.columns, name)
     )
 
 
@@ -173,27 +191,28 @@ def measured_ranks(
 
 def _running(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:
     """Running totals over celled per-value rows: inside the cell, plus the totals of earlier cells."""
-    cells = per_value.groupBy(*groups, "__cell").agg(
+    keyed, keys = _solid(per_value, groups)
+    cells = keyed.groupBy(*keys, "__cell").agg(
         *[F.sum(x).alias(f"__t_{x}") for x in names], F.min(value).alias("__first")
     )
-    ordered = Window.partitionBy(*groups).orderBy("__cell")
+    ordered = Window.partitionBy(*keys).orderBy("__cell")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
+    whole = Window.partitionBy(*keys)
     offsets = cells.select(
-        *groups,
+        *keys,
         "__cell",
         *[F.coalesce(F.sum(f"__t_{x}").over(earlier), F.lit(0)).alias(f"__o_{x}") for x in names],
         *[F.sum(f"__t_{x}").over(whole).alias(f"total_{x}") for x in names],
         F.lead("__first").over(ordered).alias("__next"),
     )
-    inside = Window.partitionBy(*groups, "__cell").orderBy(value)
+    inside = Window.partitionBy(*keys, "__cell").orderBy(value)
     running = inside.rowsBetween(Window.unboundedPreceding, -1)
-    local = per_value.select(
+    local = keyed.select(
         "*",
         *[F.coalesce(F.sum(x).over(running), F.lit(0)).alias(f"__l_{x}") for x in names],
         F.lead(value).over(inside).alias("__lead"),
     )
-    return join_same(local, offsets, [*groups, "__cell"], "inner").select(
+    return local.join(offsets, [*keys, "__cell"]).select(
         *groups,
         value,
         *names,

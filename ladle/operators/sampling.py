@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from ladle.functions.hashing import hash_cell, seeded_hash
 from ladle.operators.ordering import positions_in_cells
-from ladle.operators.skew import attach, join_same
+from ladle.operators.skew import attach
 
 
 def hash_cutoffs(
@@ -23,7 +23,8 @@ def hash_cutoffs(
 ) -> DataFrame:
     """Per stratum, the hash of the k-th row for every named quota (an expression over ``total``).
 
-    A quota of 0 gives NULL. The result has one row per stratum.
+    A quota of 0 gives NULL. The result has one row per stratum. The k-th row's cell is found from counts;
+    only the rows of those few cells are sorted, and the table is scanned in place.
     """
     strata = list(strata)
     hashed = df.select(*strata, F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")).alias("o"))
@@ -43,7 +44,7 @@ def hash_cutoffs(
         ])).alias("w"),
     ).select(*strata, "cell", F.col("w.quota").alias("quota"), (F.col("w.k") - F.col("before")).alias("at"),
              "n").where((F.col("at") > 0) & (F.col("at") <= F.col("n"))).drop("n")
-    inside = join_same(hashed, wanted, [*strata, "cell"], "inner")
+    inside = attach(hashed, wanted, [*strata, "cell"], "inner")
     rank = F.row_number().over(Window.partitionBy(*strata, "cell", "quota").orderBy("o"))
     cut = inside.withColumn("__rn", rank).where(F.col("__rn") == F.col("at"))
     found = cut.groupBy(*strata).agg(

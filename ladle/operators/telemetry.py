@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ladle.operators.ordering import exact_quantiles
 from ladle.operators.ranks import latest
-from ladle.operators.skew import join_same
 
 
 def counters(status: str = "status_code") -> list[Column]:
@@ -35,7 +34,7 @@ def telemetry_by_path(log: DataFrame, latency: str = "latency_ms", status: str =
         n.alias("count"), bad.alias("error_count"), F.round(F.avg(latency), 2).alias("mean_latency_ms")
     )
     q = exact_quantiles(keyed, latency, {"p95_latency_ms": 0.95}, ["endpoint"])
-    return join_same(base, q.withColumn("p95_latency_ms", F.round("p95_latency_ms", 2)), ["endpoint"])
+    return base.join(q.withColumn("p95_latency_ms", F.round("p95_latency_ms", 2)), "endpoint", "left")
 
 
 def recent_requests(log: DataFrame, n: int = 2000, order: str = "ts", tie: str = "event_id") -> DataFrame:
