@@ -82,15 +82,21 @@ def words(c: Column) -> Column:
 
 
 def word_ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All n-grams of ``low..high`` tokens, joined by one blank."""
-    def of(n: int) -> Column:
+    """All n-grams of ``low..high`` tokens, joined by one blank.
+
+    The token list is bound once as a lambda variable; used directly inside the inner lambda it would be
+    computed again for every n-gram.
+    """
+    def of(toks: Column, n: int) -> Column:
         if n == 1:
-            return tokens
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
+            return toks
+        starts = F.when(F.size(toks) >= n, F.sequence(F.lit(0), F.size(toks) - n)).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(toks, i + j) for j in range(n)]))
 
-    return F.concat(*[of(n) for n in range(low, high + 1)]) if low < high else of(low)
+    return F.flatten(F.transform(
+        F.array(tokens), lambda toks: F.concat(*[of(toks, n) for n in range(low, high + 1)])
+    ))
 
 
 def char_ngrams(c: Column, low: int, high: int) -> Column:
