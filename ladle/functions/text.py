@@ -109,14 +109,14 @@ def char_ngrams(c: Column, low: int, high: int) -> Column:
         lambda w: F.concat(F.lit(" "), w, F.lit(" ")),
     )
 
+    none = F.array().cast("array<string>")
+
+    def of(w: Column, n: int) -> Column:
+        last = F.char_length(w) - n + 1
+        return F.when(last > 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(w, i, n))).otherwise(none)
+
     def windows(w: Column) -> Column:
-        size = F.char_length(w)
-        parts = [
-            F.when(size > n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(w, i, n)))
-            .otherwise(F.array().cast("array<string>"))
-            for n in range(low, high + 1)
-        ]
-        whole = F.when(size <= high, F.array(w)).otherwise(F.array().cast("array<string>"))
-        return F.concat(*parts, whole)
+        whole = F.when(F.char_length(w) <= high, F.array(w)).otherwise(none)
+        return F.concat(*[of(w, n) for n in range(low, high + 1)], whole)
 
     return F.flatten(F.transform(padded, windows))
