@@ -21,15 +21,13 @@ _SAMPLE_PER_BUCKET = 32
 ONE_CELL_ROWS = 50_000
 
 
-def _bounds(keys: DataFrame, buckets: int, distinct: int | None = None) -> Column:
+def _bounds(keys: DataFrame, buckets: int, distinct: int) -> Column:
     """Cut points over the distinct values of the single column ``k``, as a constant array.
 
     A uniform sample of distinct values is taken by hash, so a value carried by a third of the rows
     counts once. The driver only sees the cut points (fewer than ``buckets``).
     """
     kind = T.ArrayType(keys.schema["k"].dataType)
-    if distinct is None:
-        distinct = keys.agg(F.approx_count_distinct(F.xxhash64("k"))).first()[0]
     stride = max(1, distinct // (buckets * _SAMPLE_PER_BUCKET))
     sample = keys.where(F.pmod(F.xxhash64("k"), F.lit(stride)) == 0).distinct().limit(
         buckets * _SAMPLE_PER_BUCKET * 4
@@ -116,6 +114,7 @@ def row_positions(
     groups: Sequence[str] = (),
     name: str = "position",
     buckets: int | None = None,
+    one_cell: int = ONE_CELL_ROWS,
 ) -> DataFrame:
     """Exact ``row_number`` over a total order, per group or over the whole table.
 
@@ -126,8 +125,12 @@ def row_positions(
     groups = list(groups)
     key = order_key(order)
     full = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], key.alias("o"))
-    bounds = _bounds(df.select(full.alias("k")), buckets)
-    celled = df.withColumn("__cell", _cell(full, bounds, buckets))
+    keys = df.select(full.alias("k"))
+    distinct = keys.agg(F.approx_count_distinct(F.xxhash64("k"))).first()[0]
+    if distinct <= one_cell:
+        celled = df.withColumn("__cell", F.lit(0))
+    else:
+        celled = df.withColumn("__cell", _cell(full, _bounds(keys, buckets, distinct), buckets))
     return positions_in_cells(celled, "__cell", key, groups, name).drop("__cell")
 
 

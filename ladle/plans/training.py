@@ -129,7 +129,7 @@ def fit_ranker(
     rows: DataFrame, counts: DataFrame, spec: TextSpec, key: str, max_iter: int = 100
 ) -> TextRanker:
     """Fit on ``rows`` (key, label); ``counts`` may hold more documents, only those of ``rows`` are used."""
-    own = materialize(counts.join(rows.select(key), key, "left_semi"), "own-counts")
+    own = counts.join(rows.select(key), key, "left_semi")
     classes = class_counts(rows)
     n = sum(classes.values())
     tfidf = fit_counts(own, n, spec.analyzer, spec.low, spec.high, spec.min_df, spec.sublinear)
