@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ladle.operators.ordering import exact_quantiles, value_ranks
+from ladle.operators.ranks import ranked
 from ladle.session import materialize
 
 _WIDE = "decimal(38,0)"
@@ -57,8 +57,7 @@ def grouped_precision_at_k(
 ) -> DataFrame:
     """Precision@k and size per group. Rows beyond k per group and task are dropped before the shuffle."""
     known = df.where(F.col(group).isNotNull())
-    w = Window.partitionBy(group).orderBy(F.desc_nulls_last(score), tie)
-    best = known.select(group, label, score, tie).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+    best = ranked(known.select(group, label, score, tie), score, tie, [group], k, "__rn")
     top = best.groupBy(group).agg((F.sum(label) / F.count(F.lit(1))).cast("double").alias("precision_at_k"))
     sizes = known.groupBy(group).agg(F.count(F.lit(1)).alias("group_size"))
     return sizes.join(top, group).select(group, "precision_at_k", "group_size")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ladle.functions import fixed
 from ladle.operators import drift, evaluation, inject, quality, ranks
 from ladle.operators.dedupe import dedupe_first
+from ladle.operators.skew import attach
 from ladle.session import materialize
 
 # Scenarios and whether each must be noticed.
@@ -60,7 +61,7 @@ def alert_verification(
 def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str, order: Sequence) -> DataFrame:
     """Left join of predictions by id; of several for one id the last in ``order`` counts."""
     last = dedupe_first(predictions, [key], [F.desc(c) for c in order])
-    return rows.join(last.select(key, F.col("score").alias("predicted_score")), key, "left")
+    return attach(rows, last.select(key, F.col("score").alias("predicted_score")), [key])
 
 
 def production_validation(
