@@ -98,10 +98,8 @@ def evaluate(
     })
     if group is not None:
         macro = macro_precision(grouped_precision_at_k(df, group, label, score, k, tie))
-        out = out.withColumns({
-            "macro_avg_precision_at_k": macro.select("macro_avg_precision_at_k").scalar(),
-            "num_groups": macro.select("num_groups").scalar(),
-        })
+        out = out.withColumn("__m", macro.select(F.struct("*")).scalar()).select(
+            "*", "__m.macro_avg_precision_at_k", "__m.num_groups").drop("__m")
     return out
 
 

@@ -126,11 +126,11 @@ def row_positions(
     key = order_key(order)
     full = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], key.alias("o"))
     keys = df.select(full.alias("k"))
-    distinct = keys.agg(F.approx_count_distinct(F.xxhash64("k"))).first()[0]
-    if distinct <= one_cell:
-        celled = df.withColumn("__cell", F.lit(0))
-    else:
-        celled = df.withColumn("__cell", _cell(full, _bounds(keys, buckets, distinct), buckets))
+    size = keys.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("k")).alias("d")).first()
+    if size["n"] <= one_cell:  # counted: few enough for one task
+        w = Window.partitionBy(*groups).orderBy(key)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    celled = df.withColumn("__cell", _cell(full, _bounds(keys, buckets, size["d"]), buckets))
     return positions_in_cells(celled, "__cell", key, groups, name).drop("__cell")
 
 
@@ -183,13 +183,28 @@ def measured_ranks(
         "per-value",
     )
     size = stored.agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("m")).first()
-    key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
-    if size["d"] <= one_cell:
-        per_value = stored.withColumn("__cell", F.lit(0))
+    if size["d"] <= one_cell:  # counted: few enough for one task
+        table = _running_at_once(stored, value, groups, names)
     else:
+        key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
         bounds = _bounds(stored.select(key.alias("k")), buckets, size["d"])
-        per_value = stored.withColumn("__cell", _cell(key, bounds, buckets))
-    return Ranks(_running(per_value, value, groups, names), size["d"], size["m"] or 0)
+        table = _running(stored.withColumn("__cell", _cell(key, bounds, buckets)), value, groups, names)
+    return Ranks(table, size["d"], size["m"] or 0)
+
+
+def _running_at_once(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:
+    """Running totals of a table whose counted size fits one task."""
+    ordered = Window.partitionBy(*groups).orderBy(value)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups)
+    return per_value.select(
+        *groups,
+        value,
+        *names,
+        *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"before_{x}") for x in names],
+        *[F.sum(x).over(whole).alias(f"total_{x}") for x in names],
+        F.lead(value).over(ordered).alias("next_value"),
+    )
 
 
 def _running(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:

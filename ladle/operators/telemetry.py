@@ -21,9 +21,8 @@ def telemetry_overall(log: DataFrame, latency: str = "latency_ms", status: str =
     """One row: counters, mean, p50 and p95 (nearest rank, two decimals)."""
     base = log.agg(*counters(status), F.round(F.avg(latency), 2).alias("mean_ms"))
     q = exact_quantiles(log, latency, {"p50": 0.5, "p95": 0.95})
-    return base.withColumns({
-        "p50_ms": F.round(q.select("p50").scalar(), 2), "p95_ms": F.round(q.select("p95").scalar(), 2)
-    })
+    return base.withColumn("__q", q.select(F.struct("p50", "p95")).scalar()).select(
+        *base.columns, F.round("__q.p50", 2).alias("p50_ms"), F.round("__q.p95", 2).alias("p95_ms"))
 
 
 def telemetry_by_path(log: DataFrame, latency: str = "latency_ms", status: str = "status_code") -> DataFrame:

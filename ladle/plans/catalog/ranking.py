@@ -228,12 +228,10 @@ SELECT grp, round(precision_at_k, 8) AS precision_at_k, group_size,
        round((SELECT avg(precision_at_k) FROM per_group), 8) AS macro_avg, (SELECT count(*) FROM per_group) AS num_groups
 FROM per_group""", (RATINGS_SQL, PER_GROUP))
 def grouped_precision_at_k(spark, sf):
-    per = evaluation.grouped_precision_at_k(inputs.ratings(spark, sf), "grp")
+    per = materialize(evaluation.grouped_precision_at_k(inputs.ratings(spark, sf), "grp"), "per-group")
     macro = evaluation.macro_precision(per)
-    out = per.withColumns({
-        "macro_avg": macro.select("macro_avg_precision_at_k").scalar(),
-        "num_groups": macro.select("num_groups").scalar(),
-    })
+    out = per.withColumn("m", macro.select(F.struct("*")).scalar()).select(
+        *per.columns, F.col("m.macro_avg_precision_at_k").alias("macro_avg"), "m.num_groups")
     return rounded(out, "precision_at_k", "macro_avg")
 
 
