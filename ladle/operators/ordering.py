@@ -114,7 +114,7 @@ def row_positions(
     groups: Sequence[str] = (),
     name: str = "position",
     buckets: int | None = None,
-    one_cell: int = ONE_CELL_ROWS,
+    one_cell: int | None = None,
 ) -> DataFrame:
     """Exact ``row_number`` over a total order, per group or over the whole table.
 
@@ -127,7 +127,7 @@ def row_positions(
     full = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], key.alias("o"))
     keys = df.select(full.alias("k"))
     size = keys.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("k")).alias("d")).first()
-    if size["n"] <= one_cell:  # counted: few enough for one task
+    if size["n"] <= (ONE_CELL_ROWS if one_cell is None else one_cell):  # counted: few enough for one task
         w = Window.partitionBy(*groups).orderBy(key)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     celled = df.withColumn("__cell", _cell(full, _bounds(keys, buckets, size["d"]), buckets))
@@ -165,7 +165,7 @@ def measured_ranks(
     groups: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     buckets: int | None = None,
-    one_cell: int = ONE_CELL_ROWS,
+    one_cell: int | None = None,
 ) -> Ranks:
     """``value_ranks`` with its measured size.
 
@@ -183,7 +183,7 @@ def measured_ranks(
         "per-value",
     )
     size = stored.agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("m")).first()
-    if size["d"] <= one_cell:  # counted: few enough for one task
+    if size["d"] <= (ONE_CELL_ROWS if one_cell is None else one_cell):  # counted: few enough for one task
         table = _running_at_once(stored, value, groups, names)
     else:
         key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))

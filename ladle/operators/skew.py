@@ -52,7 +52,7 @@ def spread_join(
     on: Sequence[str],
     weight: str | None = None,
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to a table with one row per key, splitting the hottest keys over ``salts`` tasks.
@@ -62,6 +62,7 @@ def spread_join(
     a key outside that list holds less than 1/HOT_KEYS of the rows.
     """
     on = list(on)
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if weight is None:
         counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__w"))
     else:

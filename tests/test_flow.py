@@ -200,3 +200,58 @@ def test_text_rankers_learn(spark):
     champion = training.fit_champion(df, "id", "text", {"w": 0.5, "c": 0.5}, specs, 10)
     scored = champion.score(df.withColumn("req", F.col("id") % 2), "id", "text", ["req"])
     assert evaluation.roc_auc(scored, groups=["req"]).agg(F.min("roc_auc")).first()[0] > 0.95
+
+
+def test_estimators_in_a_pipeline(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    from ladle.operators.estimators import PopularityRanker, RankBlend, StructuredEncoder, TfidfVectorizer
+    from ladle.sources.writers import load_pipeline, save_pipeline  # noqa: F401
+
+    rows = [(i, "ab"[i % 2], float(i % 5), "good dish" if i % 2 else "bad dish", i % 2, None if i % 7 == 0 else float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, g string, rating double, text string, label int, x double")
+    popular = Pipeline(stages=[PopularityRanker("g"), RankBlend({"score": 0.5, "rating": 0.5}, "blend")]).fit(df).transform(df)
+    assert popular.where("score IS NULL OR blend IS NULL").count() == 0
+    text = Pipeline(stages=[TfidfVectorizer("id"), LogisticRegression(maxIter=5)]).fit(df).transform(df)
+    assert text.where("prediction = label").count() == 40
+    wide = StructuredEncoder(["x"], ["g"]).fit(df).transform(df)
+    assert wide.first().features.size == 3
+    with pytest.raises(ValueError):
+        StructuredEncoder(["rating"], []).fit(df)
+
+
+def test_model_files(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame([("a", 0.5, 1), ("b", 0.25, 0)], "g string, score double, label int")
+    writers.save_pipeline(Pipeline(stages=[StringIndexer(inputCol="g", outputCol="i")]).fit(df), str(tmp_path / "m"))
+    assert writers.load_pipeline(str(tmp_path / "m")).transform(df).count() == 2
+    writers.write_predictions(df, str(tmp_path / "p"), group="g")
+    assert spark.read.parquet(str(tmp_path / "p")).columns == ["label", "score", "g"]
+    writers.write_ranking(df.select(F.lit(1).alias("rank"), F.col("g").alias("title"), "score"), str(tmp_path / "r"))
+    assert readers.read_csv(spark, str(tmp_path / "r")).first()["Rank"] == "🥇 #1"
+    assert schemas.PREDICTIONS.names == ["label", "score", "cuisine_path"]
+
+
+def test_hot_request_is_split(spark, monkeypatch):
+    """All joins on the request key go through the salted path and still give the same answer."""
+    from ladle.operators import ordering, scoring, skew
+    from ladle.operators.constraints import Constraints
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 50).alias("request_id"), F.col("id").alias("pos"),
+        F.concat(F.lit("r"), "id").alias("recipe_id"), F.lit("t").alias("title"),
+        F.when(F.col("id") % 2 == 0, "fresh garlic").otherwise("plain").alias("ingredients_parsed"),
+        F.lit(None).cast("double").alias("cook_time_minutes"), (F.col("id") % 100).cast("double").alias("calories"),
+        F.array().cast("array<string>").alias("dietary_tags"), F.array().cast("array<string>").alias("excluded_ingredients_present"))
+    table = df.select("request_id").distinct().withColumns(Constraints(max_calories=50.0).columns())
+    run = lambda: scoring.responses(*scoring.score_requests(df, table))
+    want = sorted(map(str, run().collect()))
+    monkeypatch.setattr(skew, "measured_bytes", lambda _: 10**12)
+    monkeypatch.setattr(skew, "HOT_ROWS", 100)
+    monkeypatch.setattr(ordering, "ONE_CELL_ROWS", 0)
+    assert sorted(map(str, run().collect())) == want
+    best = run().where("request_id = 1").orderBy("rank").collect()
+    assert [r.rank for r in best] == list(range(1, len(best) + 1)) and len(best) > 900
