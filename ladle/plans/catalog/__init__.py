@@ -6,7 +6,7 @@ from importlib import import_module
 
 from ladle.plans.catalog.registry import ORACLES, QUERIES
 
-for _m in ("ranking", "scalars", "screening", "monitoring", "texts", "learning"):
+for _m in ("ranking", "scalars", "screening", "monitoring", "texts", "learning", "files"):
     import_module(f"ladle.plans.catalog.{_m}")
 
 __all__ = ["QUERIES", "ORACLES"]

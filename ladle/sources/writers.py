@@ -48,7 +48,10 @@ def write_split(df: DataFrame, path: str, split: str = "split") -> None:
 def write_csv(df: DataFrame, path: str, lists: Sequence[str] = (), sep: str = "|") -> None:
     """CSV export with list columns joined."""
     out = df.withColumns({c: F.array_join(c, sep) for c in lists}) if lists else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        out.write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
 
 
 def write_report(findings: DataFrame, path: str) -> None:
