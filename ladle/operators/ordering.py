@@ -7,6 +7,7 @@ whatever the cell bounds are. Only the quality of the bounds, never the result,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,46 +18,56 @@ from pyspark.sql.window import Window
 
 from ladle.session import materialize, range_buckets
 
-_SAMPLE_PER_BUCKET = 32
+_SAMPLE_PER_BUCKET = 16
 ONE_CELL_ROWS = 50_000
 
 
-def _bounds(keys: DataFrame, buckets: int, distinct: int) -> Column:
-    """Cut points over the distinct values of the single column ``k``, as a constant array.
+@dataclass(frozen=True)
+class _Cuts:
+    """Ascending cut points as constant arrays: every one, and every ``chunk``-th of them."""
+
+    every: Column
+    coarse: Column
+    chunk: int
+
+    def cell(self, key: Column) -> Column:
+        """Number of cut points below ``key``, by two scans of about ``chunk`` comparisons each.
+
+        The key is bound once as a lambda variable instead of being built for every comparison.
+        """
+        def below(k: Column) -> Column:
+            skip = F.size(F.filter(self.coarse, lambda b: b < k)) * self.chunk
+            fine = F.slice(self.every, skip + 1, F.lit(self.chunk))
+            return skip + F.size(F.filter(fine, lambda b: b < k))
+
+        return F.coalesce(F.element_at(F.transform(F.array(key), below), 1), F.lit(0))
+
+
+def _cuts(keys: DataFrame, buckets: int, distinct: int) -> _Cuts:
+    """Cut points over the distinct values of the single column ``k``.
 
     A uniform sample of distinct values is taken by hash, so a value carried by a third of the rows
-    counts once. The driver only sees the cut points (fewer than ``buckets``).
+    counts once. The driver only sees the cut points (fewer than ``buckets``), as constants of the plan.
     """
-    kind = T.ArrayType(keys.schema["k"].dataType)
+    chunk = max(2, math.isqrt(buckets))
     stride = max(1, distinct // (buckets * _SAMPLE_PER_BUCKET))
     sample = keys.where(F.pmod(F.xxhash64("k"), F.lit(stride)) == 0).distinct().limit(
         buckets * _SAMPLE_PER_BUCKET * 4
     )
-    picked = sample.agg(F.sort_array(F.collect_list("k")).alias("s")).select(
-        F.to_json(
-            F.when(F.size("s") < 2, F.col("s")).otherwise(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.lit(1), F.lit(buckets - 1)),
-                        lambda i: F.element_at("s", F.greatest(
-                            F.lit(1), (i * F.size("s") / F.lit(buckets)).cast("int"))),
-                    )
-                )
-            )
-        )
-    ).first()[0]
-    return F.from_json(F.lit(picked), kind)
-
-
-def _cell(key: Column, bounds: Column, buckets: int) -> Column:
-    """Number of cut points below ``key``; two short scans instead of one over all cut points."""
-    if buckets <= 64:
-        return F.size(F.filter(bounds, lambda b: b < key))
-    chunk = int(buckets**0.5)
-    coarse = F.filter(bounds, lambda b, i: (F.pmod(i + 1, F.lit(chunk)) == 0) & (b < key))
-    skip = F.size(coarse) * chunk
-    fine = F.slice(bounds, skip + 1, F.lit(chunk))
-    return skip + F.size(F.filter(fine, lambda b: b < key))
+    sorted_keys = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))
+    spots = F.transform(
+        F.sequence(F.lit(1), F.lit(buckets - 1)),
+        lambda i: F.greatest(F.lit(1), (i * F.size("s") / F.lit(buckets)).cast("int")),
+    )
+    picked = sorted_keys.select(
+        F.when(F.size("s") < 2, F.col("s"))
+        .otherwise(F.transform(F.array_distinct(spots), lambda i: F.element_at("s", i))).alias("c")
+    )
+    every, coarse = picked.select(
+        F.to_json("c"), F.to_json(F.filter("c", lambda b, i: F.pmod(i + 1, F.lit(chunk)) == 0))
+    ).first()
+    kind = T.ArrayType(keys.schema["k"].dataType)
+    return _Cuts(F.from_json(F.lit(every), kind), F.from_json(F.lit(coarse), kind), chunk)
 
 
 def order_key(order: Sequence[str | tuple[str, str]]) -> Column:
@@ -130,7 +141,7 @@ def row_positions(
     if size["n"] <= (ONE_CELL_ROWS if one_cell is None else one_cell):  # counted: few enough for one task
         w = Window.partitionBy(*groups).orderBy(key)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    celled = df.withColumn("__cell", _cell(full, _bounds(keys, buckets, size["d"]), buckets))
+    celled = df.withColumn("__cell", _cuts(keys, buckets, size["d"]).cell(full))
     return positions_in_cells(celled, "__cell", key, groups, name).drop("__cell")
 
 
@@ -187,8 +198,8 @@ def measured_ranks(
         table = _running_at_once(stored, value, groups, names)
     else:
         key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
-        bounds = _bounds(stored.select(key.alias("k")), buckets, size["d"])
-        table = _running(stored.withColumn("__cell", _cell(key, bounds, buckets)), value, groups, names)
+        cuts = _cuts(stored.select(key.alias("k")), buckets, size["d"])
+        table = _running(stored.withColumn("__cell", cuts.cell(key)), value, groups, names)
     return Ranks(table, size["d"], size["m"] or 0)
 
 

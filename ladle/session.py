@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BUCKETS = 1024
+MAX_BUCKETS = 4096
+BUCKETS_PER_TASK = 4
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -15,8 +16,9 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def range_buckets(spark: SparkSession) -> int:
-    """Number of range cells for exact ranks: one per shuffle task, bounded so cell tables stay tiny."""
-    return max(2, min(MAX_BUCKETS, shuffle_width(spark)))
+    """Number of range cells for exact ranks: a few per shuffle task, so that hashing cells to tasks evens
+    out, and bounded so that the table of cells stays tiny."""
+    return max(2, min(MAX_BUCKETS, BUCKETS_PER_TASK * shuffle_width(spark)))
 
 
 def scratch_root(spark: SparkSession) -> str:
