@@ -18,7 +18,7 @@ from ladle.operators import evaluation, sampling
 from ladle.operators.encode import fit_encoder
 from ladle.operators.ranks import rank_blend
 from ladle.operators.tfidf import TfidfModel, fit_counts, term_counts, terms_of, to_vectors
-from ladle.session import materialize, shuffle_width
+from ladle.session import materialize
 
 
 @dataclass(frozen=True)
@@ -136,8 +136,8 @@ def fit_ranker(
     data = to_vectors(rows, tfidf.weights(own, key), key, tfidf.size)
     if spec.balanced:
         data = data.withColumn("weight", class_weight(classes))
-    # Every iteration reads this table, so it is spread over all tasks once.
-    data = materialize(data.repartition(shuffle_width(rows.sparkSession)), "training")
+    # Every iteration reads this table, so it is spread over all cores once.
+    data = materialize(data.repartition(rows.sparkSession.sparkContext.defaultParallelism), "training")
     model = linear_model(spec.model, spec.c, n, spec.l1, spec.balanced, max_iter).fit(data)
     return TextRanker(spec, tfidf, model)
 
