@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import substrings
+from ladle.llm import substrings, tensor_minhash
 from ladle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,25 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_remov
        sha256(coalesce(k.s, '')) AS kept_sha256
 FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id LEFT JOIN cut c ON w.doc_id = c.doc_id
 """
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensor_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+ORACLES["op10_minhash_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+sz AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+inter AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM inter JOIN sz p ON p.doc_id = a JOIN sz q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS r FROM w UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.r = edge.a),
+comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, comp.component_id, w.doc_id = comp.component_id AS kept
+FROM w JOIN comp ON w.doc_id = comp.doc_id LEFT JOIN sz ON w.doc_id = sz.doc_id
+"""
