@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import substrings, tensor_minhash
+from ladle.llm import ppm, substrings, tensor_minhash
 from ladle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ comp AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, comp.component_id, w.doc_id = comp.component_id AS kept
 FROM w JOIN comp ON w.doc_id = comp.doc_id LEFT JOIN sz ON w.doc_id = sz.doc_id
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.detect(table(spark, sf_dir, "documents"))
