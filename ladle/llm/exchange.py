@@ -7,10 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ladle.llm.common import mix
 
 PACKED = "bucket int, kind int, docs binary, counts binary, keys binary"
-FOUND = "doc_id long, keys binary"
+TOLD = "home int, docs binary, counts binary, keys binary"
+FOUND = "doc_id long, found binary"
 
 
 def _split(docs: np.ndarray, keys: np.ndarray, bucket: np.ndarray, kind: int, size: int) -> Iterator[tuple]:
@@ -34,13 +36,21 @@ def _unpack(row: dict, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _rows(docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.argsort(docs, kind="stable")
+    """One row per document with its distinct keys."""
+    order = np.lexsort((keys, docs))
     docs, keys = docs[order], keys[order]
+    new = np.r_[True, (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])] if len(docs) else np.zeros(0, bool)
+    docs, keys = docs[new], keys[new]
     edge = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else []
     for lo, hi in zip(edge, [*edge[1:], len(docs)], strict=True):
         yield int(docs[lo]), keys[lo:hi].tobytes()
 
 
+def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.Table:
+    cols = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.table([pa.array(x, t) for x, t in zip(cols, types, strict=True)], names)
+
+
 def _shared(docs: np.ndarray, keys: np.ndarray, first_too: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorts by key and document. Returns the order, which sorted entries are found, and which stand first or last of their key."""
     order = np.lexsort((docs, keys))
@@ -61,7 +71,7 @@ def _shared(docs: np.ndarray, keys: np.ndarray, first_too: bool) -> tuple[np.nda
 def shared_keys(
     df: DataFrame, keys_of: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], buckets: int, first_too: bool, size: int = 8
 ) -> DataFrame:
-    """Rows (doc_id, keys) with those keys of a document that other documents hold too.
+    """One row (doc_id, found) per document that has keys which other documents hold too: those keys, packed.
 
     ``keys_of`` turns a batch into document ids and keys. With ``first_too`` every holder of a key that at least two documents
     have is told; otherwise those that are not its smallest holder. Holders within one batch are settled at once: only the
@@ -81,9 +91,10 @@ def shared_keys(
             known, going = order[found], order[ends]
             out = [*_split(docs[going], keys[going], bucket[going], 0, size)]
             if len(known):
-                home = (docs[known] % buckets).astype(np.int32)
-                out += _split(docs[known], keys[known], home, 1, size)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "kind", "docs", "counts", "keys"])
+                out += _split(docs[known], keys[known], _home(docs[known], buckets), 1, size)
+            cols = zip(*out, strict=True)
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], ["bucket", "kind", "docs", "counts", "keys"])
 
     def meet(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
@@ -99,11 +110,21 @@ def shared_keys(
             told = order[found]
             ids.append(d[told])
             keys.append(k[told])
-        out = [*_rows(np.concatenate(ids), np.concatenate(keys))]
-        return pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "keys": pa.array([x[1] for x in out], pa.binary())})
+        docs, keys = np.concatenate(ids), np.concatenate(keys)
+        out = [(b, d, c, k) for b, _, d, c, k in _split(docs, keys, _home(docs, buckets), 0, size)]
+        return _table(out, ["home", "docs", "counts", "keys"], [pa.int32(), pa.binary(), pa.binary(), pa.binary()])
+
+    def gather(group: pa.Table) -> pa.Table:
+        parts = [_unpack(r, size) for r in group.to_pylist()]
+        out = [*_rows(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))]
+        return _table(out, ["doc_id", "found"], [pa.int64(), pa.binary()])
 
     packed = df.mapInArrow(deal, PACKED)
-    return packed.groupBy("bucket").applyInArrow(meet, FOUND).groupBy("doc_id").agg(F.collect_list("keys").alias("found"))
+    return packed.groupBy("bucket").applyInArrow(meet, TOLD).groupBy("home").applyInArrow(gather, FOUND)
+
+
+def _home(docs: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(docs.astype(np.uint64)) % np.uint64(buckets)).astype(np.int32)
 
 
 def mix_bucket(keys: np.ndarray) -> np.ndarray:

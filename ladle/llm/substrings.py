@@ -40,15 +40,11 @@ def anchor_hashes(w: Words, window: int, period: int = PERIOD, cover: tuple[int,
     return at, h[at]
 
 
-def _found(batch: pa.RecordBatch, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _found(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and keys of the packed column ``found``."""
-    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for i, parts in enumerate(batch.column("found").to_pylist()):
-        for p in parts or ():
-            k = np.frombuffer(p, np.uint64)
-            keys.append(k)
-            rows.append(np.full(len(k), i))
-    return np.concatenate(rows), np.concatenate(keys)
+    packed = [np.frombuffer(p or b"", np.uint64) for p in batch.column("found").to_pylist()]
+    rows = np.repeat(np.arange(len(packed)), [len(p) for p in packed])
+    return rows, np.concatenate(packed) if packed else np.zeros(0, np.uint64)
 
 
 def _per_row(rows: np.ndarray, keys: np.ndarray, frows: np.ndarray, fkeys: np.ndarray) -> np.ndarray:
@@ -65,7 +61,7 @@ def _windows(batch: pa.RecordBatch, window: int, low: np.uint64) -> tuple[np.nda
     docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
     at, h = anchor_hashes(w, window)
     owner = w.owner
-    frows, fkeys = _found(batch, docs)
+    frows, fkeys = _found(batch)
     hit = at[_per_row(owner[at], h & low, frows, fkeys)]
     mark = np.zeros(len(owner) + 1, np.int32)
     first = np.maximum(hit - (PERIOD - 1), w.ptr[owner[hit]])
@@ -76,13 +72,16 @@ def _windows(batch: pa.RecordBatch, window: int, low: np.uint64) -> tuple[np.nda
     return docs[owner[near]].astype(np.int64), full[near]
 
 
+def _ordered(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, found): packed hashes of the windows of a document that a smaller doc_id holds too."""
     if window < PERIOD:
         raise ValueError(f"windows of at least {PERIOD} words")
     tune(docs.sparkSession)
-    base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    known = base.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    known = _ordered(docs, key, text)
     groups = width(docs, GROUP_BYTES)
     low = np.uint64((1 << (8 * ANCHOR_BYTES)) - 1)
 
@@ -93,21 +92,22 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
         return ids[w.owner[at]], h
 
     near = shared_keys(known, anchors, groups, first_too=True, size=ANCHOR_BYTES)
-    joined = base.join(near.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found")
+    joined = known.join(near.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "found")
     return shared_keys(joined, lambda b: _windows(b, window, low), groups, first_too=False)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one space), kept_sha256."""
     marks = repeated_windows(docs, window, key, text)
-    base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    joined = base.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found")
+    known = _ordered(docs, key, text)  # the shuffle of the texts is the one that repeated_windows makes
+    joined = known.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found")
+    free = docs.where(F.col(key).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             w = tokens(batch.column("text"))
             owner, counts = w.owner, w.counts
-            frows, fkeys = _found(batch, None)
+            frows, fkeys = _found(batch)
             gone = np.zeros(len(owner), bool)
             if len(fkeys):
                 h, whole = grams(w, window)
@@ -127,4 +127,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
                 ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
             )
 
-    return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    schema = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+    return joined.mapInArrow(cut, schema).union(free.mapInArrow(cut, schema))
