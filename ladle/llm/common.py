@@ -46,7 +46,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def width(df: DataFrame, bytes_per_group: int) -> int:
     """Number of hash groups for a table of the measured size, at least one per shuffle task."""
-    return max(shuffle_width(df.sparkSession), -(-measured_bytes(df) // bytes_per_group))
+    return max(shuffle_width(df.sparkSession), -(-known_bytes(df) // bytes_per_group))
+
+
+def known_bytes(df: DataFrame) -> int:
+    """Size of the table's files; 0 where Spark has no figure (rows that come from an RDD)."""
+    size = measured_bytes(df)
+    return size if size < 1 << 58 else 0
 
 
 def mix(x: np.ndarray) -> np.ndarray:

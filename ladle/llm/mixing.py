@@ -18,14 +18,17 @@ count and are scored each on their own. An empty table gives no rows; without tr
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, crc32_of_id, grams, materialize, mix, tokens, tune, width  # noqa: F401
+from ladle.llm.common import Words, crc32_of_id, known_bytes, materialize, mix, tokens, tune, width
 
 CLASS_BITS = 10
 CLASSES = 1 << CLASS_BITS
@@ -39,7 +42,7 @@ MAP_STEPS = 33
 PRIOR = 0.4
 END = np.uint64(0x8C7F0AAC97C4AA2F)
 ALPHA = 0.1
-TOKENS_AT_ONCE = 1 << 16
+TOKENS_AT_ONCE = 1 << 17
 
 
 def _with_end(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -136,62 +139,14 @@ def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, weights: np.ndarray, c
     return out, run, seen
 
 
-def _learn_counts(docs: DataFrame) -> DataFrame:
-    """(part, packed): words with counts per part, and bit counts of the context tables."""
-
-    def run(parts: int):
-        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = None
-            got = []
-            for batch in batches:
-                h, ptr = _with_end(tokens(batch.column("text"), lower=True))
-                got.append(np.unique(h, return_counts=True))
-                first = batch.column("fold").to_numpy(zero_copy_only=False) < 9
-                if first.any():
-                    if table is None:
-                        table = np.zeros((CONTEXTS, 2, SLOTS), np.float32)
-                    cls = _classes(h)
-                    for a, b in _groups(ptr):
-                        use = np.repeat(first[a:b], np.diff(ptr[a : b + 1]))
-                        slots, bits = _slots(cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a])
-                        one = bits[use] > 0
-                        for c in range(CONTEXTS):
-                            s = slots[c][use]
-                            for y, own in ((0, s[~one]), (1, s[one])):
-                                k, n = np.unique(own, return_counts=True) if c == 0 else (own.ravel(), None)
-                                if n is None:
-                                    table[c, y] += np.bincount(k, minlength=SLOTS)
-                                else:
-                                    table[c, y, k] += n
-                if sum(len(x[0]) for x in got) > 1 << 20:
-                    yield from words(got, parts)
-                    got = []
-            yield from words(got, parts)
-            if table is not None:
-                rows = [(-1 - c * 16 - k, table[c][:, k * (SLOTS // 16) : (k + 1) * (SLOTS // 16)]) for c in range(CONTEXTS) for k in range(16)]
-                for part, t in rows:
-                    at = np.flatnonzero(t.any(0)).astype(np.uint32)
-                    if len(at):
-                        yield _packed([(part, at.tobytes(), np.minimum(t[:, at], 2**32 - 1).astype(np.uint32).tobytes())])
-
-        return deal
-
-    def words(got: list, parts: int) -> Iterator[pa.RecordBatch]:
-        if not got:
-            return
-        h, n = _sum(np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]))
-        part = (h % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        h, n, part = h[order], n[order], part[order]
-        cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        yield _packed([(int(part[a]), h[a:b].tobytes(), n[a:b].astype(np.uint32).tobytes()) for a, b in zip(cut, np.r_[cut[1:], len(h)], strict=True)])
-
-    return run
+def _pack(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    cols = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names)
 
 
-def _packed(rows: list) -> pa.RecordBatch:
-    a, b, c = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.binary()), pa.array(c, pa.binary())], ["part", "keys", "counts"])
+COUNTED = "part int, salt int, keys binary, counts binary"
+_COUNTED = (["part", "salt", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
+TABLE_PARTS = 16
 
 
 def _sum(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,3 +154,260 @@ def _sum(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h, n = h[order], n[order]
     cut = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
     return h[cut], (np.add.reduceat(n, cut) if len(cut) else n).astype(np.int64)
+
+
+def _word_rows(got: list, parts: int) -> list[tuple]:
+    h, n = _sum(np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]))
+    part = (h % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    h, n, part = h[order], n[order], part[order]
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    return [(int(part[a]), 0, h[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(cut, np.r_[cut[1:], len(h)], strict=True)]
+
+
+def _count(parts: int, salts: int):
+    """Word counts by part, and bit counts of the context tables as parts below zero."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, got = np.zeros((CONTEXTS, 2 * SLOTS), np.int64), []
+        for batch in batches:
+            h, ptr = _with_end(tokens(batch.column("text"), lower=True))
+            got.append(np.unique(h, return_counts=True))
+            cls, use = _classes(h), np.repeat(batch.column("fold").to_numpy(zero_copy_only=False) < 9, np.diff(ptr))
+            for a, b in _groups(ptr):
+                lo, hi = ptr[a], ptr[b]
+                slots, bits = _slots(cls[lo:hi], ptr[a : b + 1] - lo)
+                one = bits[use[lo:hi]].astype(np.int64)
+                for c in range(CONTEXTS):
+                    table[c] += np.bincount((slots[c][use[lo:hi]] * 2 + one).ravel(), minlength=2 * SLOTS)
+            if sum(len(x[0]) for x in got) > 1 << 19:
+                yield _pack(_word_rows(got, parts), *_COUNTED)
+                got = []
+        if got:
+            yield _pack(_word_rows(got, parts), *_COUNTED)
+        salt = TaskContext.get().partitionId() % salts
+        size = 2 * SLOTS // TABLE_PARTS
+        for c in range(CONTEXTS):
+            for k in range(TABLE_PARTS):
+                piece = table[c, k * size : (k + 1) * size]
+                at = np.flatnonzero(piece)
+                if len(at):
+                    yield _pack([(-1 - c * TABLE_PARTS - k, salt, at.astype(np.uint64).tobytes(), piece[at].tobytes())], *_COUNTED)
+
+    return deal
+
+
+def _add_up(group: pa.Table) -> pa.Table:
+    h = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()])
+    n = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("counts").to_pylist()])
+    part = group.column("part")[0].as_py()
+    if part < 0:
+        total = np.bincount(h.astype(np.int64), n, 2 * SLOTS // TABLE_PARTS).astype(np.int64)
+        h = np.flatnonzero(total).astype(np.uint64)
+        n = total[h.astype(np.int64)]
+    else:
+        h, n = _sum(h, n)
+    return pa.Table.from_batches([_pack([(part, 0, h.tobytes(), n.tobytes())], *_COUNTED)])
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, tokens, words) of the stored counts."""
+    for batch in batches:
+        n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+        for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            cls = _classes(np.frombuffer(k, np.uint64))
+            n += np.bincount(cls, np.frombuffer(c, np.int64), CLASSES).astype(np.int64)
+            v += np.bincount(cls, minlength=CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(n), pa.array(v)], ["c", "n", "v"])
+
+
+def _hot(least: float):
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                h, n = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h[n >= least]), pa.array(n[n >= least])], ["h", "n"])
+
+    return pick
+
+
+def _train_weights(shared):
+    """(place, value, weight): weights of the mixer and the probability map, each task's own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, n = START.copy(), 0
+        hits, tries = np.zeros((CLASS_BITS, MAP_STEPS)), np.zeros((CLASS_BITS, MAP_STEPS))
+        gate = np.arange(CLASS_BITS)[None]
+        for batch in batches:
+            h, ptr = _with_end(tokens(batch.column("text"), lower=True))
+            cls = _classes(h)
+            for a, b in _groups(ptr):
+                _, w, seen = _mixed(shared.value, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], w, carry=True)
+                for s, y in seen:
+                    j = np.rint((np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)).astype(np.int64)
+                    at = (gate * MAP_STEPS + j).ravel()
+                    hits += np.bincount(at, y.ravel(), hits.size).reshape(hits.shape)
+                    tries += np.bincount(at, minlength=hits.size).reshape(hits.shape)
+            n += len(h)
+        place = np.arange(w.size + hits.size, dtype=np.int32)
+        value = np.r_[w.ravel().astype(float) * n, hits.ravel()]
+        weight = np.r_[np.full(w.size, float(n)), tries.ravel()]
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(value), pa.array(weight)], ["place", "value", "weight"])
+
+    return run
+
+
+START = np.concatenate([np.full((CLASS_BITS, CONTEXTS), 1 / CONTEXTS), np.zeros((CLASS_BITS, 1))], 1).astype(np.float32)
+DEALT = "bucket int, base long, a binary, b binary, c binary"
+_DEALT = (["bucket", "base", "a", "b", "c"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
+_ROW = np.dtype([("doc", "i8"), ("known_id", "i1"), ("tokens", "i8"), ("known", "i8"), ("base", "f8"), ("model", "f8"), ("bytes", "i8")])
+
+
+def _score(shared, parts: int):
+    """Per batch: one packed row of what is known at once, and the words that must meet their counts, by part."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            h, ptr = _with_end(tokens(batch.column("text"), lower=True))
+            cls, n_docs = _classes(h), batch.num_rows
+            owner = np.repeat(np.arange(n_docs), np.diff(ptr))
+            logs = np.empty(len(h))
+            for a, b in _groups(ptr):
+                part, _, _ = _mixed(m, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], m["weights"], carry=False)
+                logs[ptr[a] : ptr[b]] = part
+            logs = logs * np.log10(2) - m["class_log"][cls]
+            j = np.searchsorted(m["hot"], h)
+            j[j == len(m["hot"])] = 0
+            hot = m["hot"][j] == h if len(m["hot"]) else np.zeros(len(h), bool)
+            row = np.zeros(n_docs, _ROW)
+            ids = batch.column("doc_id")
+            row["doc"], row["known_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False)
+            row["tokens"] = np.diff(ptr)
+            row["known"] = np.bincount(owner[hot], minlength=n_docs)
+            row["base"] = np.bincount(owner[hot], m["hot_log"][j[hot]], n_docs) if len(m["hot"]) else 0.0
+            row["model"] = np.bincount(owner, logs, n_docs)
+            row["bytes"] = batch.column("n_bytes").to_numpy(zero_copy_only=False)
+            rows = [(int(at % parts), at, row.tobytes(), None, None)]
+            rest, own = h[~hot], owner[~hot].astype(np.uint64)
+            part = rest % np.uint64(parts)
+            order = np.lexsort((rest, own, part))
+            rest, own, part = rest[order], own[order], part[order]
+            new = np.flatnonzero(np.r_[True, (rest[1:] != rest[:-1]) | (own[1:] != own[:-1])]) if len(rest) else np.zeros(0, np.int64)
+            times = np.diff(np.r_[new, len(rest)]).astype(np.uint32)
+            rest, own, part = rest[new], own[new].astype(np.uint32), part[new].astype(np.int64)
+            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+            for x, y in zip(cut, np.r_[cut[1:], len(part)].astype(np.int64), strict=False):
+                rows.append((int(part[x]), at, own[x:y].tobytes(), rest[x:y].tobytes(), times[x:y].tobytes()))
+            yield _pack(rows, *_DEALT)
+            at += n_docs
+
+    return deal
+
+
+_MET = (["base", "a", "b"], [pa.int64(), pa.binary(), pa.binary()])
+
+
+def _meet(group: pa.Table) -> pa.Table:
+    """Words meet their counts: per batch the documents with their sums."""
+    table = group.filter(pc.less(group.column("base"), 0)).to_pylist()
+    h = np.concatenate([np.frombuffer(r["b"], np.uint64) for r in table]) if table else np.zeros(0, np.uint64)
+    n = np.concatenate([np.frombuffer(r["c"], np.int64) for r in table]) if table else np.zeros(0, np.int64)
+    out = []
+    for r in group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist():
+        if r["b"] is None:
+            out.append((r["base"], r["a"], None))
+            continue
+        own, words, times = (np.frombuffer(r[k], t) for k, t in (("a", np.uint32), ("b", np.uint64), ("c", np.uint32)))
+        c = np.zeros(len(words), np.int64)
+        if len(h):
+            j = np.searchsorted(h, words)
+            j[j == len(h)] = 0
+            c = np.where(h[j] == words, n[j], 0)
+        docs, at = np.unique(own, return_inverse=True)
+        sums = np.zeros(len(docs), [("doc", "u4"), ("known", "i8"), ("base", "f8")])
+        sums["doc"] = docs
+        sums["known"] = np.bincount(at, times * (c > 0), len(docs))
+        sums["base"] = np.bincount(at, times * np.log10(c + ALPHA), len(docs))
+        out.append((r["base"], None, sums.tobytes()))
+    return pa.Table.from_batches([_pack(out, *_MET)])
+
+
+def _finish(n_train: int, norm: float):
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        row = np.frombuffer(next(r["a"] for r in rows if r["a"] is not None), _ROW).copy()
+        for r in rows:
+            if r["b"] is not None:
+                s = np.frombuffer(r["b"], [("doc", "u4"), ("known", "i8"), ("base", "f8")])
+                row["known"][s["doc"]] += s["known"]
+                row["base"][s["doc"]] += s["base"]
+        score = row["model"] + row["base"]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bpb = -score * np.log2(10) / row["bytes"]
+        return pa.table({
+            "doc_id": pa.array(row["doc"].copy(), mask=row["known_id"] == 0), "n_tokens": row["tokens"].copy(), "n_known": row["known"].copy(),
+            "train_tokens": np.full(len(row), n_train, np.int64), "base_score": row["base"] - row["tokens"] * norm, "score": score,
+            "bits_per_byte": pa.array(bpb, mask=row["bytes"] == 0),
+        })
+
+    return run
+
+
+SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+    spark = docs.sparkSession
+    tune(spark)
+    base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
+                       F.coalesce((crc32_of_id(key) % 10).cast("int"), F.lit(0)).alias("fold"))
+    train = base.where("fold <> 0").select("text", "fold")
+    parts = width(docs, GROUP_BYTES)
+    salts = max(1, math.isqrt(known_bytes(docs) >> 27))
+
+    counted = train.mapInArrow(_count(parts, salts), COUNTED)
+    if salts > 1:  # many tasks: their tables are added up in two steps
+        counted = counted.groupBy("part", "salt").applyInArrow(_add_up, COUNTED)
+    counts = materialize(counted.groupBy("part").applyInArrow(_add_up, COUNTED), "counts")
+    words = counts.where("part >= 0")
+
+    n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    for r in words.mapInArrow(_totals, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        n[r["c"]], v[r["c"]] = r["n"], r["v"]
+    n_train, distinct = int(n.sum()), int(v.sum())
+    hot = words.mapInArrow(_hot(n_train / HOT_SHARE), "h long, n long").collect()  # at most HOT_SHARE rows
+    hot_h = np.array([r["h"] for r in hot], np.int64).view(np.uint64)
+    order = np.argsort(hot_h)
+    hot_n = np.array([r["n"] for r in hot], np.int64)[order]
+
+    size = 2 * SLOTS // TABLE_PARTS
+    stretch = np.zeros((CONTEXTS, SLOTS), np.float32)
+    for r in counts.where("part < 0").toLocalIterator():
+        c, k = divmod(-1 - r["part"], TABLE_PARTS)
+        both = np.zeros(size, np.int64)
+        both[np.frombuffer(r["keys"], np.int64)] = np.frombuffer(r["counts"], np.int64)
+        stretch[c, k * size // 2 : (k + 1) * size // 2] = np.log((both[1::2] + PRIOR) / (both[::2] + PRIOR))
+    model = {
+        "stretch": stretch, "map": None, "weights": START, "hot": hot_h[order], "hot_log": np.log10(hot_n + ALPHA),
+        "class_log": np.log10(np.maximum(n + ALPHA * (v + 1), 1e-300)),
+    }
+    tuned = base.where("fold = 9").select("text").mapInArrow(_train_weights(spark.sparkContext.broadcast(model)), "place int, value double, weight double")
+    got = tuned.groupBy("place").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect()
+    value, weight = np.zeros(START.size + CLASS_BITS * MAP_STEPS), np.zeros(START.size + CLASS_BITS * MAP_STEPS)
+    for r in got:
+        value[r["place"]], weight[r["place"]] = r["value"], r["weight"]
+    k = START.size
+    model["weights"] = np.where(weight[:k] > 0, value[:k] / np.maximum(weight[:k], 1), START.ravel()).reshape(START.shape).astype(np.float32)
+    even = np.tile(_squash(np.linspace(-8, 8, MAP_STEPS)), CLASS_BITS)
+    model["map"] = ((value[k:] + 8 * even) / (weight[k:] + 8)).reshape(CLASS_BITS, MAP_STEPS).astype(np.float32)
+
+    dealt = base.select("doc_id", "text", "n_bytes").mapInArrow(_score(spark.sparkContext.broadcast(model), parts), DEALT)
+    table = words.select(F.col("part").alias("bucket"), F.lit(-1).cast("long").alias("base"), F.lit(None).cast("binary").alias("a"), F.col("keys").alias("b"), F.col("counts").alias("c"))
+    met = dealt.union(table).groupBy("bucket").applyInArrow(_meet, "base long, a binary, b binary")
+    norm = math.log10(n_train + ALPHA * (distinct + 1))
+    out = met.groupBy("base").applyInArrow(_finish(n_train, norm), SCORED)
+    held = F.coalesce(crc32_of_id() % 10 == 0, F.lit(True)).alias("held_out")
+    return out.select("doc_id", held, *out.columns[1:])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import ppm, substrings, tensor_minhash
+from ladle.llm import mixing, ppm, substrings, tensor_minhash
 from ladle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ FROM w JOIN comp ON w.doc_id = comp.doc_id LEFT JOIN sz ON w.doc_id = sz.doc_id
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.detect(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
