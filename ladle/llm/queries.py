@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import mixing, ppm, substrings, tensor_minhash
+from ladle.llm import mixing, pieces, ppm, substrings, tensor_minhash
 from ladle.llm.common import table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -69,3 +72,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"), PIECES)
