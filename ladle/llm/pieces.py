@@ -14,7 +14,7 @@ joins the pieces; encoding and decoding give every text back exactly, as nothing
 space mark, with one put in front of a non-empty text, and a text's own space marks are spelt in bytes.
 
 Cases: a null text has null ids and decodes to null; an empty text has no ids. Repeated rows are encoded alike. Other columns
-are kept as they are, and the new columns' names are parameters.
+are kept as they are; a column of the new column's name is replaced.
 """
 
 from __future__ import annotations
@@ -152,8 +152,6 @@ def load(path: str) -> Encoder:
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with a column of piece ids (array of int)."""
-    if ids in docs.columns:
-        raise ValueError(f"column {ids} is there already")
     tune(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,19 +163,22 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             flat = pa.array(np.frombuffer(b"".join(p for p in packed if p), np.int32))
             none = np.r_[[p is None for p in packed], False].astype(bool)
             column = pa.ListArray.from_arrays(pa.array(off, mask=none if none.any() else None), flat)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
+            yield _added(batch, ids, column)
 
     return docs.mapInArrow(run, _with(docs, ids, ArrayType(IntegerType())))
 
 
 def _with(docs: DataFrame, name: str, kind: DataType) -> StructType:
-    return StructType(list(docs.schema.fields)).add(name, kind)
+    return StructType([f for f in docs.schema.fields if f.name != name]).add(name, kind)
+
+
+def _added(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    own = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != name]
+    return pa.RecordBatch.from_arrays([*[c for _, c in own], column], [*[n for n, _ in own], name])
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with a column of decoded text."""
-    if text in docs.columns:
-        raise ValueError(f"column {text} is there already")
     tune(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +186,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             out = [None if not v.is_valid else e.decode(v.values.to_numpy(zero_copy_only=False)) for v in column]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, text])
+            yield _added(batch, text, pa.array(out, pa.string()))
 
     return docs.mapInArrow(run, _with(docs, text, StringType()))
 

@@ -172,11 +172,13 @@ def fit(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "
 
 
 def identify(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Columns ``keep`` of every row with lang_pred and score."""
+    """Columns ``keep`` of every row with lang_pred and score (columns of these names are replaced)."""
     spark = docs.sparkSession
     tune(spark)
-    keep = keep or (key,)
-    base = docs.select(*keep, F.col(text).alias("__text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
+    docs = docs.drop(*{"lang_pred", "score", "__letter"} - {key, text, *keep})
+    keep = tuple(keep) or (key,)
+    extra = [] if text in keep else [text]
+    base = docs.select(*keep, *extra, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
     if model is None:
         return base.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = spark.sparkContext.broadcast(model)
@@ -184,7 +186,7 @@ def identify(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            t = batch.column("__text").cast(pa.large_string()).fill_null("")
+            t = batch.column(text).cast(pa.large_string()).fill_null("")
             off = np.frombuffer(t.buffers()[1], np.int64, len(t) + 1 + t.offset)[t.offset :]
             raw = np.frombuffer(t.buffers()[2], np.uint8) if t.buffers()[2] else np.zeros(0, np.uint8)
             bits = code_lengths(m, raw[off[0] : off[-1]], off - off[0])

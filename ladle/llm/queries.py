@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import mixing, pieces, ppm, substrings, tensor_minhash
+from ladle.llm import decontaminate, mixing, pieces, ppm, substrings, tensor_minhash
 from ladle.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -77,3 +78,13 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ladle.llm.common import Words, grams, tokens, tune, width
 from ladle.llm.exchange import held, shared_keys
@@ -72,8 +73,8 @@ def _windows(batch: pa.RecordBatch, window: int, low: np.uint64) -> tuple[np.nda
     return docs[owner[near]].astype(np.int64), full[near]
 
 
-def _ordered(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _ordered(docs: DataFrame, key: str, text: str, rest: list | None = None) -> DataFrame:
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *(rest or []))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -96,12 +97,16 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
     return shared_keys(joined, lambda b: _windows(b, window, low), groups, first_too=False)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one space), kept_sha256."""
+def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one space), kept_sha256; with ``keep`` also a
+    struct ``row`` of those columns as they were."""
     marks = repeated_windows(docs, window, key, text)
-    known = _ordered(docs, key, text)  # the shuffle of the texts is the one that repeated_windows makes
-    joined = known.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found")
-    free = docs.where(F.col(key).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("found"))
+    rest = [F.struct(*keep).alias("row")] if keep else []
+    names = ["row"] if keep else []
+    # Without ``keep`` the shuffle of the texts is the one that repeated_windows makes.
+    known = _ordered(docs, key, text, rest)
+    joined = known.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found", *names)
+    free = docs.where(F.col(key).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("found"), *rest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,9 +128,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", t
                 [
                     batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in kept]),
+                    *[batch.column(c) for c in names],
                 ],
-                ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
+                ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", *names],
             )
 
-    schema = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    schema = StructType([*schema.fields, *[joined.schema[c] for c in names]])
     return joined.mapInArrow(cut, schema).union(free.mapInArrow(cut, schema))

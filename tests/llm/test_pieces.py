@@ -70,7 +70,6 @@ def test_odd_rows(spark):
     assert len(got) == 5 and {r["round_trip"] for r in got} == {None, True}
     rows = pieces.encode(docs, PATH).collect()
     assert [r["ids"] for r in rows if r["doc_id"] == 1] == [None] and [r["ids"] for r in rows if r["doc_id"] == 2] == [[]]
-    with pytest.raises(ValueError):
-        pieces.encode(docs, PATH, ids="text")
+    assert pieces.encode(docs, PATH, ids="n_pieces").columns == ["doc_id", "text", "n_pieces"]
     assert pieces.digest(docs.where("false"), PATH).count() == 0
     assert math.isclose(pieces.BYTE_SCORE, -30)
