@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import decontaminate, mixing, pieces, ppm, substrings, tensor_minhash, token_store
+from ladle.llm import decontaminate, mixing, pieces, placement, ppm, substrings, tensor_minhash, token_store
 from ladle.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -95,3 +95,18 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+SHARDS = [f"shard-{i:03d}" for i in range(64)]
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return placement.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+ORACLES["op8_sharding"] = f"""
+SELECT doc_id, slot::INTEGER AS slot, shard
+FROM (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {placement.SIZE}) AS slot FROM documents)
+JOIN (SELECT unnest(range({placement.SIZE})) AS slot, printf('shard-%03d', unnest([{", ".join(map(str, placement.fill(SHARDS)))}]::INTEGER[])) AS shard) USING (slot)
+"""
