@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ladle.llm import decontaminate, mixing, pieces, placement, ppm, substrings, tensor_minhash, token_store
+from ladle.llm import decontaminate, mixing, pieces, placement, ppm, rules, substrings, tensor_minhash, token_store
 from ladle.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,3 +110,9 @@ SELECT doc_id, slot::INTEGER AS slot, shard
 FROM (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {placement.SIZE}) AS slot FROM documents)
 JOIN (SELECT unnest(range({placement.SIZE})) AS slot, printf('shard-%03d', unnest([{", ".join(map(str, placement.fill(SHARDS)))}]::INTEGER[])) AS shard) USING (slot)
 """
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
