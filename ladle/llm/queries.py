@@ -7,8 +7,9 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ladle.llm import decontaminate, mixing, pieces, placement, ppm, rules, substrings, tensor_minhash, token_store
+from ladle.llm import decontaminate, mixing, pieces, placement, ppm, revisits, rules, substrings, tensor_minhash, token_store
 from ladle.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -116,3 +117,68 @@ JOIN (SELECT unnest(range({placement.SIZE})) AS slot, printf('shard-%03d', unnes
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def archive(pages: DataFrame) -> DataFrame:
+    """Archive records of the pages: each page is fetched five times. Fetches 0 and 3 are full; 1, 2 and 4 ask whether it changed.
+    The hash of the page's own row decides what a revisit says: mostly the ETag of the last full fetch, sometimes weak, sometimes
+    another one, sometimes only Last-Modified, sometimes nothing."""
+    base = pages.select("page_id", "url", F.md5("html").alias("h"), F.octet_length("html").alias("size"), F.explode(F.array(*[F.lit(i) for i in range(5)])).alias("k"))
+    full = F.col("k").isin(0, 3)
+    version = F.when(F.col("k") >= 3, 3).otherwise(0)
+    digit = F.conv(F.substring("h", F.col("k") + 1, 1), 16, 10).cast("int")
+    tag = F.concat(F.lit('"'), F.substring("h", 1, 12), version.cast("string"), F.lit('"'))
+    sent = F.when(full | (digit <= 8), tag).when(digit <= 10, F.concat(F.lit("W/"), tag)).when(digit <= 12, F.lit('"other"'))
+    modified = F.when(full | (digit >= 13) & (digit <= 14), F.concat(F.lit("v"), version.cast("string")))
+    pairs = {
+        "content-type": F.when(full, F.lit("text/html")), "content-length": F.when(full, F.col("size").cast("string")).otherwise("0"),
+        "etag": sent, "last-modified": modified, "date": F.concat(F.lit("t"), F.col("k").cast("string")),
+        "cache-control": F.concat(F.lit("max-age="), (digit * 10).cast("string")), "x-cache": F.when(full, F.lit("miss")).otherwise("hit"),
+    }
+    headers = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(n).alias("k"), v.alias("v")) for n, v in pairs.items()]), lambda x: x["v"].isNotNull()))
+    return base.select(
+        (F.col("page_id") * 5 + F.col("k")).alias("record_id"), "url", (F.col("page_id") % 1000 + F.col("k") * 700).alias("date"),
+        F.when(full, 200).otherwise(304).alias("status"), headers.alias("headers"),
+    )
+
+
+@query
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = revisits.resolve(archive(table(spark, sf_dir, "pages")))
+    names = {"etag": "etag", "modified": "last-modified", "dated": "date", "cache": "cache-control", "length": "content-length", "x_cache": "x-cache"}
+    return done.select("record_id", "url_key", "outcome", "response_id", *[F.element_at("headers", h).alias(c) for c, h in names.items()], F.size("headers").cast("long").alias("n_headers"))
+
+
+ORACLES["op1_warc_revisits"] = r"""
+WITH base AS (
+  SELECT page_id, url, md5(html) AS h, strlen(html) AS size, k, k IN (0, 3) AS whole, CASE WHEN k >= 3 THEN '3' ELSE '0' END AS ver,
+         ('0x' || substr(md5(html), k + 1, 1))::INTEGER AS d
+  FROM pages, (SELECT unnest(range(5)) AS k)),
+rec AS (
+  SELECT page_id * 5 + k AS record_id, page_id % 1000 + k * 700 AS ts, whole, d, k, size, ver,
+         regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^(?i:https?)://([^/?#]*)([^?]*)(?:\?(.*))?$', ['host', 'path', 'query']) AS u,
+         '"' || substr(h, 1, 12) || ver || '"' AS tag
+  FROM base),
+keyed AS (
+  SELECT *, CASE WHEN whole OR d <= 8 THEN tag WHEN d <= 10 THEN 'W/' || tag WHEN d <= 12 THEN '"other"' END AS etag,
+         CASE WHEN whole OR d BETWEEN 13 AND 14 THEN 'v' || ver END AS modified,
+         regexp_replace(regexp_replace(regexp_replace(lower(u.host), '^[^@]*@', ''), ':(80|443)?$', ''), '^www\.', '') AS host,
+         regexp_replace(u.path, '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(u.query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^utm_[^=&]*(=|$)'))), '&') AS q
+  FROM rec),
+named AS (SELECT *, host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN q = '' THEN '' ELSE '?' || q END AS url_key FROM keyed),
+found AS (
+  SELECT *, last_value(CASE WHEN whole THEN {'id': record_id, 'etag': etag, 'modified': modified, 'size': size} END IGNORE NULLS)
+         OVER (PARTITION BY url_key ORDER BY ts, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r
+  FROM named),
+told AS (
+  SELECT *, CASE WHEN r IS NULL THEN 'missing' WHEN etag IS NULL AND modified IS NULL THEN 'unvalidated'
+                 WHEN etag IS NOT NULL AND regexp_replace(etag, '^W/', '') = r.etag THEN 'resolved'
+                 WHEN etag IS NULL AND modified = r.modified THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM found WHERE NOT whole)
+SELECT record_id, url_key, outcome, r.id AS response_id, CASE WHEN ok THEN coalesce(etag, r.etag) END AS etag,
+       CASE WHEN ok THEN coalesce(modified, r.modified) END AS modified, CASE WHEN ok THEN 't' || k END AS dated,
+       CASE WHEN ok THEN 'max-age=' || (d * 10) END AS cache, CASE WHEN ok THEN r.size::VARCHAR END AS length, CASE WHEN ok THEN 'miss' END AS x_cache,
+       CASE WHEN ok THEN 7 ELSE NULL END::BIGINT AS n_headers
+FROM (SELECT *, outcome = 'resolved' AS ok FROM told)
+"""
