@@ -4,9 +4,15 @@ Two sides of SIDE small collections (ROWS minimum hashes each) are computed; a t
 collection. 2 * SIDE * ROWS hashes thus serve SIDE * SIDE tables of 2 * ROWS rows. A pair of similarity s shares a table with
 probability (1 - (1 - s ** ROWS) ** SIDE) ** 2: 0.9997 at 0.75 with the defaults, more above.
 
-Links are found without listing the pairs of a bucket. Documents with equal sets are one class. Each member of a bucket is
-compared with the bucket's smallest document; confirmed links are contracted to components; only members of one bucket that
-are still in different components are then compared, after a size test and a 96-bit sketch test inside the join.
+The tables are kept factored: documents are dealt by the left half of a key, and the right halves travel as a list, so that a
+document costs SIDE rows and not SIDE * SIDE; two documents meet in a table if the left half is equal and the lists overlap.
+Halves that no other document has are dropped first, and with them every document that keeps none on either side.
+
+Links are found without listing the pairs of a group. Documents with equal sets are one class. Each member of a left group is
+compared with the group's smallest document, its pivot; confirmed links are contracted to components; only pairs that meet in a table
+and are still in different components are then compared, each once, and only if the join's condition leaves a link possible: by
+their sizes, by a 96-bit sketch, and by a bound from the pivot. Two members share at most what both share with the pivot, plus what
+both hold beyond it; 256 bits of what each holds beyond the pivot bound the latter. The bound is exact: it prunes no link.
 
 Cases: null or wordless text: no shingles, linked with nothing, kept. Fewer words than a shingle: the whole sequence is the one
 shingle. Without doc_id: no component (null), kept. Rows that repeat a doc_id share its component. Empty table: no rows. Only
@@ -31,6 +37,8 @@ PERCENT = 75
 #: Agreeing sketch bits (of 96) below which a pair of the wanted similarity is found with probability under 1e-6.
 AGREE = 68
 SLICE = 1 << 16
+BITS = 256
+_BEYOND = [f"r{k}" for k in range(BITS // 64)]
 BROADCAST_BYTES = 8 << 20
 PAIRS_PER_TASK = 1 << 16
 
@@ -107,26 +115,29 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "items"])
 
 
-def _confirmed(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("items_a"), batch.column("items_b"), strict=True):
-                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                both = int((b[at] == a).sum())
-                ok.append(100 * both >= percent * (len(a) + len(b) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-    return run
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size of the common part, and the bits of what a holds beyond b."""
+    for batch in batches:
+        n = batch.num_rows
+        both, size = np.zeros(n, np.int64), np.zeros((2, n), np.int64)
+        beyond = np.zeros((n, BITS), bool)
+        for i, (x, y) in enumerate(zip(batch.column("items_a"), batch.column("items_b"), strict=True)):
+            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+            at = np.searchsorted(b, a)
+            at[at == len(b)] = 0
+            same = b[at] == a
+            both[i], size[0, i], size[1, i] = int(same.sum()), len(a), len(b)
+            beyond[i, (a[~same] >> np.uint64(17)).astype(np.int64) % BITS] = True
+        packed = np.packbits(beyond, axis=1, bitorder="little").view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(both), pa.array(size[0]), pa.array(size[1]), *[pa.array(packed[:, k]) for k in range(BITS // 64)]],
+            ["a", "b", "both", "n", "m", *_BEYOND],
+        )
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough. A document b that stands in very many pairs is dealt to several tasks."""
+def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their full sets and of the common part, and the bits of what a holds beyond b. A document
+    b that stands in very many pairs is dealt to several tasks."""
     many = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_TASK).cast("int").alias("parts"))
     hot = many.where("parts > 1")
     dealt = pairs.join(F.broadcast(hot), "b", "left").select(
@@ -138,14 +149,21 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
         .select(F.col("doc_id").alias("b"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"), F.col("items").alias("items_b"))
     )
     both = left.join(right, ["b", "part"]).select("a", "b", "items_a", "items_b")
-    return both.mapInArrow(_confirmed(percent), "a long, b long")
+    return both.mapInArrow(_compared, "a long, b long, both long, n long, m long, " + ", ".join(f"{c} long" for c in _BEYOND))
 
 
-def _close(percent: int):
-    """Size and sketch test on columns (n, s1, s2) and (m, t1, t2)."""
-    return (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent) & (
-        96 - F.bit_count(F.expr("s1 ^ t1")) - F.bit_count(F.expr("s2 ^ t2")) >= AGREE
-    )
+def _linked(percent: int):
+    return F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent
+
+
+def _possible(percent: int):
+    """Whether x and y, both compared with one pivot, may be linked: sizes, sketches, and the bound from the pivot."""
+    near = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
+    agree = 96 - F.bit_count(F.expr("x.s1 ^ y.s1")) - F.bit_count(F.expr("x.s2 ^ y.s2")) >= AGREE
+    shared = sum((F.bit_count(F.expr(f"x.{c} & y.{c}")) for c in _BEYOND), F.lit(0))
+    extra = F.least(F.col("x.n") - F.col("x.both"), F.col("y.n") - F.col("y.both"), shared + F.least("x.double", "y.double"))
+    most = F.least("x.both", "y.both") + extra
+    return near & agree & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -163,32 +181,31 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, key: str = "doc_id"
     live = cells.join(met, "k", "left_semi").groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("slot") < SIDE, F.col("k"))).alias("ls"), F.collect_list(F.when(F.col("slot") >= SIDE, F.col("k"))).alias("rs")
     ).where("size(ls) > 0 AND size(rs) > 0")
-    seats = live.select("doc_id", F.explode("ls").alias("l"), "rs").select("doc_id", "l", F.explode("rs").alias("r")).select(
-        "doc_id", F.xxhash64("l", "r").alias("seat")
-    )
-    seats = materialize(seats, "seats")
-    shared = seats.groupBy("seat").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z")).where("b <> z").select("seat", "b")
-    members = materialize(seats.join(shared, "seat"), "members")
-
-    plain = reps.select("doc_id", "n", "s1", "s2")
-    mine = plain.withColumnRenamed("doc_id", "a")
-    other = plain.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+    live = materialize(live, "live")
+    halves = live.select("doc_id", F.explode("ls").alias("l"))
+    groups = halves.groupBy("l").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("z")).where("b <> z").select("l", "b")
+    members = materialize(halves.join(groups, "l"), "members")
     stars = members.where("doc_id <> b").select(F.col("doc_id").alias("a"), "b").distinct()
-    stars = stars.join(mine, "a").join(other, "b").where(_close(percent)).select("a", "b")
     wanted = materialize(members.select("doc_id").distinct(), "wanted")
     small = F.broadcast(wanted) if measured_bytes(wanted) <= BROADCAST_BYTES else wanted
     sets = materialize(base.join(small, "doc_id", "left_semi").mapInArrow(_set_rows, "doc_id long, items binary").dropDuplicates(["doc_id", "items"]), "sets")
-    links = materialize(confirm(stars, sets, percent), "links")
+    compared = materialize(compare(stars, sets), "stars")
+    links = compared.where(_linked(percent)).select("a", "b")
 
     part = materialize(components(links), "parts")
-    seated = members.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("seat", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-    open_seats = seated.groupBy("seat").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("seat")
-    rest = seated.join(open_seats, "seat").join(plain, "doc_id")
-    x = rest.select("seat", F.col("doc_id").alias("a"), F.col("part").alias("pa"), "n", "s1", "s2")
-    y = rest.select("seat", F.col("doc_id").alias("b"), F.col("part").alias("pb"), F.col("n").alias("m"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
-    late = x.join(y, (x["seat"] == y["seat"]) & (F.col("pa") > F.col("pb")) & _close(percent)).select("a", "b").distinct()
-    late = late.join(links.select("a", "b"), ["a", "b"], "left_anti")
-    links = links.union(materialize(confirm(late, sets, percent), "links"))
+    seated = members.join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("part", F.coalesce("component", "doc_id")).drop("component")
+    mixed = seated.groupBy("l").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("l")
+    bits = sum((F.bit_count(c) for c in _BEYOND), F.lit(0))
+    seen = compared.select(F.col("a").alias("doc_id"), "b", "n", "both", *_BEYOND, (F.col("n") - F.col("both") - bits).alias("double"))
+    rest = (
+        seated.join(mixed, "l").join(seen, ["doc_id", "b"])  # pivots have been compared with every member
+        .join(reps.select("doc_id", "s1", "s2"), "doc_id").join(live, "doc_id").drop("b")
+    )
+    rest = materialize(rest, "rest")
+    meet = F.arrays_overlap("x.rs", "y.rs") & (F.element_at(F.array_intersect("x.ls", "y.ls"), 1) == F.col("x.l"))  # one left group tells a pair
+    late = rest.alias("x").join(rest.alias("y"), (F.col("x.l") == F.col("y.l")) & (F.col("x.part") > F.col("y.part")) & _possible(percent) & meet)
+    late = late.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    links = links.union(materialize(compare(late, sets).where(_linked(percent)).select("a", "b"), "links"))
     final = materialize(components(links), "parts")
 
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
