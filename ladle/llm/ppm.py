@@ -155,10 +155,15 @@ def code_lengths(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text", order: int = ORDER) -> dict | None:
     """Model learned from the labelled rows of ``docs``: a bounded, repeatable sample of whole texts."""
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l")).where(
-        F.col("l").isNotNull() & F.col("t").isNotNull() & (F.octet_length("t") <= SAMPLE_BYTES)
+        F.col("l").isNotNull() & (F.octet_length("t") <= SAMPLE_BYTES)
     )
-    by_hash = Window.partitionBy("l").orderBy(F.xxhash64("k"), F.xxhash64("t"))
-    picked = rows.withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= SAMPLE_DOCS)
+    rows = rows.withColumn("h", F.xxhash64("k", "t").bitwiseAND(F.lit((1 << 63) - 1))).withColumn("z", F.length(F.bin("h")))
+    # Short hashes are geometrically rarer, so the rows up to the cut-off length are SAMPLE_DOCS to about twice as many.
+    at = Window.partitionBy("l").orderBy("z")
+    cuts = rows.groupBy("l", "z").count().withColumn("before", F.sum("count").over(at) - F.col("count")).where(F.col("before") < SAMPLE_DOCS)
+    cuts = cuts.groupBy("l").agg(F.max("z").alias("cut")).limit(MAX_LANGUAGES + 1)
+    near = rows.join(F.broadcast(cuts), "l").where(F.col("z") <= F.col("cut"))
+    picked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "k", "t"))).where(F.col("r") <= SAMPLE_DOCS)
     picked = materialize(picked.select("l", "t"), "sample")
     names = [r[0] for r in picked.select("l").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
