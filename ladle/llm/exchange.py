@@ -15,12 +15,17 @@ TOLD = "home int, docs binary, counts binary, keys binary"
 FOUND = "doc_id long, found binary"
 
 
+def _runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    edge = np.flatnonzero(x[1:] != x[:-1]) + 1
+    return zip([0, *edge], [*edge, len(x)], strict=True) if len(x) else iter(())
+
+
 def _split(docs: np.ndarray, keys: np.ndarray, bucket: np.ndarray, kind: int, size: int) -> Iterator[tuple]:
     """One packed row per bucket: document ids, keys per document, and the keys (``size`` low bytes each)."""
     order = np.lexsort((docs, bucket))
     docs, keys, bucket = docs[order], keys[order], bucket[order]
-    edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-    for lo, hi in zip(edge, [*edge[1:], len(bucket)], strict=True):
+    for lo, hi in _runs(bucket):
         ids, counts = np.unique(docs[lo:hi], return_counts=True)
         low = np.ascontiguousarray(keys[lo:hi]).view(np.uint8).reshape(-1, 8)[:, :size]
         yield int(bucket[lo]), kind, ids.tobytes(), counts.astype(np.uint32).tobytes(), low.tobytes()
@@ -41,8 +46,7 @@ def _rows(docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
     docs, keys = docs[order], keys[order]
     new = np.r_[True, (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])] if len(docs) else np.zeros(0, bool)
     docs, keys = docs[new], keys[new]
-    edge = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else []
-    for lo, hi in zip(edge, [*edge[1:], len(docs)], strict=True):
+    for lo, hi in _runs(docs):
         yield int(docs[lo]), keys[lo:hi].tobytes()
 
 
