@@ -103,22 +103,24 @@ def drift_report(
     current: DataFrame,
     reference: DataFrame,
     columns: Sequence[str],
-    small: int = 1000,
+    method: str = "wasserstein",
     groups: Sequence[str] = (),
 ) -> DataFrame:
-    """Per column: the method by reference size (K-S up to ``small`` rows, distance above) and its decision.
+    """Per column: the method, its value and its decision.
 
-    The method is part of the result, so a distance is never read as a p-value. ``groups`` name columns of
+    ``method`` is ``ks`` (p-value) or ``wasserstein`` (distance over the reference deviation); it never depends on the
+    number of rows, and it is part of the result, so a distance is never read as a p-value. ``groups`` name columns of
     both tables that separate several comparisons made in one pass.
     """
-    use_ks = F.col("n_reference") <= small
+    if method not in ("ks", "wasserstein"):
+        raise ValueError(f"unknown method {method}")
+    p_value = method == "ks"
     return _summary(current, reference, columns, groups).select(
         *groups,
         "column",
-        F.when(use_ks, "ks_p_value").otherwise("wasserstein_normed").alias("method"),
-        F.when(use_ks, F.col("ks_p_value")).otherwise(F.col("distance")).alias("value"),
-        F.when(use_ks, _below("ks_p_value", fixed.P_DRIFTED))
-        .otherwise(F.col("distance") >= fixed.DISTANCE_DRIFTED).alias("drifted"),
+        F.lit("ks_p_value" if p_value else "wasserstein_normed").alias("method"),
+        F.col("ks_p_value" if p_value else "distance").alias("value"),
+        (_below("ks_p_value", fixed.P_DRIFTED) if p_value else F.col("distance") >= fixed.DISTANCE_DRIFTED).alias("drifted"),
     )
 
 

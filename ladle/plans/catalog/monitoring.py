@@ -164,13 +164,10 @@ gaps AS (
   FROM (SELECT s, col, v, sum(cur) AS n_cur, sum(1 - cur) AS n_ref FROM points WHERE v IS NOT NULL GROUP BY s, col, v)
   WINDOW w AS (PARTITION BY s, col ORDER BY v), p AS (PARTITION BY s, col)),
 tests AS (
-  SELECT s, col, max(m) AS m, sum(gap * width) / greatest(any_value(dev), 0.001) AS dist,
-         sqrt(max(n)::DOUBLE * max(m) / (max(n) + max(m))) * max(gap) AS x
+  SELECT s, col, sum(gap * width) / greatest(any_value(dev), 0.001) AS dist
   FROM gaps JOIN (SELECT s, col, stddev_pop(v) AS dev FROM points WHERE cur = 0 GROUP BY s, col) USING (s, col) GROUP BY s, col),
 found AS (
-  SELECT s, avg((CASE WHEN m > 1000 THEN dist >= 0.1 WHEN x < 0.2 THEN false
-     ELSE list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END)::DOUBLE * exp(-2.0::DOUBLE * k * k * x * x))) < 0.05
-     END)::INTEGER) > 0.5 AS f FROM tests GROUP BY s)"""
+  SELECT s, avg((dist >= 0.1)::INTEGER) > 0.5 AS f FROM tests GROUP BY s)"""
 
 
 @query("alert_verification", """
@@ -183,25 +180,34 @@ def alert_verification(spark, sf):
 
 
 @query("production_auc", """
+WITH scored AS (
+  SELECT *, (row_number() OVER (ORDER BY pos) - 1) // 20 AS b, (pos % 3 > 0)::INTEGER AS label FROM candidates),
+told AS (
+  SELECT label, b, calories, CASE WHEN calories IS NOT NULL THEN (rank() OVER (PARTITION BY b, calories IS NULL ORDER BY calories)
+             + (count(*) OVER (PARTITION BY b, calories) - 1) / 2.0::DOUBLE) / count(calories) OVER (PARTITION BY b)
+             * CASE WHEN pos % 10 = 0 THEN 0.5 ELSE 1.0 END END AS score FROM scored)
 SELECT count(*) AS candidates_sent, count(score) AS candidates_scored, count(*) - count(score) AS candidates_missing_prediction,
    round(avg(score), 8) AS mean_score, round(max(score), 8) AS max_score,
    round((sum(CASE WHEN label = 1 THEN rk END) - sum(label) FILTER (score IS NOT NULL) * (sum(label) FILTER (score IS NOT NULL) + 1) / 2.0::DOUBLE)
      / ((sum(label) FILTER (score IS NOT NULL))::DOUBLE * (count(score) - sum(label) FILTER (score IS NOT NULL))), 8) AS production_roc_auc,
-   count(*) = count(score) AS passed
+   0.5::DOUBLE AS offline_validation_roc_auc, round(production_roc_auc - 0.5::DOUBLE, 8) AS auc_delta, count(*) = count(score) AS passed,
+   (SELECT round(avg(v), 8) FROM (SELECT DISTINCT b, (b % 7 * 10)::DOUBLE AS v FROM told WHERE calories IS NOT NULL)) AS mean_batch_value,
+   (SELECT max((b % 7 * 10)::DOUBLE) FROM told WHERE calories IS NOT NULL) AS max_batch_value
 FROM (SELECT label, score, CASE WHEN score IS NOT NULL THEN rank() OVER (ORDER BY score NULLS LAST)
-             + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE END AS rk
-  FROM (SELECT label, CASE WHEN calories IS NOT NULL THEN (rank() OVER (PARTITION BY b, calories IS NULL ORDER BY calories)
-             + (count(*) OVER (PARTITION BY b, calories) - 1) / 2.0::DOUBLE) / count(calories) OVER (PARTITION BY b) END AS score
-    FROM (SELECT *, (row_number() OVER (ORDER BY pos) - 1) // 20 AS b, (pos % 3 > 0)::INTEGER AS label FROM candidates)))""", (CANDIDATES_SQL,))
+             + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE END AS rk FROM told)""", (CANDIDATES_SQL,))
 def production_auc(spark, sf):
+    """A tenth of the candidates is returned twice, some are not returned; the last returned score counts."""
     rows = inputs.candidates(spark, sf).select(
         "recipe_id", "pos", "calories", (F.col("pos") % 3 > 0).cast("int").alias("label"))
 
     def by_batch(batched):
-        return ranks.rank_pct(batched, "calories", "score", ["batch_id"]).where("score IS NOT NULL")
+        once = ranks.rank_pct(batched, "calories", "score", ["batch_id"]).where("score IS NOT NULL")
+        once = once.withColumns({"returned": F.col("pos"), "latency_ms": (F.col("batch_id") % 7 * 10).cast("double")})
+        again = once.where("pos % 10 = 0").withColumns({"score": F.col("score") * 0.5, "returned": F.col("pos") + 1_000_000_000_000})
+        return once.unionByName(again)
 
-    out = validation.production_validation(rows, by_batch)
-    return rounded(out, "mean_score", "max_score", "production_roc_auc").drop("offline_validation_roc_auc", "auc_delta")
+    out = validation.production_validation(rows, by_batch, offline_auc=0.5, batch_value="latency_ms")
+    return rounded(out, "mean_score", "max_score", "production_roc_auc", "auc_delta", "mean_batch_value")
 
 
 @query("telemetry_overall", """
@@ -238,13 +244,14 @@ def _stream(spark, sf, width, slide=None):
         F.col("value").alias("latency_ms"), "ts")
     out = sinks.replay(windows.windowed_telemetry(log, width, slide))
     return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
-                   .drop("window_end", "p95_ms"), "mean_ms", digits=6)
+                   .drop("window_end"), "mean_ms", digits=6)
 
 
 _CLOSED = """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, path, count(*) AS request_count,
        count(*) FILTER (status_code >= 500) AS error_count,
-       round(count(*) FILTER (status_code >= 500) / count(*)::DOUBLE, 4) AS error_rate, round(avg(latency_ms), 6) AS mean_ms
+       round(count(*) FILTER (status_code >= 500) / count(*)::DOUBLE, 4) AS error_rate, round(avg(latency_ms), 6) AS mean_ms,
+       list(latency_ms ORDER BY latency_ms)[ceil(count(latency_ms) * 0.95::DOUBLE)::BIGINT] AS p95_ms
 FROM windows WHERE w + INTERVAL {width} <= (SELECT max(ts) FROM request_log) - INTERVAL 10 MINUTE GROUP BY w, path"""
 
 

@@ -59,7 +59,7 @@ def alert_verification(
 
 
 def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str, order: Sequence) -> DataFrame:
-    """Left join of predictions by id; of several for one id the last in ``order`` counts."""
+    """Left join of predictions by id; of several for one id the one returned last, by ``order``, counts."""
     last = dedupe_first(predictions, [key], [F.desc(c) for c in order])
     return attach(rows, last.select(key, F.col("score").alias("predicted_score")), [key])
 
@@ -71,14 +71,17 @@ def production_validation(
     order: Sequence[str] = ("pos",),
     batch_size: int = 20,
     offline_auc: float | None = None,
+    batch_value: str | None = None,
 ) -> DataFrame:
     """Score candidates in fixed batches, each ranked by itself, and compare the pooled AUC with the offline one.
 
-    ``score_batches`` gets the rows with ``batch_id`` and returns ``(key, score, ...)``.
+    ``score_batches`` gets the rows with ``batch_id`` and returns ``(key, score, batch_id, returned)``; ``returned`` orders the
+    predictions of a batch. Of several predictions for one id the last by batch and position counts. ``batch_value`` names a
+    column with one value a batch, such as its latency; its mean and maximum are over batches, not rows.
     """
     batched = materialize(ranks.batches(rows, list(order), batch_size), "batched")
-    predicted = score_batches(batched)
-    joined = materialize(attach_predictions(rows, predicted, key, ["score"]), "predicted")
+    predicted = materialize(score_batches(batched), "returned")
+    joined = materialize(attach_predictions(rows, predicted, key, ["batch_id", "returned"]), "predicted")
     scored = joined.where(F.col("predicted_score").isNotNull())
     auc = evaluation.roc_auc(scored, "label", "predicted_score").scalar()
     out = joined.agg(
@@ -89,7 +92,11 @@ def production_validation(
         F.max("predicted_score").alias("max_score"),
     )
     offline = F.lit(offline_auc).cast("double")
-    return out.withColumns({"production_roc_auc": auc, "offline_validation_roc_auc": offline}).withColumns({
+    out = out.withColumns({"production_roc_auc": auc, "offline_validation_roc_auc": offline}).withColumns({
         "auc_delta": F.col("production_roc_auc") - offline,
         "passed": F.col("production_roc_auc").isNotNull() & (F.col("candidates_missing_prediction") == 0),
     })
+    if batch_value is not None:
+        per_batch = predicted.groupBy("batch_id").agg(F.max(batch_value).alias("v"))
+        out = out.withColumns({f"{f.__name__}_batch_value": per_batch.select(f("v")).scalar() for f in (F.mean, F.max)})
+    return out

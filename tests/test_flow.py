@@ -113,9 +113,9 @@ def test_drift(spark):
     mean = sum(ref) / 300
     dev = math.sqrt(sum((x - mean) ** 2 for x in ref) / 300)
     assert drift.wasserstein_drift(mk(cur), mk(ref), ["v"]).first().statistic == pytest.approx(area / dev)
-    report = drift.drift_report(mk(cur), mk(ref), ["v"])
+    report = drift.drift_report(mk(cur), mk(ref), ["v"], "ks")
     assert report.first().method == "ks_p_value" and drift.dataset_drift(report).first().dataset_drift_detected
-    assert drift.drift_report(mk(cur), mk(ref), ["v"], small=10).first().method == "wasserstein_normed"
+    assert drift.drift_report(mk(cur), mk(ref), ["v"]).first().method == "wasserstein_normed"
 
 
 def test_alerts(spark):
@@ -132,9 +132,11 @@ def test_production_validation(spark):
 
     def perfect(batched):
         assert batched.agg(F.max("batch_id")).first()[0] == 2
-        return batched.where("pos < 44").select("recipe_id", (F.col("label") * 0.5).alias("score"))
+        first = batched.where("pos < 44").select("recipe_id", (F.lit(0.9) - F.col("label")).alias("score"), "batch_id", F.lit(1).alias("returned"), (F.col("batch_id") * 3).alias("ms"))
+        return first.union(first.select("recipe_id", ((F.lit(0.9) - F.col("score")) * 0.5).alias("score"), "batch_id", F.lit(2).alias("returned"), "ms"))
 
-    row = validation.production_validation(df, perfect, offline_auc=0.9).first()
+    row = validation.production_validation(df, perfect, offline_auc=0.9, batch_value="ms").first()
+    assert (row.mean_batch_value, row.max_batch_value) == (3.0, 6)  # one value a batch; the last score of an id counts
     assert row.production_roc_auc == 1.0 and row.auc_delta == pytest.approx(0.1)
     assert row.candidates_missing_prediction == 1 and not row.passed
 
@@ -251,7 +253,6 @@ def test_hot_request_is_split(spark, monkeypatch):
     want = sorted(map(str, run().collect()))
     monkeypatch.setattr(skew, "measured_bytes", lambda _: 10**12)
     monkeypatch.setattr(skew, "HOT_ROWS", 100)
-    monkeypatch.setattr(ordering, "ONE_CELL_ROWS", 0)
     assert sorted(map(str, run().collect())) == want
     best = run().where("request_id = 1").orderBy("rank").collect()
     assert [r.rank for r in best] == list(range(1, len(best) + 1)) and len(best) > 900
