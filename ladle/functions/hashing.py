@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CELL_DIGITS = 3
+from ladle.session import measured_bytes
+
+CELL_BYTES = 1 << 20
 
 
 def seeded_hash(key: Column, seed: Column | int | str) -> Column:
@@ -13,9 +17,15 @@ def seeded_hash(key: Column, seed: Column | int | str) -> Column:
     return F.md5(F.concat(seed.cast("string"), F.lit(":"), key.cast("string")))
 
 
-def hash_cell(h: Column) -> Column:
+def cell_digits(df: DataFrame) -> int:
+    """Leading digits that cut a table of the known size into cells of about CELL_BYTES."""
+    size = measured_bytes(df)
+    return 3 if size >= 1 << 58 else max(2, math.ceil(math.log(max(1, size / CELL_BYTES), 16)))
+
+
+def hash_cell(h: Column, digits: int) -> Column:
     """Leading digits of the hash: uniform cells that grow with the hash order, no sampling needed."""
-    return F.substring(h, 1, CELL_DIGITS)
+    return F.substring(h, 1, digits)
 
 
 def hash_int(h: Column, low: int, high: int) -> Column:

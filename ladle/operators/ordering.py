@@ -1,13 +1,12 @@
 """Exact global and grouped positions, ranks and running totals without a one-task window.
 
-The order is cut into range cells. Each cell is ordered by its own task, a table of cell totals
-(at most one row per group and cell) supplies the offsets, and the sum of both is the exact answer
-whatever the cell bounds are. Only the quality of the bounds, never the result, depends on the sample.
+Rows are dealt by the engine's range partitioning over the real sort order and stored with the number of their partition. Each
+partition is ordered by itself, a table of partition totals (at most one row per group and partition) supplies the
+offsets, and the sum of both is the exact answer wherever the bounds lie: the engine's sample only affects balance.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -16,69 +15,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ladle.session import materialize, range_buckets
+from ladle.session import materialize, shuffle_width
 
-_SAMPLE_PER_BUCKET = 16
-ONE_CELL_ROWS = 50_000
+_IN_PARTITION = (1 << 33) - 1
 
 
-@dataclass(frozen=True)
-class _Cuts:
-    """Ascending cut points as constant arrays: every one, and every ``chunk``-th of them."""
-
-    every: Column
-    coarse: Column
-    chunk: int
-
-    def cell(self, key: Column) -> Column:
-        """Number of cut points below ``key``, by two scans of about ``chunk`` comparisons each.
-
-        The key is bound once as a lambda variable instead of being built for every comparison.
-        """
-        def below(k: Column) -> Column:
-            skip = F.size(F.filter(self.coarse, lambda b: b < k)) * self.chunk
-            fine = F.slice(self.every, skip + 1, F.lit(self.chunk))
-            return skip + F.size(F.filter(fine, lambda b: b < k))
-
-        return F.coalesce(F.element_at(F.transform(F.array(key), below), 1), F.lit(0))
+def present(df: DataFrame, name: str) -> Column:
+    """Neither NULL nor NaN."""
+    known = F.col(name).isNotNull()
+    return known & ~F.isnan(name) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else known
 
 
-def _cuts(keys: DataFrame, buckets: int, distinct: int) -> _Cuts:
-    """Cut points over the distinct values of the single column ``k``.
-
-    A uniform sample of distinct values is taken by hash, so a value carried by a third of the rows
-    counts once. The driver only sees the cut points (fewer than ``buckets``), as constants of the plan.
-    """
-    chunk = max(2, math.isqrt(buckets))
-    stride = max(1, distinct // (buckets * _SAMPLE_PER_BUCKET))
-    sample = keys.where(F.pmod(F.xxhash64("k"), F.lit(stride)) == 0).distinct().limit(
-        buckets * _SAMPLE_PER_BUCKET * 4
-    )
-    sorted_keys = sample.agg(F.sort_array(F.collect_list("k")).alias("s"))
-    spots = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.greatest(F.lit(1), (i * F.size("s") / F.lit(buckets)).cast("int")),
-    )
-    picked = sorted_keys.select(
-        F.when(F.size("s") < 2, F.col("s"))
-        .otherwise(F.transform(F.array_distinct(spots), lambda i: F.element_at("s", i))).alias("c")
-    )
-    every, coarse = picked.select(
-        F.to_json("c"), F.to_json(F.filter("c", lambda b, i: F.pmod(i + 1, F.lit(chunk)) == 0))
-    ).first()
-    kind = T.ArrayType(keys.schema["k"].dataType)
-    return _Cuts(F.from_json(F.lit(every), kind), F.from_json(F.lit(coarse), kind), chunk)
-
-
-def order_key(order: Sequence[str | tuple[str, str]]) -> Column:
-    """One comparable struct for an ordering such as ``[("score", "desc"), "id"]``; NULLs come last."""
-    parts = []
-    for i, item in enumerate(order):
+def sort_keys(df: DataFrame, order: Sequence[str | tuple[str, str]]) -> list[Column]:
+    """Sort columns of an ordering such as ``[("score", "desc"), "id"]``: in either direction values come first, then NaN, then NULL."""
+    out = []
+    for item in order:
         name, direction = item if isinstance(item, tuple) else (item, "asc")
-        col = F.col(name)
-        parts.append(col.isNull().alias(f"n{i}"))
-        parts.append((-col if direction == "desc" else col).alias(f"v{i}"))
-    return F.struct(*parts)
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            out.append(F.when(F.col(name).isNull(), 2).when(F.isnan(name), 1).otherwise(0).asc())
+        out.append(F.col(name).desc_nulls_last() if direction == "desc" else F.col(name).asc_nulls_last())
+    return out
 
 
 def _solid(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -98,14 +54,15 @@ def _solid(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
 
 
 def positions_in_cells(
-    df: DataFrame, cell: str, order: Column, groups: Sequence[str] = (), name: str = "position"
+    df: DataFrame, cell: str, order: Column | Sequence[Column], groups: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
     """1-based position in ``order`` per group, given a ``cell`` column that grows with the order.
 
     The window over (group, cell) is the only move of the rows; the offsets arrive by a join on the same keys.
     """
+    order = [order] if isinstance(order, Column) else list(order)
     keyed, keys = _solid(df, list(groups))
-    local = keyed.withColumn(name, F.row_number().over(Window.partitionBy(*keys, cell).orderBy(order)))
+    local = keyed.withColumn(name, F.row_number().over(Window.partitionBy(*keys, cell).orderBy(*order)))
     earlier = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         keyed.groupBy(*keys, cell)
@@ -125,24 +82,26 @@ def row_positions(
     groups: Sequence[str] = (),
     name: str = "position",
     buckets: int | None = None,
-    one_cell: int | None = None,
 ) -> DataFrame:
     """Exact ``row_number`` over a total order, per group or over the whole table.
 
-    ``order`` must be total (end with a unique column). Rows move once, hashed by (group, cell); a group
-    with a third of all rows is spread over a third of the cells. Descending columns must be numeric.
+    ``order`` must be total (end with a unique column). A group with a third of all rows is spread over a third
+    of the partitions. Without groups the rows move once: their place in the sorted partition is their number.
     """
-    buckets = buckets or range_buckets(df.sparkSession)
+    buckets = buckets or shuffle_width(df.sparkSession)
     groups = list(groups)
-    key = order_key(order)
-    full = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], key.alias("o"))
-    keys = df.select(full.alias("k"))
-    size = keys.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("k")).alias("d")).first()
-    if size["n"] <= (ONE_CELL_ROWS if one_cell is None else one_cell):  # counted: few enough for one task
-        w = Window.partitionBy(*groups).orderBy(key)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    celled = df.withColumn("__cell", _cuts(keys, buckets, size["d"]).cell(full))
-    return positions_in_cells(celled, "__cell", key, groups, name).drop("__cell")
+    by = sort_keys(df, order)
+    if groups:
+        keyed, keys = _solid(df, groups)
+        dealt = keyed.repartitionByRange(buckets, *keys, *by).withColumn("__cell", F.spark_partition_id()).drop(*keys)
+        return positions_in_cells(materialize(dealt, "dealt"), "__cell", by, groups, name).drop("__cell")
+    dealt = df.repartitionByRange(buckets, *by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
+    dealt = materialize(dealt, "dealt").withColumn("__cell", F.shiftright("__at", 33))
+    earlier = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    offsets = dealt.groupBy("__cell").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__cell", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
+    place = F.col("__at").bitwiseAND(F.lit(_IN_PARTITION)) + 1 + F.col("__off")
+    return dealt.join(F.broadcast(offsets), "__cell").select(*df.columns, place.cast("bigint").alias(name))
 
 
 @dataclass(frozen=True)
@@ -164,7 +123,7 @@ def value_ranks(
     """One row per (group, distinct value) with ``n``, the given sums, what lies before, and totals.
 
     Columns: groups, value, ``n``, each sum; ``before_<x>`` = total over smaller values of the group;
-    ``total_<x>`` = total of the group; ``next_value`` = the next larger value. NULL values are left out.
+    ``total_<x>`` = total of the group; ``next_value`` = the next larger value. NULL and NaN values are left out.
     Rows are combined per value before the shuffle, so a hot value costs one row per map task.
     """
     return measured_ranks(df, value, groups, sums, buckets).table
@@ -176,48 +135,28 @@ def measured_ranks(
     groups: Sequence[str] = (),
     sums: Mapping[str, Column] | None = None,
     buckets: int | None = None,
-    one_cell: int | None = None,
 ) -> Ranks:
     """``value_ranks`` with its measured size.
 
-    The input is read once: counts per value are stored, and everything after works on that table. Up to
-    ``one_cell`` distinct values, counted, fit one task; more are cut into range cells.
+    The input is read once: counts per value are stored, and everything after works on that table.
     """
-    buckets = buckets or range_buckets(df.sparkSession)
+    buckets = buckets or shuffle_width(df.sparkSession)
     groups = list(groups)
     sums = dict(sums or {})
     names = ["n", *sums]
     stored = materialize(
-        df.where(F.col(value).isNotNull())
+        df.where(present(df, value))
         .groupBy(*groups, value)
         .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(s) for s, c in sums.items()]),
         "per-value",
     )
     size = stored.agg(F.count(F.lit(1)).alias("d"), F.max("n").alias("m")).first()
-    if size["d"] <= (ONE_CELL_ROWS if one_cell is None else one_cell):  # counted: few enough for one task
-        table = _running_at_once(stored, value, groups, names)
-    else:
-        key = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], F.col(value).alias("v"))
-        cuts = _cuts(stored.select(key.alias("k")), buckets, size["d"])
-        table = _running(stored.withColumn("__cell", cuts.cell(key)), value, groups, names)
+    keyed, keys = _solid(stored, groups)
+    dealt = keyed.repartitionByRange(buckets, *keys, value).withColumn("__cell", F.spark_partition_id()).drop(*keys)
+    table = _running(materialize(dealt, "dealt"), value, groups, names)
     return Ranks(table, size["d"], size["m"] or 0)
 
 
-def _running_at_once(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:
-    """Running totals of a table whose counted size fits one task."""
-    ordered = Window.partitionBy(*groups).orderBy(value)
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
-    return per_value.select(
-        *groups,
-        value,
-        *names,
-        *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"before_{x}") for x in names],
-        *[F.sum(x).over(whole).alias(f"total_{x}") for x in names],
-        F.lead(value).over(ordered).alias("next_value"),
-    )
-
-
 def _running(per_value: DataFrame, value: str, groups: list[str], names: list[str]) -> DataFrame:
     """Running totals over celled per-value rows: inside the cell, plus the totals of earlier cells."""
     keyed, keys = _solid(per_value, groups)

@@ -8,37 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ladle.operators.ordering import measured_ranks, row_positions
-from ladle.operators.skew import HOT_ROWS, join_same, spread_join
+from ladle.operators.ordering import row_positions, sort_keys, value_ranks
+from ladle.operators.skew import attach
 from ladle.session import materialize
 
-# Spark drops rows beyond k before the shuffle only up to this limit (its own default).
+# Spark drops rows beyond k before the shuffle only up to this limit (its own default). The order is the same for any k.
 _PRUNED_K = 1000
-# A rank table of at most this many counted rows (group, value, rank) is broadcast.
-BROADCAST_ROWS = 50_000
 
 
 def rank_pct(df: DataFrame, value: str, name: str = "rank_pct", groups: Sequence[str] = ()) -> DataFrame:
     """Average-rank percentile of ``value`` in its group (or the whole table); ties share their mean rank.
 
-    NULL values get NULL and do not count; so do rows of a NULL group.
+    NULL and NaN values get NULL and do not count; so do rows of a NULL group.
     """
     groups = list(groups)
     known = df
     for g in groups:
         known = known.where(F.col(g).isNotNull())
-    ranks = measured_ranks(known, value, groups)
-    table = ranks.table.select(
+    table = value_ranks(known, value, groups).select(
         *groups,
         value,
         F.col("n").alias("__n"),
         ((F.col("before_n") + (F.col("n") + 1) / F.lit(2.0)) / F.col("total_n")).cast("double").alias(name),
     )
-    if ranks.distinct <= BROADCAST_ROWS:
-        return join_same(df, F.broadcast(table.drop("__n")), [*groups, value])
-    if ranks.largest < HOT_ROWS:
-        return join_same(df, table.drop("__n"), [*groups, value])
-    return spread_join(df, table, [*groups, value], weight="__n").drop("__n")
+    return attach(df, table, [*groups, value], weight="__n").drop("__n")
 
 
 def rank_blend(
@@ -67,18 +60,17 @@ def ranked(
     top_k: int | None = None,
     name: str = "rank",
 ) -> DataFrame:
-    """1-based rank by score (descending, NULL last), ties by ``tie``; optionally only the best ``top_k``.
+    """1-based rank by score (descending, then NaN, then NULL), ties by ``tie``; optionally only the best ``top_k``.
 
-    Small ``top_k`` is pruned per task before the shuffle; otherwise the scored rows are stored once and
-    positions come from range cells.
+    One order for every ``top_k``. A small one is pruned per task before the shuffle; otherwise the scored rows are
+    stored once and positions come from range partitions.
     """
+    by = sort_keys(df, [(score, "desc"), tie])
     if top_k is not None and top_k <= _PRUNED_K and groups:
-        w = Window.partitionBy(*groups).orderBy(F.desc_nulls_last(score), tie)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint")).where(F.col(name) <= top_k)
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*by)).cast("bigint")).where(F.col(name) <= top_k)
     if top_k is not None and top_k <= _PRUNED_K:
-        best = df.orderBy(F.desc_nulls_last(score), tie).limit(top_k)
-        w = Window.orderBy(F.desc_nulls_last(score), tie)  # at most top_k rows are left
-        return best.withColumn(name, F.row_number().over(w).cast("bigint"))
+        best = df.orderBy(*by).limit(top_k)  # at most top_k rows are left
+        return best.withColumn(name, F.row_number().over(Window.orderBy(*by)).cast("bigint"))
     out = row_positions(materialize(df, "scored"), [(score, "desc"), tie], groups, name)
     return out if top_k is None else out.where(F.col(name) <= top_k)
 

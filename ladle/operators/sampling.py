@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ladle.functions.hashing import hash_cell, seeded_hash
+from ladle.functions.hashing import cell_digits, hash_cell, seeded_hash
 from ladle.operators.ordering import positions_in_cells
 from ladle.operators.skew import attach
 
@@ -28,7 +28,7 @@ def hash_cutoffs(
     """
     strata = list(strata)
     hashed = df.select(*strata, F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")).alias("o"))
-    hashed = hashed.withColumn("cell", hash_cell(F.col("o.h")))
+    hashed = hashed.withColumn("cell", hash_cell(F.col("o.h"), cell_digits(df)))
     w = Window.partitionBy(*strata)
     running = w.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = (
@@ -122,7 +122,7 @@ def fold_assignment(
     Hash cells split even a label that holds all rows over many tasks.
     """
     hashed = df.withColumn("__o", F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")))
-    celled = hashed.withColumn("__cell", hash_cell(F.col("__o.h")))
+    celled = hashed.withColumn("__cell", hash_cell(F.col("__o.h"), cell_digits(df)))
     placed = positions_in_cells(celled, "__cell", F.col("__o"), [*extra, label], "__pos")
     fold = F.pmod(F.col("__pos") - 1, F.lit(folds)).cast("int")
     return placed.withColumn(name, fold).drop("__o", "__cell", "__pos")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ladle.session import materialize, measured_bytes
 
 BROADCAST_BYTES = 8 * 1024 * 1024
-HOT_KEYS = 1024
+# A key is split if it has more rows than this, or than one of SHARES equal parts of all rows if that is more.
 HOT_ROWS = 100_000
-SALTS = 64
+SHARES = 8192
 
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -36,14 +36,14 @@ def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
+def row_salt(df: DataFrame, salts: Column) -> Column:
     """Salt from the task and the row's content.
 
     Copies of one row in different tasks get different salts, and a task that runs again gives every
     row the salt it had before, so a retry cannot lose or double rows.
     """
     plain = [c for c, t in df.dtypes if not t.startswith("map") and t not in ("variant",)]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), salts).cast("int")
 
 
 def spread_join(
@@ -53,34 +53,25 @@ def spread_join(
     weight: str | None = None,
     how: str = "left",
     hot_rows: int | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``rows`` to a table with one row per key, splitting the hottest keys over ``salts`` tasks.
+    """Join ``rows`` to a table with one row per key, splitting every key with too many rows for one task.
 
     ``weight`` names the column of ``table`` that says how many rows of ``rows`` carry the key; without
-    it the count is taken here. At most HOT_KEYS keys are treated as hot, which bounds the broadcast;
-    a key outside that list holds less than 1/HOT_KEYS of the rows.
+    it the count is taken here. A key of w rows is dealt to ceil(w / limit) tasks. The limit is at least one of SHARES
+    equal parts of all rows, so there are at most SHARES hot keys, whatever the data: that bounds the broadcast.
     """
     on = list(on)
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if weight is None:
         counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__w"))
     else:
         counts = table.select(*on, F.col(weight).alias("__w"))
-    hot = (
-        counts.where(F.col("__w") >= hot_rows)
-        .orderBy(F.desc("__w"), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("__hot"))
-    )
-    salt = row_salt(rows, salts)
-    left = join_same(rows.withColumn("__s", salt), F.broadcast(hot), on).withColumn(
-        "__s", F.when(F.col("__hot"), F.col("__s")).otherwise(F.lit(0))
-    ).drop("__hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = join_same(table, F.broadcast(hot), on).withColumn(
-        "__s", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0))))
-    ).drop("__hot")
+    total = counts.agg(F.sum("__w")).first()[0] or 0
+    limit = max(HOT_ROWS if hot_rows is None else hot_rows, total // SHARES)
+    hot = counts.where(F.col("__w") > limit).select(*on, F.ceil(F.col("__w") / F.lit(limit)).cast("int").alias("__hot"))
+    parts = F.coalesce("__hot", F.lit(1))
+    spread = join_same(rows, F.broadcast(hot), on)
+    left = spread.withColumn("__s", F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(row_salt(rows, parts))).drop("__hot")
+    right = join_same(table, F.broadcast(hot), on).withColumn("__s", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__hot")
     return join_same(left, right, [*on, "__s"], how).drop("__s")
 
 

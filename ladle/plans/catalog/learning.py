@@ -43,16 +43,11 @@ def impute_encode(spark, sf):
         "pos", "cook_time_minutes", "calories", F.when(p % 9 != 0, F.col("title")).alias("title"))
     enc = encode.fit_encoder(df, _NUMERIC, ["title"])
     out = enc.transform(df)
-    hot = F.array_position(F.slice(_dense(out), 3, 100000), F.lit(1.0)) + 1
+    # The slot of the one-hot vector's only entry, after the numeric columns; nothing is made dense.
+    hot = F.get(F.unwrap_udt("__h_title")["indices"], 0) + len(_NUMERIC)
     return rounded(out.select("pos", *_NUMERIC, "title", hot.cast("bigint").alias("hot_slot")), *_NUMERIC, digits=6)
 
 
-def _dense(df):
-    from pyspark.ml.functions import vector_to_array
-
-    return vector_to_array(F.col("features"))
-
-
 def _fit_text(spark, sf, name):
     texts = _texts(spark, sf)
     train = texts.where("split = 'train'")

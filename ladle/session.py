@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BUCKETS = 4096
-BUCKETS_PER_TASK = 4
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def range_buckets(spark: SparkSession) -> int:
-    """Number of range cells for exact ranks: a few per shuffle task, so that hashing cells to tasks evens
-    out, and bounded so that the table of cells stays tiny."""
-    return max(2, min(MAX_BUCKETS, BUCKETS_PER_TASK * shuffle_width(spark)))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -30,7 +21,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="ladle-")
     spark.sparkContext.setCheckpointDir(root)

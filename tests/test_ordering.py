@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ladle.operators import evaluation, ordering, ranks
+from ladle.operators import evaluation, ordering, ranks, skew
 from ladle.operators.ordering import measured_ranks, row_positions
 from ladle.operators.skew import spread_join
 
@@ -35,11 +35,11 @@ def brute_pct(rows, by_group):
 
 
 @pytest.mark.parametrize("groups", [[], ["g"]])
-@pytest.mark.parametrize("buckets,one_cell", [(2, 0), (16, 0), (100, 0), (8, 10**9)])
-def test_value_ranks_do_not_depend_on_cells(spark, groups, buckets, one_cell):
+@pytest.mark.parametrize("buckets", [1, 2, 16, 100])
+def test_value_ranks_do_not_depend_on_cells(spark, groups, buckets):
     rows = [r for r in sample() if not groups or r[1] is not None]
     df = spark.createDataFrame(rows, "id long, g string, v double, label int")
-    out = measured_ranks(df, "v", groups, {"pos": F.col("label")}, buckets, one_cell)
+    out = measured_ranks(df, "v", groups, {"pos": F.col("label")}, buckets)
     got = {(r["g"] if groups else 0, r["v"]): r for r in out.table.collect()}
     assert len(got) == out.distinct
     for (g, v), r in got.items():
@@ -57,10 +57,9 @@ def test_rank_pct(spark, groups, monkeypatch):
     rows = sample()
     df = spark.createDataFrame(rows, "id long, g string, v double, label int").repartition(5)
     want = brute_pct(rows, bool(groups))
-    for broadcast, hot, cell in ((10**9, 10**9, 10**9), (0, 10**9, 0), (0, 100, 0)):
-        monkeypatch.setattr(ranks, "BROADCAST_ROWS", broadcast)
-        monkeypatch.setattr(ranks, "HOT_ROWS", hot)
-        monkeypatch.setattr(ordering, "ONE_CELL_ROWS", cell)
+    for broadcast, hot in ((10**9, 10**9), (0, 10**9), (0, 100)):
+        monkeypatch.setattr(skew.attach, "__defaults__", ("left", None, broadcast, False))
+        monkeypatch.setattr(skew, "HOT_ROWS", hot)
         got = {r.id: r.rank_pct for r in ranks.rank_pct(df, "v", groups=groups).collect()}
         assert len(got) == len(rows)
         assert all(got[i] == pytest.approx(want[i]) if i in want else got[i] is None for i in got)
@@ -73,12 +72,12 @@ def test_known_percentiles(spark):
 
 
 @pytest.mark.parametrize("groups", [[], ["g"]])
-@pytest.mark.parametrize("buckets,one_cell", [(3, 0), (100, 0), (8, 10**9)])
-def test_row_positions(spark, groups, buckets, one_cell):
+@pytest.mark.parametrize("buckets", [1, 3, 100])
+def test_row_positions(spark, groups, buckets):
     rows = sample()
     df = spark.createDataFrame(rows, "id long, g string, v double, label int")
     got = {r.id: r.position for r in row_positions(
-        df, [("v", "desc"), "id"], groups, buckets=buckets, one_cell=one_cell).collect()}
+        df, [("v", "desc"), "id"], groups, buckets=buckets).collect()}
     parts = {}
     for i, g, v, _ in rows:
         parts.setdefault(g if groups else 0, []).append((v is None, -(v or 0), i))
@@ -90,7 +89,7 @@ def test_spread_join_equals_plain_join(spark):
     rows = sample()
     df = spark.createDataFrame(rows, "id long, g string, v double, label int").repartition(4)
     table = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
-    got = spread_join(df, table, ["g"], "n", hot_rows=200, salts=7)
+    got = spread_join(df, table, ["g"], "n", hot_rows=20)
     want = {r.g: (r.n, r.top) for r in table.collect()}
     out = got.collect()
     assert len(out) == len(rows) and all((r.n, r.top) == want[r.g] for r in out)
@@ -144,3 +143,24 @@ def test_fold_summary_and_leaderboard(spark):
     rows = {r.model: r for r in evaluation.leaderboard(evaluation.fold_summary(df), "model", "mean_auc").collect()}
     assert rows["a"].median_auc == 0.7 and rows["a"].winner and not rows["b"].winner
     assert rows["a"].std_auc == pytest.approx(0.16329931618554522) and rows["b"].std_auc == 0.0
+
+
+def test_one_order_for_every_k(spark):
+    """NaN after the values, NULL after NaN, texts in either direction, the smallest long: the same for small and large k."""
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, "b", -(2**63)), (2, 1.0, None, 5), (3, None, "a", None), (4, 2.0, "c", 2**63 - 1)], "id long, v double, t string, n long")
+    for col, want in (("v", [4, 2, 1, 3]), ("t", [4, 1, 3, 2]), ("n", [4, 2, 1, 3])):
+        for k in (4, 1001, None):
+            assert [r.id for r in ranks.ranked(df, col, "id", top_k=k).orderBy("rank").collect()] == want
+        for k in (4, 1001):
+            got = ranks.ranked(df.withColumn("g", F.lit(1)), col, "id", ["g"], k)
+            assert [r.id for r in got.orderBy("rank").collect()] == want
+    assert {r.id: r.rank_pct for r in ranks.rank_pct(df, "v").collect()} == {1: None, 2: 0.5, 3: None, 4: 1.0}
+
+
+def test_many_hot_keys(spark):
+    """More hot keys than the former fixed list held; every one is split by its own rows."""
+    rows = spark.range(6000).select((F.col("id") % 1500).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    got = spread_join(rows, table, ["k"], "n", hot_rows=1)
+    assert got.count() == 6000 and got.where("top % 1500 <> k").count() == 0
