@@ -208,7 +208,7 @@ def range_findings(df: DataFrame, order: str, bounds: Mapping[str, tuple[float,
     text = F.lit(None).cast("string")
     for c, (low, high) in bounds.items():
         msg = F.concat(F.col("affected_row_count").cast("string"),
-                       F.lit(f" row(s) outside plausible bounds [{low:g}, {high:g}]"))
+                       F.lit(f" value(s) not within {low:g} to {high:g}"))
         text = F.when(F.col("column") == c, msg).otherwise(text)
     return out_of_range(df, order, bounds).select(
         F.lit("range").alias("check"), "column", text.alias("issue"), "affected_row_count"
@@ -246,8 +246,7 @@ def batch_findings(
     shared = reference is not None and [c for c in bounds if c in current.columns and c in reference.columns]
     if shared:
         pct = [F.format_string("%.1f", F.col(c) * 100.0) for c in ("reference_rate", "current_rate")]
-        issue = F.concat(F.lit("null rate rose from "), pct[0], F.lit("% (reference) to "), pct[1],
-                         F.lit("% (current)"))
+        issue = F.concat(F.lit("NULL share went up: "), pct[0], F.lit("% before, "), pct[1], F.lit("% now"))
         out = out.unionByName(
             null_spikes(current, reference, shared).select(
                 F.lit("null_rate_spike").alias("check"), "column", issue.alias("issue"))
@@ -274,14 +273,14 @@ def item_errors(
     blank_items = F.coalesce(F.trim(ingredients.cast("string")) == "", F.lit(True))
     has_cal = F.coalesce(cal_text != "", F.lit(False))
     found = F.array(
-        F.when(blank_title, F.lit("Recipe title/name is required and cannot be empty.")),
-        F.when(blank_items, F.lit("Ingredients are required and cannot be empty.")),
+        F.when(blank_title, F.lit("no title")),
+        F.when(blank_items, F.lit("no ingredients")),
         F.when(has_cal & cal.isNull(),
-               F.concat(F.lit("Invalid calorie format: '"), cal_text, F.lit("'. Expected a numeric value.")))
-        .when(cal < 0, F.lit("Calories cannot be negative."))
+               F.concat(F.lit("calories are no number: "), cal_text))
+        .when(cal < 0, F.lit("calories below zero"))
         .when(cal > F.lit(max_calories),
-              F.lit(f"Calories exceed plausible physical threshold (>{max_calories:,.0f} kcal).")),
-        F.when(minutes < 0, F.lit("Cook time cannot be negative.")),
+              F.lit(f"calories above {max_calories:g}")),
+        F.when(minutes < 0, F.lit("cook time below zero")),
     )
     return F.filter(found, lambda e: e.isNotNull())
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ladle.functions import flags, nutrition, scores, text
+from ladle.functions import fixed, flags, nutrition, scores, text
 from ladle.plans import inputs
 from ladle.plans.catalog.registry import query, rounded
 from ladle.plans.inputs import CANDIDATES_SQL, DURATIONS_SQL, NAME_GROUPS
@@ -152,8 +152,7 @@ def macro_calories(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", nutrition.macro_calories(whole).alias("calories"))
 
 
-UNITS = ("cup|cups|tablespoon|tablespoons|teaspoon|teaspoons|ounce|ounces|oz|pound|pounds|lb|lbs|gram|grams|kg|ml|"
-         "liter|liters|package|packages|can|cans|slice|slices")
+UNITS = "|".join(fixed.UNIT_WORDS)
 TEXT_OF = "text || ' 2 cups of flour 1.5 kg x2 cans'"
 
 
