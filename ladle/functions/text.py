@@ -99,24 +99,26 @@ def word_ngrams(tokens: Column, low: int, high: int) -> Column:
     ))
 
 
-def char_ngrams(c: Column, low: int, high: int) -> Column:
-    """Character n-grams inside words: each word is padded with one blank on both sides.
-
-    A padded word of length L gives every window shorter than L, and itself once when L <= ``high``.
-    """
-    padded = F.transform(
+def padded_words(c: Column) -> Column:
+    """Lower-case words with one blank on both sides."""
+    return F.transform(
         F.filter(F.split(squeeze(F.lower(c)), " "), lambda w: w != ""),
         lambda w: F.concat(F.lit(" "), w, F.lit(" ")),
     )
 
+
+def word_windows(w: Column, low: int, high: int) -> Column:
+    """Character n-grams of one padded word of length L: every window shorter than L, and itself once when L <= ``high``."""
     none = F.array().cast("array<string>")
 
-    def of(w: Column, n: int) -> Column:
+    def of(n: int) -> Column:
         last = F.char_length(w) - n + 1
         return F.when(last > 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(w, i, n))).otherwise(none)
 
-    def windows(w: Column) -> Column:
-        whole = F.when(F.char_length(w) <= high, F.array(w)).otherwise(none)
-        return F.concat(*[of(w, n) for n in range(low, high + 1)], whole)
+    whole = F.when(F.char_length(w) <= high, F.array(w)).otherwise(none)
+    return F.concat(*[of(n) for n in range(low, high + 1)], whole)
+
 
-    return F.flatten(F.transform(padded, windows))
+def char_ngrams(c: Column, low: int, high: int) -> Column:
+    """Character n-grams inside the words of a text."""
+    return F.flatten(F.transform(padded_words(c), lambda w: word_windows(w, low, high)))

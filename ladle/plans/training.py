@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scores import positive_score
@@ -17,7 +18,8 @@ from ladle.functions.text import model_text
 from ladle.operators import evaluation, sampling
 from ladle.operators.encode import fit_encoder
 from ladle.operators.ranks import rank_blend
-from ladle.operators.tfidf import TfidfModel, fit_counts, term_counts, terms_of, to_vectors
+from ladle.operators.skew import attach
+from ladle.operators.tfidf import TfidfModel, fit_counts, text_term_counts, to_vectors
 from ladle.session import materialize
 
 
@@ -102,27 +104,49 @@ def linear_model(spec_model: str, c: float, n: int, l1: bool, weighted: bool, ma
 
 @dataclass
 class TextRanker:
+    """A fitted text ranker as tables: ``tfidf`` and the non-zero ``coefficients`` (index, coefficient), stored."""
+
     spec: TextSpec
     tfidf: TfidfModel
-    model: object
+    coefficients: DataFrame
+    intercept: float
 
     def score_counts(self, rows: DataFrame, counts: DataFrame, key: str, name: str) -> DataFrame:
-        """Score rows from term counts made with this ranker's analyzer."""
-        vectors = to_vectors(rows, self.tfidf.weights(counts, key), key, self.tfidf.size)
-        out = self.model.transform(vectors)
-        kept = out.select("rawPrediction") if self.spec.model == "svm" else out.select("probability")
-        return out.withColumn(name, positive_score(kept)).select(*rows.columns, name)
+        """Score rows from term counts made with this ranker's analyzer.
+
+        No vector is made: the terms meet their IDF and coefficient, and a document's sums give its margin.
+        """
+        terms = self.tfidf.vocabulary.join(self.coefficients, "index", "left").select("term", "df", "idf", "coefficient")
+        known = attach(counts, terms, ["term"], "inner", weight="df")
+        tf = F.col("tf").cast("double")
+        w = (F.lit(1.0) + F.log(tf) if self.tfidf.sublinear else tf) * F.col("idf")
+        sums = known.select(key, w.alias("w"), F.coalesce("coefficient", F.lit(0.0)).alias("c")).groupBy(key).agg(
+            (F.sum(F.col("w") * F.col("c")) / F.sqrt(F.sum(F.col("w") * F.col("w")))).alias("__margin"))
+        margin = F.coalesce("__margin", F.lit(0.0)) + F.lit(self.intercept)
+        score = margin if self.spec.model == "svm" else F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+        return rows.join(sums, key, "left").select(*rows.columns, score.alias(name))
 
     def score(self, df: DataFrame, key: str, text: str, name: str = "score") -> DataFrame:
         cleaned = df.select(key, model_text(F.col(text)).alias("__text"))
-        counts = term_counts(cleaned, key, terms_of(F.col("__text"), self.spec.analyzer, self.spec.low, self.spec.high))
+        counts = text_term_counts(cleaned, key, "__text", self.spec.analyzer, self.spec.low, self.spec.high)
         return self.score_counts(df, counts, key, name)
 
+    def save(self, path: str) -> None:
+        self.tfidf.save(f"{path}/tfidf")
+        self.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
+        spark = self.coefficients.sparkSession
+        spark.range(1).select(F.lit(json.dumps(asdict(self.spec))).alias("spec"), F.lit(self.intercept).alias("intercept")).write.mode("overwrite").parquet(f"{path}/settings")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TextRanker:
+        settings = spark.read.parquet(f"{path}/settings").first()
+        return TextRanker(TextSpec(**json.loads(settings["spec"])), TfidfModel.load(spark, f"{path}/tfidf"), spark.read.parquet(f"{path}/coefficients"), settings["intercept"])
+
 
 def text_counts(df: DataFrame, spec: TextSpec, key: str, text: str) -> DataFrame:
     """Stored term counts of cleaned texts; fits on parts of the rows filter this table."""
     cleaned = df.select(key, model_text(F.col(text)).alias("__text"))
-    return materialize(term_counts(cleaned, key, terms_of(F.col("__text"), spec.analyzer, spec.low, spec.high)), "counts")
+    return materialize(text_term_counts(cleaned, key, "__text", spec.analyzer, spec.low, spec.high), "counts")
 
 
 def fit_ranker(
@@ -139,7 +163,11 @@ def fit_ranker(
     # Every iteration reads this table, so it is spread over all cores once.
     data = materialize(data.repartition(rows.sparkSession.sparkContext.defaultParallelism), "training")
     model = linear_model(spec.model, spec.c, n, spec.l1, spec.balanced, max_iter).fit(data)
-    return TextRanker(spec, tfidf, model)
+    dense = model.coefficients.toArray()
+    kept = dense.nonzero()[0]
+    pairs = [(int(i), float(dense[i])) for i in kept]
+    table = materialize(rows.sparkSession.createDataFrame(pairs, "index int, coefficient double"), "coefficients")
+    return TextRanker(spec, tfidf, table, float(model.intercept))
 
 
 @dataclass
@@ -158,6 +186,17 @@ class ChampionRanker:
         blended = rank_blend(out, {f"__{n}": w for n, w in self.weights.items()}, name, groups)
         return blended.drop(*[f"__{n}" for n in self.weights])
 
+    def save(self, path: str) -> None:
+        for name, ranker in self.rankers.items():
+            ranker.save(f"{path}/{name}")
+        spark = next(iter(self.rankers.values())).coefficients.sparkSession
+        spark.range(1).select(F.lit(json.dumps(dict(self.weights))).alias("weights")).write.mode("overwrite").parquet(f"{path}/blend")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ChampionRanker:
+        weights = json.loads(spark.read.parquet(f"{path}/blend").first()["weights"])
+        return ChampionRanker({name: TextRanker.load(spark, f"{path}/{name}") for name in weights}, weights)
+
 
 def fit_champion(
     df: DataFrame, key: str, text: str, weights: Mapping[str, float] = CHAMPION,

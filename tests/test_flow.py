@@ -190,7 +190,7 @@ def test_tfidf_by_hand(spark, tmp_path):
     assert vectors[3].numNonzeros() == 0 and vectors[1].size == 3
 
 
-def test_text_rankers_learn(spark):
+def test_text_rankers_learn(spark, tmp_path):
     r = random.Random(0)
     rows = [(i, " ".join(r.choice(["garlic", "basil"] if i % 3 else ["stale", "burnt"]) for _ in range(6)) + f" w{i % 4}", int(i % 3 > 0))
             for i in range(90)]
@@ -202,6 +202,16 @@ def test_text_rankers_learn(spark):
     champion = training.fit_champion(df, "id", "text", {"w": 0.5, "c": 0.5}, specs, 10)
     scored = champion.score(df.withColumn("req", F.col("id") % 2), "id", "text", ["req"])
     assert evaluation.roc_auc(scored, groups=["req"]).agg(F.min("roc_auc")).first()[0] > 0.95
+    champion.save(str(tmp_path / "champion"))
+    again = training.ChampionRanker.load(spark, str(tmp_path / "champion"))
+    for name, ranker in champion.rankers.items():
+        got = {r.id: r.score for r in ranker.score(df, "id", "text").collect()}
+        assert got == {r.id: pytest.approx(r.score) for r in again.rankers[name].score(df, "id", "text").collect()}
+        counts = training.text_counts(df, ranker.spec, "id", "text")
+        weight = {r["index"]: r["coefficient"] for r in ranker.coefficients.collect()}
+        for r in ranker.tfidf.weights(counts, "id").collect():
+            margin = ranker.intercept + sum(weight.get(i, 0.0) * w for i, w in zip(r.indices, r.weights, strict=True))
+            assert got[r.id] == pytest.approx(margin if ranker.spec.model == "svm" else 1 / (1 + math.exp(-margin)))
 
 
 def test_estimators_in_a_pipeline(spark):
