@@ -36,9 +36,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out. Texts that lose nothing stay as they were; a text that loses every
     word goes."""
-    cut = substrings.remove_repeats(docs, keep=tuple(docs.columns)).where("n_removed = 0 OR n_removed < n_words")
+    cut = substrings.remove_repeats(docs, keep=tuple(c for c in docs.columns if c != "text")).where("n_removed = 0 OR n_removed < n_words")
     changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept_text")).otherwise(F.col("row.text"))
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
     new = {"text": text.alias("text"), "n_chars": F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars")}
     return cut.select(*[new[c] if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 

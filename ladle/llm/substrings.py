@@ -99,13 +99,13 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_text (kept words joined by one space), kept_sha256; with ``keep`` also a
-    struct ``row`` of those columns as they were."""
+    struct ``row`` of those columns as they were, and the ``text`` as it was."""
     marks = repeated_windows(docs, window, key, text)
     rest = [F.struct(*keep).alias("row")] if keep else []
-    names = ["row"] if keep else []
+    names = ["text", "row"] if keep else []
     # Without ``keep`` the shuffle of the texts is the one that repeated_windows makes.
     known = _ordered(docs, key, text, rest)
-    joined = known.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found", *names)
+    joined = known.join(marks.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "found", *names[1:])
     free = docs.where(F.col(key).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("binary").alias("found"), *rest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
