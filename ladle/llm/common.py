@@ -19,7 +19,8 @@ from ladle.session import materialize, measured_bytes, shuffle_width
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 CHUNK_BYTES = 1 << 20
-BATCH_ROWS = 4096
+BATCH_ROWS = 2048
+BATCH_BYTES = 8 << 20
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -38,6 +39,7 @@ def tune(spark: SparkSession) -> None:
     """Smaller Arrow batches than the default, so that a worker holds few whole texts at a time."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
