@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions import fixed
@@ -22,9 +22,14 @@ def guard_inputs(columns: Sequence[str], forbidden: Sequence[str] = tuple(fixed.
     return list(columns)
 
 
+def number(c: str) -> Column:
+    """The column as a number; NaN is missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median per column, all columns in one pass."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), number(c).alias("v")) for c in columns])
     long = df.select(F.explode(pairs).alias("p")).select("p.column", "p.v")
     rows = exact_quantiles(long, "v", {"median": 0.5}, ["column"], "linear").collect()  # one row per column
     return {r["column"]: r["median"] for r in rows}
@@ -57,7 +62,7 @@ class InputEncoder:
         """Numeric columns imputed and standardised, categorical ones imputed."""
         cols = {}
         for c in self.numeric:
-            filled = F.coalesce(F.col(c).cast("double"), F.lit(self.fill.get(c, 0.0)))
+            filled = F.coalesce(number(c), F.lit(self.fill.get(c, 0.0)))
             cols[c] = (filled - F.lit(self.mean[c])) / F.lit(self.std[c] or 1.0)
         for c in self.categorical:
             cols[c] = F.coalesce(F.col(c).cast("string"), F.lit(self.mode.get(c, "")))
@@ -76,7 +81,7 @@ def fit_encoder(
     numeric, categorical = guard_inputs(numeric), guard_inputs(categorical)
     fill = medians(df, numeric)
     mode = modes(df, categorical) if categorical else {}
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill.get(c, 0.0))) for c in numeric}
+    filled = {c: F.coalesce(number(c), F.lit(fill.get(c, 0.0))) for c in numeric}
     stats = df.agg(
         *[F.avg(x).alias(f"m_{c}") for c, x in filled.items()],
         *[F.stddev_pop(x).alias(f"s_{c}") for c, x in filled.items()],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -84,6 +84,24 @@ def request_rules() -> list[ColumnRule]:
     ]
 
 
+def request_level_rules() -> list[ColumnRule]:
+    """Contract of a scoring request itself: its limits, its tags, at least one candidate and at least one result."""
+    tags = F.array(*[F.lit(t) for t in fixed.TAG_NAMES])
+    asked = F.coalesce(F.col("required_dietary_tags"), F.array().cast("array<string>"))
+    return [
+        ColumnRule("max_calories", None, True, {"ge(0)": F.col("max_calories") >= 0}),
+        ColumnRule("max_cook_time_minutes", None, True, {"ge(0)": F.col("max_cook_time_minutes") >= 0}),
+        ColumnRule("required_dietary_tags", None, True, {"enum": F.size(F.array_except(asked, tags)) == 0}),
+        ColumnRule("n_candidates", None, False, {"ge(1)": F.col("n_candidates") >= 1}),
+        ColumnRule("top_k", None, True, {"ge(1)": F.col("top_k") >= 1}),
+    ]
+
+
+def missing_table(spark: SparkSession, name: str, gating: bool = True) -> DataFrame:
+    """Finding for a table that is not there: critical if later stages need it, else a warning."""
+    return gate(spark.createDataFrame([(None, "table_exists", name, None)], FINDING), gating)
+
+
 def column_findings(df: DataFrame, rules: Sequence[ColumnRule]) -> list[tuple[str, str, str]]:
     """Missing columns and wrong types, from the schema alone."""
     types = dict(df.dtypes)
@@ -129,9 +147,15 @@ def check_rules(df: DataFrame, rules: Sequence[ColumnRule], row_id: str) -> Data
 
 
 def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, null_rate) for all columns in one pass; absent columns are skipped."""
+    """(column, null_rate) for all columns in one pass; absent columns are skipped. NaN counts as missing."""
     cols = [c for c in (columns or df.columns) if c in df.columns]
-    one = df.agg(*[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in cols])
+    kinds = dict(df.dtypes)
+
+    def missing(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        return col.isNull() | F.isnan(col) if kinds[c] in ("double", "float") else col.isNull()
+
+    one = df.agg(*[F.avg(missing(c).cast("double")).alias(c) for c in cols])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("null_rate")) for c in cols])
     return one.select(F.explode(pairs).alias("p")).select("p.column", "p.null_rate")
 
