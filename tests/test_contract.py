@@ -14,6 +14,8 @@ QUICK = [
     "dedupe_first", "stratified_split", "repeated_folds", "group_zscore", "roc_auc_by_group", "grouped_precision_at_k",
     "clean_text", "split_lines", "model_text", "constraint_filter_strict", "score_requests", "rule_findings", "fault_ranges",
     "ks_drift", "telemetry_by_path", "char_wb_ngrams", "tfidf", "promotion_decision", "telemetry_windows",
+    "production_auc", "stage_trace", "request_level_contract", "candidate_file_findings", "validation_warnings", "impute_encode",
+    "word_ngrams", "tfidf_chars", "alert_verification", "numbered_ids",
 ]
 
 
