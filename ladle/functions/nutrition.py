@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ladle.functions import fixed
 
 _MAP = "map<string,string>"
+# A table may have this many columns made of keys; the long form has no such limit.
+MAX_COLUMNS = 1000
 
 
 def parse_map(c: Column) -> Column:
@@ -29,10 +31,18 @@ def coerce_number(c: Column) -> Column:
     return F.coalesce(plain, truth, rest)
 
 
+def map_rows(df: DataFrame, key: str, col: str) -> DataFrame:
+    """(key, name, value): one row per entry of a JSON text column. Any number of names; nothing visits the driver."""
+    entries = df.select(key, F.explode(parse_map(F.col(col))).alias("name", "text"))
+    return entries.select(key, "name", coerce_number(F.col("text")).alias("value"))
+
+
 def map_keys(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct keys of a map column; keys become columns, so their number is that of a schema."""
-    found = df.select(F.explode(F.map_keys(col)).alias("k")).distinct()
-    return sorted(r.k for r in found.toLocalIterator())
+    """Sorted distinct keys of a map column, for the wide form; more than MAX_COLUMNS are refused."""
+    found = df.select(F.explode(F.map_keys(col)).alias("k")).distinct().limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} keys: use map_rows")
+    return sorted(r.k for r in found)
 
 
 def map_to_columns(

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladle.functions import fixed
-from ladle.operators.ordering import exact_quantiles
+from ladle.operators.ordering import exact_quantiles, row_positions
+from ladle.operators.skew import attach
+from ladle.session import materialize
 
 
 def guard_inputs(columns: Sequence[str], forbidden: Sequence[str] = tuple(fixed.RATING_DERIVED)) -> list[str]:
@@ -46,9 +48,16 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {r["column"]: r["mode"] for r in best.collect()}
 
 
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """(column, index, n) of the distinct values: most frequent first, then by value. Stored; it never visits the driver."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    placed = row_positions(counts, [("n", "desc"), column], name="__pos")
+    return materialize(placed.select(column, (F.col("__pos") - 1).cast("double").alias("index"), "n"), "categories")
+
+
 @dataclass
 class InputEncoder:
-    """Fitted fill values and scales, and the one-hot stages."""
+    """Fitted fill values and scales, a table of categories for each categorical column, and the one-hot stages."""
 
     numeric: list[str]
     categorical: list[str]
@@ -56,6 +65,7 @@ class InputEncoder:
     mode: dict[str, str]
     mean: dict[str, float]
     std: dict[str, float]
+    tables: dict[str, DataFrame] = field(default_factory=dict)
     stages: PipelineModel | None = None
 
     def scaled(self, df: DataFrame) -> DataFrame:
@@ -68,9 +78,19 @@ class InputEncoder:
             cols[c] = F.coalesce(F.col(c).cast("string"), F.lit(self.mode.get(c, "")))
         return df.withColumns(cols)
 
+    def indexed(self, df: DataFrame) -> DataFrame:
+        """Scaled rows with an index for each categorical value; an unseen value gets one past the last."""
+        out = self.scaled(df)
+        for c in self.categorical:
+            table = self.tables[c]
+            known = attach(out, table.withColumnsRenamed({"index": f"__i_{c}", "n": f"__n_{c}"}), [c], weight=f"__n_{c}", stored=True)
+            size = table.agg(F.count(F.lit(1)).cast("double")).scalar()
+            out = known.withColumn(f"__i_{c}", F.coalesce(F.col(f"__i_{c}"), size)).drop(f"__n_{c}")
+        return out
+
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add ``features``; an unseen category is all zeros."""
-        return self.stages.transform(self.scaled(df))
+        """Add ``features``, sparse in the categories; an unseen category is all zeros."""
+        return self.stages.transform(self.indexed(df))
 
 
 def fit_encoder(
@@ -89,14 +109,10 @@ def fit_encoder(
     enc = InputEncoder(
         numeric, categorical, fill, mode, {c: stats[f"m_{c}"] for c in numeric}, {c: stats[f"s_{c}"] for c in numeric}
     )
-    stages = []
-    if categorical:
-        idx = [f"__i_{c}" for c in categorical]
-        hot = [f"__h_{c}" for c in categorical]
-        stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=True))
-    else:
-        hot = []
+    scaled = enc.scaled(df)
+    enc.tables = {c: category_table(scaled, c) for c in categorical}
+    hot = [f"__h_{c}" for c in categorical]
+    stages = [OneHotEncoder(inputCols=[f"__i_{c}" for c in categorical], outputCols=hot, dropLast=True, handleInvalid="keep")] if categorical else []
     stages.append(VectorAssembler(inputCols=[*numeric, *hot], outputCol="features"))
-    enc.stages = Pipeline(stages=stages).fit(enc.scaled(df))
+    enc.stages = Pipeline(stages=stages).fit(enc.indexed(df))
     return enc

@@ -137,6 +137,14 @@ def json_map_columns(spark, sf):
     return nutrition.map_to_columns(df, "nutrition").drop("nutrition")
 
 
+@query("json_map_rows", """
+SELECT event_id, k AS name, TRY_CAST(json_extract_string(props, '$."' || k || '"') AS DOUBLE) AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""")
+def json_map_rows(spark, sf):
+    df = inputs.table(spark, sf, "events").select("event_id", F.col("props").alias("nutrition"))
+    return nutrition.map_rows(df, "event_id", "nutrition")
+
+
 @query("macro_calories", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CASE WHEN c > 0 THEN round(c, 1) END AS calories
