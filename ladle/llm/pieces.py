@@ -2,14 +2,15 @@
 
 An Aho-Corasick automaton over all pieces reads a text once. At every position it names the pieces that end there (its own node
 and those on its output links, longest first), and each of them relaxes the best score of the prefix that ends there: single-pass
-Viterbi. The best segmentation has the highest sum of piece scores. Of equal sums the one with fewer pieces wins, then the one
-whose last piece is longer. Characters that no piece covers are spelt with the model's byte pieces.
+Viterbi. The best segmentation has the highest sum of piece scores (in millionths). Of equal sums the one with fewer pieces wins, then
+the one whose last piece is longer. Characters that no piece covers are spelt with the model's byte pieces.
 
 A unigram model's scores are those in its file. A merge model's file has ranks instead of log probabilities; a piece then scores
 as Zipf's law gives for its rank: -log(rank + 1) - log(sum of 1 / r).
 
 As no piece holds the space mark after another character, the best segmentation of a text is the chain of those of its units (a run
-of space marks and what follows up to the next run). Equal units are looked up in a bounded table of each worker. Decoding
+of space marks and what follows up to the next run). For the same reason a unit falls apart between two characters that stand side by
+side in no piece, such as a letter and a comma. Equal units and parts are looked up in bounded tables of each worker. Decoding
 joins the pieces; encoding and decoding give every text back exactly, as nothing is normalised: a space becomes the
 space mark, with one put in front of a non-empty text, and a text's own space marks are spelt in bytes.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,12 +37,25 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 from ladle.llm.common import tune
 
 SPACE = "▁"
-UNITS = 1 << 18
+UNITS = 1 << 19
+PARTS = 1 << 19
 _OWN_MARK = "\x00mark\x00"
 BYTE_SCORE = -30.0
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
+_NONE = -(1 << 100)
+
+
+def _value(score: float) -> int:
+    """A score in millionths and, below it, one piece: a whole number, so that sums are exact and compare in one step."""
+    return (round(score * 1_000_000) << 24) - 1
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Encoder:
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: list[int], special: set[int]):
         self.pieces, self.byte_ids = pieces, byte_ids
@@ -49,7 +64,7 @@ class Encoder:
             if p and i not in special and p not in self.automaton:
                 if SPACE in p.lstrip(SPACE):
                     raise ValueError("a piece holds a space mark after another character")
-                self.automaton.add_word(p, (len(p), s, i))
+                self.automaton.add_word(p, (len(p), _value(s), i))
         self.automaton.make_automaton()
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
         self.bytes = [p.replace(SPACE, " ").encode() for p in pieces]
@@ -57,40 +72,55 @@ class Encoder:
             self.bytes[i] = bytes([b])
         for i in special - set(self.byte_of):
             self.bytes[i] = b""
+        self.letters = {p for i, p in enumerate(pieces) if len(p) == 1 and i not in special}
+        self.pairs = {p[k : k + 2] for i, p in enumerate(pieces) if i not in special for k in range(len(p) - 1)}
         self.seen: dict[str, bytes] = {}
-
-    def best(self, unit: str) -> list[int]:
-        """Viterbi over one unit."""
+        self.parts: dict[str, bytes] = {}
+
+    def best(self, unit: str) -> bytes:
+        """Best ids of a unit, packed: those of its parts."""
+        pairs, parts, out, a = self.pairs, self.parts, [], 0
+        for e in range(1, len(unit) + 1):
+            if e == len(unit) or unit[e - 1 : e + 1] not in pairs:
+                part = unit[a:e]
+                got = parts.get(part)
+                if got is None:
+                    got = _packed(self.viterbi(part))
+                    if len(parts) >= PARTS:
+                        parts.clear()
+                    if len(part) <= 64:
+                        parts[part] = got
+                out.append(got)
+                a = e
+        return out[0] if len(out) == 1 else b"".join(out)
+
+    def viterbi(self, unit: str) -> list[int]:
+        """Single pass over a part."""
         n = len(unit)
-        score = [-math.inf] * (n + 1)
-        count = [0] * (n + 1)
-        back: list = [None] * (n + 1)
-        score[0] = 0.0
-        done = 0
-
-        def spell(to: int) -> None:
-            """Prefixes between that no piece ends: the last character in bytes."""
-            nonlocal done
-            for e in range(done + 1, to + 1):
-                if back[e] is None:
-                    raw = unit[e - 1].encode("utf-8", "surrogatepass")
-                    score[e], count[e] = score[e - 1] + BYTE_SCORE * len(raw), count[e - 1] + len(raw)
-                    back[e] = (e - 1, -1)
-            done = to
-
-        for last, (size, s, i) in self.automaton.iter(unit):
-            e = last + 1
-            if e - 1 > done:
-                spell(e - 1)
-            a = e - size
-            new, k = score[a] + s, count[a] + 1
-            if back[e] is None or new > score[e] or (new == score[e] and (k < count[e] or (k == count[e] and a < back[e][0]))):
-                score[e], count[e], back[e] = new, k, (a, i)
-        spell(n)
+        value = [0, *[_NONE] * n]
+        start, piece = [0] * (n + 1), [-1] * (n + 1)
+        if self.letters.issuperset(unit):  # every prefix ends in a piece
+            for last, (size, v, i) in self.automaton.iter(unit):
+                e = last + 1
+                new = value[e - size] + v
+                if new > value[e]:
+                    value[e], start[e], piece[e] = new, e - size, i
+        else:
+            ends: dict[int, list] = {}
+            for last, found in self.automaton.iter(unit):
+                ends.setdefault(last + 1, []).append(found)
+            for e in range(1, n + 1):
+                for size, v, i in ends.get(e, ()):
+                    new = value[e - size] + v
+                    if new > value[e]:
+                        value[e], start[e], piece[e] = new, e - size, i
+                if piece[e] < 0:  # no piece ends here: the last character in bytes
+                    value[e] = value[e - 1] + len(unit[e - 1].encode("utf-8", "surrogatepass")) * _value(BYTE_SCORE)
+                    start[e] = e - 1
         out: list[int] = []
         e = n
         while e:
-            a, i = back[e]
+            a, i = start[e], piece[e]
             out.extend([i] if i >= 0 else [self.byte_ids[b] for b in reversed(unit[a:e].encode("utf-8", "surrogatepass"))])
             e = a
         return out[::-1]
@@ -99,13 +129,10 @@ class Encoder:
         got = self.seen.get(unit)
         if got is None:
             if "\x00" in unit:
-                ids: list[int] = []
-                for k, part in enumerate(unit.split(_OWN_MARK)):
-                    ids += [self.byte_ids[b] for b in SPACE.encode()] if k else []
-                    ids += self.best(part) if part else []
+                mark = _packed([self.byte_ids[b] for b in SPACE.encode()])
+                got = mark.join([self.best(part) if part else b"" for part in unit.split(_OWN_MARK)])
             else:
-                ids = self.best(unit)
-            got = np.array(ids, np.int32).tobytes()
+                got = self.best(unit)
             if len(self.seen) >= UNITS:
                 self.seen.clear()
             if len(unit) <= 64:
@@ -126,7 +153,7 @@ class Encoder:
         return b"".join([seen.get(u) or unit(u) for u in [SPACE + p for p in parts]])
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join([self.bytes[i] for i in ids.tolist()])
+        raw = b"".join(map(self.bytes.__getitem__, ids.tolist()))
         return raw[1:].decode("utf-8", "surrogatepass")
 
 
