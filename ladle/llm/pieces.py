@@ -37,7 +37,7 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, Stru
 from ladle.llm.common import tune
 
 SPACE = "▁"
-UNITS = 1 << 19
+UNITS = 1 << 18
 PARTS = 1 << 19
 _OWN_MARK = "\x00mark\x00"
 BYTE_SCORE = -30.0
@@ -152,6 +152,11 @@ class Encoder:
         seen, unit = self.seen, self.unit
         return b"".join([seen.get(u) or unit(u) for u in [SPACE + p for p in parts]])
 
+    def forget(self) -> None:
+        """Empty the look-up tables: a worker outlives its task, and other work needs the memory."""
+        self.seen.clear()
+        self.parts.clear()
+
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.bytes.__getitem__, ids.tolist()))
         return raw[1:].decode("utf-8", "surrogatepass")
@@ -191,6 +196,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             none = np.r_[[p is None for p in packed], False].astype(bool)
             column = pa.ListArray.from_arrays(pa.array(off, mask=none if none.any() else None), flat)
             yield _added(batch, ids, column)
+        e.forget()
 
     return docs.mapInArrow(run, _with(docs, ids, ArrayType(IntegerType())))
 
@@ -229,6 +235,7 @@ def digest(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             n, crc, same = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())],
                                              ["doc_id", "n_pieces", "ids_crc32", "round_trip"])
+        e.forget()
 
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return base.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")
