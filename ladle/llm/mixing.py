@@ -1,7 +1,7 @@
-"""Language-model scores by online logistic mixing of hashed-context bit predictors.
+"""Language-model scores by online logistic mixing of bit predictors over word classes.
 
 Text is read as words (A-Z lower-cased) and one end token a document. A word's probability has two factors. Its class, CLASS_BITS
-high bits of its hash, is coded bit by bit: each bit is predicted from hashed contexts (the class bits so far alone, with
+high bits of its hash, is coded bit by bit: each bit is predicted from counts in contexts (the class bits so far alone, with
 the previous word's class, and with the two previous words' classes); the predictions are combined in the logistic domain by a
 weight set chosen by the bit's place (the gate) and then corrected by an adaptive probability map. Within its class the word is
 coded by its training count. Both factors are proper distributions, so the score is a log probability and the code length total.
@@ -10,7 +10,11 @@ Learning reads every training document. Bit counts are added up over the documen
 start equal and are trained online over those with remainder 9, block by block, and averaged over tasks, so that no context has
 seen the text it is weighed on. While a document is scored its own weights go on learning after each block of BLOCK tokens. Word
 counts cover all training documents, stay distributed, and meet the documents in a shuffle; only words above 1/HOT_SHARE of all
-tokens (at most HOT_SHARE by counting) are broadcast. The context tables have a fixed number of slots.
+tokens (at most HOT_SHARE by counting) are broadcast.
+
+No two contexts share a count. The bits after no word and after one have a slot each in a table that holds all there can be
+(1025 x 1023), which is broadcast. What follows two words is kept as the count of every class triple that occurs, in rows dealt by
+the two words, as many as the input has; each batch sends its distinct triples there and gets the counts along their bits back.
 
 Cases: a null or empty text is one end token. A null doc_id counts as held out (crc32 of nothing) and is scored. Repeated rows
 count and are scored each on their own. An empty table gives no rows; without training rows all predictions are even.
@@ -28,11 +32,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, crc32_of_id, known_bytes, materialize, mix, tokens, tune, width
+from ladle.llm.common import Words, crc32_of_id, materialize, mix, tokens, tune, width
 
 CLASS_BITS = 10
 CLASSES = 1 << CLASS_BITS
 CONTEXTS = 3
+#: At least (CLASSES + 1) x (CLASSES - 1): every pair of a previous class and a place in the next.
 SLOTS = 1 << 20
 BLOCK = 256
 RATE = 0.02
@@ -60,8 +65,8 @@ def _classes(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - CLASS_BITS)).astype(np.int32)
 
 
-def _slots(cls: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context slots of every bit (contexts x tokens x bits) and the bits (tokens x bits)."""
+def _before(cls: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the word before and of the one before that; CLASSES where the text has none."""
     n = len(cls)
     prev1 = np.full(n, CLASSES, np.int64)
     prev1[1:] = cls[:-1]
@@ -72,14 +77,26 @@ def _slots(cls: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     prev2[begin[begin < n]] = CLASSES
     second = begin + 1
     prev2[second[second < ptr[1:]]] = CLASSES
+    return prev1, prev2
+
+
+def _triples(cls: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """One number (below 1025^2 * 1024) for each token and the two before it; the two alone are the number >> CLASS_BITS."""
+    prev1, prev2 = _before(cls, ptr)
+    return ((prev1 * (CLASSES + 1) + prev2) << CLASS_BITS) | cls
+
+
+def _slots(cls: np.ndarray, ptr: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of every bit in the first ``contexts`` contexts (contexts x tokens x bits) and the bits (tokens x bits)."""
+    prev1, prev2 = _before(cls, ptr)
     shift = np.arange(CLASS_BITS, dtype=np.int64)
     node = (cls[:, None].astype(np.int64) | CLASSES) >> (CLASS_BITS - shift)[None, :]
     bits = ((cls[:, None] >> (CLASS_BITS - 1 - shift)[None, :]) & 1).astype(np.float32)
-    out = np.empty((CONTEXTS, n, CLASS_BITS), np.int32)
+    out = np.empty((contexts, len(cls), CLASS_BITS), np.int32)
     out[0] = node
-    for c, ctx in ((1, prev1), (2, prev1 * (CLASSES + 1) + prev2 + (1 << 40))):
-        base = mix(ctx.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
-        out[c] = ((base + node.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)) * np.uint64(0xAEF17502108EF2D9)) >> np.uint64(44)
+    out[1] = prev1[:, None] * (CLASSES - 1) + node - 1
+    if contexts == CONTEXTS:
+        out[2] = ((prev1 * (CLASSES + 1) + prev2)[:, None] * (CLASSES - 1) + node - 1) % SLOTS
     return out, bits
 
 
@@ -95,9 +112,10 @@ def _groups(ptr: np.ndarray) -> Iterator[tuple[int, int]]:
         d = to
 
 
-def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, weights: np.ndarray, carry: bool) -> tuple[np.ndarray, np.ndarray, list]:
+def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, weights: np.ndarray, carry: bool, third: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list]:
     """Log2 probability of every token's class. ``weights`` (gates x contexts + 1) start each text; with ``carry`` they run on
-    from text to text instead. Returns also the last weights and (stretch, bit) pieces for the probability map."""
+    from text to text instead. ``third`` (tokens x bits) is what the counts after two words say; without it a third
+    table of the model is asked, by slot. Returns also the last weights and (stretch, bit) pieces for the probability map."""
     n_docs = len(ptr) - 1
     out = np.zeros(len(cls))
     local = np.repeat(weights[None], n_docs, 0).astype(np.float32)
@@ -109,11 +127,13 @@ def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, weights: np.ndarray, c
     block = place // BLOCK
     order = np.argsort(block, kind="stable")
     edges = np.searchsorted(block[order], np.arange(int(block.max()) + 2 if len(block) else 1))
-    slots, bits = _slots(cls, ptr)
+    own_tables = CONTEXTS if third is None else CONTEXTS - 1
+    slots, bits = _slots(cls, ptr, own_tables)
     gate = np.arange(CLASS_BITS)
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         pick = order[lo:hi]
-        x = np.stack([model["stretch"][c][slots[c][pick]] for c in range(CONTEXTS)] + [np.full((len(pick), CLASS_BITS), 0.3, np.float32)], 2)
+        x = [model["stretch"][c][slots[c][pick]] for c in range(own_tables)] + ([] if third is None else [third[pick]])
+        x = np.stack([*x, np.full((len(pick), CLASS_BITS), 0.3, np.float32)], 2)
         w = run[None, gate] if carry else local[owner[pick]]
         s = np.einsum("tbc,tbc->tb", x, np.broadcast_to(w, x.shape))
         p = _squash(s)
@@ -144,9 +164,31 @@ def _pack(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names)
 
 
-COUNTED = "part int, salt int, keys binary, counts binary"
-_COUNTED = (["part", "salt", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
-TABLE_PARTS = 16
+COUNTED = "kind int, part int, keys binary, counts binary"
+_COUNTED = (["kind", "part", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
+WORD, PAIR, TRIPLE = 0, 1, 2
+PAIRS = (CLASSES + 1) * CLASSES
+
+
+def _squeeze(x: np.ndarray) -> bytes:
+    """Whole numbers from 0, in as few bytes as the largest needs, like bytes together."""
+    size = next(k for k in (1, 2, 4, 8) if not len(x) or int(x.max()) < 1 << (8 * k))
+    raw = np.ascontiguousarray(np.ascontiguousarray(x, f"<u{size}").view(np.uint8).reshape(-1, size).T).tobytes()
+    return np.array([size, len(x)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _loosen(b: bytes) -> np.ndarray:
+    size, n = np.frombuffer(b, np.int64, 2).tolist()
+    raw = np.frombuffer(pa.decompress(b[16:], size * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(size, n).T).reshape(-1).view(f"<u{size}").astype(np.int64)
+
+
+def _rising(x: np.ndarray) -> bytes:
+    return _squeeze(np.diff(x, prepend=0))
+
+
+def _risen(b: bytes) -> np.ndarray:
+    return np.cumsum(_loosen(b))
 
 
 def _sum(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,58 +198,92 @@ def _sum(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[cut], (np.add.reduceat(n, cut) if len(cut) else n).astype(np.int64)
 
 
-def _word_rows(got: list, parts: int) -> list[tuple]:
+def _word_parts(h: np.ndarray, parts: int) -> np.ndarray:
+    return (h % np.uint64(parts)).astype(np.int64)
+
+
+def _triple_parts(t: np.ndarray, parts: int) -> np.ndarray:
+    """All triples after the same two words are in one part: at most CLASSES."""
+    return _word_parts(mix((t >> CLASS_BITS).astype(np.uint64)), parts)
+
+
+def _cuts(part: np.ndarray) -> list[tuple[int, int]]:
+    """Where each part of a sorted column begins and ends."""
+    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    return list(zip(cut.tolist(), np.r_[cut[1:], len(part)].tolist(), strict=True)) if len(part) else []
+
+
+def _count_rows(kind: int, got: list, parts: int) -> list[tuple]:
     h, n = _sum(np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]))
-    part = (h % np.uint64(parts)).astype(np.int64)
+    part = _word_parts(h, parts) if kind == WORD else _triple_parts(h, parts)
     order = np.argsort(part, kind="stable")
     h, n, part = h[order], n[order], part[order]
-    cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    return [(int(part[a]), 0, h[a:b].tobytes(), n[a:b].tobytes()) for a, b in zip(cut, np.r_[cut[1:], len(h)], strict=True)]
+    return [(kind, int(part[a]), *_stored(kind, h[a:b], n[a:b])) for a, b in _cuts(part)]
+
+
+def _stored(kind: int, h: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return (h.tobytes(), n.tobytes()) if kind == WORD else (_rising(h), _squeeze(n))
 
 
-def _count(parts: int, salts: int):
-    """Word counts by part, and bit counts of the context tables as parts below zero."""
+def _read(kind: int, keys: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of some stored rows, row after row."""
+    if kind == WORD:
+        return np.frombuffer(b"".join(keys), np.uint64), np.frombuffer(b"".join(counts), np.int64)
+    none = [np.zeros(0, np.int64)]
+    return np.concatenate(none + [_risen(x) for x in keys]), np.concatenate(none + [_loosen(x) for x in counts])
+
+
+def _count(parts: int):
+    """Counts by part: of words, and of class pairs and class triples of the rows the context counts are learned from."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, got = np.zeros((CONTEXTS, 2 * SLOTS), np.int64), []
+        pairs, got = np.zeros(PAIRS, np.int64), {WORD: [], TRIPLE: []}
         for batch in batches:
             h, ptr = _with_end(tokens(batch.column("text"), lower=True))
-            got.append(np.unique(h, return_counts=True))
+            got[WORD].append(np.unique(h, return_counts=True))
             cls, use = _classes(h), np.repeat(batch.column("fold").to_numpy(zero_copy_only=False) < 9, np.diff(ptr))
-            for a, b in _groups(ptr):
-                lo, hi = ptr[a], ptr[b]
-                slots, bits = _slots(cls[lo:hi], ptr[a : b + 1] - lo)
-                one = bits[use[lo:hi]].astype(np.int64)
-                for c in range(CONTEXTS):
-                    table[c] += np.bincount((slots[c][use[lo:hi]] * 2 + one).ravel(), minlength=2 * SLOTS)
-            if sum(len(x[0]) for x in got) > 1 << 19:
-                yield _pack(_word_rows(got, parts), *_COUNTED)
-                got = []
-        if got:
-            yield _pack(_word_rows(got, parts), *_COUNTED)
-        salt = TaskContext.get().partitionId() % salts
-        size = 2 * SLOTS // TABLE_PARTS
-        for c in range(CONTEXTS):
-            for k in range(TABLE_PARTS):
-                piece = table[c, k * size : (k + 1) * size]
-                at = np.flatnonzero(piece)
-                if len(at):
-                    yield _pack([(-1 - c * TABLE_PARTS - k, salt, at.astype(np.uint64).tobytes(), piece[at].tobytes())], *_COUNTED)
+            t = _triples(cls, ptr)[use]
+            pairs += np.bincount(t // ((CLASSES + 1) << CLASS_BITS) * CLASSES + cls[use], minlength=PAIRS)
+            got[TRIPLE].append(np.unique(t, return_counts=True))
+            for kind, held in got.items():
+                if sum(len(x[0]) for x in held) > 1 << 19:
+                    yield _pack(_count_rows(kind, held, parts), *_COUNTED)
+                    held.clear()
+        for kind, held in got.items():
+            if held:
+                yield _pack(_count_rows(kind, held, parts), *_COUNTED)
+        at = np.flatnonzero(pairs)
+        part = at * parts // PAIRS
+        yield _pack([(PAIR, int(part[a]), *_stored(PAIR, at[a:b], pairs[at[a:b]])) for a, b in _cuts(part)], *_COUNTED)
 
     return deal
 
 
 def _add_up(group: pa.Table) -> pa.Table:
-    h = np.concatenate([np.frombuffer(x, np.uint64) for x in group.column("keys").to_pylist()])
-    n = np.concatenate([np.frombuffer(x, np.int64) for x in group.column("counts").to_pylist()])
-    part = group.column("part")[0].as_py()
-    if part < 0:
-        total = np.bincount(h.astype(np.int64), n, 2 * SLOTS // TABLE_PARTS).astype(np.int64)
-        h = np.flatnonzero(total).astype(np.uint64)
-        n = total[h.astype(np.int64)]
-    else:
-        h, n = _sum(h, n)
-    return pa.Table.from_batches([_pack([(part, 0, h.tobytes(), n.tobytes())], *_COUNTED)])
+    kind, part = group.column("kind")[0].as_py(), group.column("part")[0].as_py()
+    h, n = _sum(*_read(kind, group.column("keys").to_pylist(), group.column("counts").to_pylist()))
+    return pa.Table.from_batches([_pack([(kind, part, *_stored(kind, h, n))], *_COUNTED)])
+
+
+def _paths(table: np.ndarray, counts: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """For each triple of ``t`` (sorted): how often its two words were counted, and how often with each longer start of its class
+    (CLASS_BITS + 1 rows). ``table``: the sorted triples of the part."""
+    sums = np.r_[0, np.cumsum(counts)]
+    start = t >> CLASS_BITS << CLASS_BITS
+    lo, hi = np.searchsorted(table, start), np.searchsorted(table, start + CLASSES)
+    out = np.zeros((CLASS_BITS + 1, len(t)), np.int64)
+    out[0] = sums[hi] - sums[lo]
+    for k in range(CLASS_BITS):
+        left = np.flatnonzero(hi > lo)
+        a, b = lo[left], hi[left]
+        middle = (t[left] >> (CLASS_BITS - k) << (CLASS_BITS - k)) + (CLASSES >> (k + 1))
+        at = a + (table[a] < middle)
+        more = np.flatnonzero(b - a > 1)
+        at[more] = np.searchsorted(table, middle[more])
+        upper = t[left] >= middle
+        lo[left], hi[left] = np.where(upper, at, a), np.where(upper, b, at)
+        out[k + 1, left] = sums[hi[left]] - sums[lo[left]]
+    return out
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,119 +307,153 @@ def _hot(least: float):
     return pick
 
 
-def _train_weights(shared):
-    """(place, value, weight): weights of the mixer and the probability map, each task's own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, n = START.copy(), 0
-        hits, tries = np.zeros((CLASS_BITS, MAP_STEPS)), np.zeros((CLASS_BITS, MAP_STEPS))
-        gate = np.arange(CLASS_BITS)[None]
-        for batch in batches:
-            h, ptr = _with_end(tokens(batch.column("text"), lower=True))
-            cls = _classes(h)
-            for a, b in _groups(ptr):
-                _, w, seen = _mixed(shared.value, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], w, carry=True)
-                for s, y in seen:
-                    j = np.rint((np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)).astype(np.int64)
-                    at = (gate * MAP_STEPS + j).ravel()
-                    hits += np.bincount(at, y.ravel(), hits.size).reshape(hits.shape)
-                    tries += np.bincount(at, minlength=hits.size).reshape(hits.shape)
-            n += len(h)
-        place = np.arange(w.size + hits.size, dtype=np.int32)
-        value = np.r_[w.ravel().astype(float) * n, hits.ravel()]
-        weight = np.r_[np.full(w.size, float(n)), tries.ravel()]
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(value), pa.array(weight)], ["place", "value", "weight"])
-
-    return run
-
-
 START = np.concatenate([np.full((CLASS_BITS, CONTEXTS), 1 / CONTEXTS), np.zeros((CLASS_BITS, 1))], 1).astype(np.float32)
 DEALT = "bucket int, base long, a binary, b binary, c binary"
 _DEALT = (["bucket", "base", "a", "b", "c"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
-_ROW = np.dtype([("doc", "i8"), ("known_id", "i1"), ("tokens", "i8"), ("known", "i8"), ("base", "f8"), ("model", "f8"), ("bytes", "i8")])
+_ROW = np.dtype([("doc", "i8"), ("known_id", "i1"), ("tokens", "i8"), ("known", "i8"), ("base", "f8"), ("bytes", "i8")])
+
+
+def _asked(cls: np.ndarray, ptr: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct triples of a batch by part and number, their parts, and which of them each token is."""
+    t, own = np.unique(_triples(cls, ptr), return_inverse=True)
+    part = _triple_parts(t, parts)
+    order = np.argsort(part, kind="stable")
+    place = np.empty(len(t), np.int64)
+    place[order] = np.arange(len(t))
+    return t[order], part[order], place[own]
 
 
-def _score(shared, parts: int):
-    """Per batch: one packed row of what is known at once, and the words that must meet their counts, by part."""
+def _deal(shared, parts: int):
+    """Per batch: a row of what is known at once, and the words and class triples that must meet their counts, by part. Without
+    the model (training of the weights) no words."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = shared and shared.value
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
             h, ptr = _with_end(tokens(batch.column("text"), lower=True))
             cls, n_docs = _classes(h), batch.num_rows
             owner = np.repeat(np.arange(n_docs), np.diff(ptr))
-            logs = np.empty(len(h))
-            for a, b in _groups(ptr):
-                part, _, _ = _mixed(m, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], m["weights"], carry=False)
-                logs[ptr[a] : ptr[b]] = part
-            logs = logs * np.log10(2) - m["class_log"][cls]
-            j = np.searchsorted(m["hot"], h)
-            j[j == len(m["hot"])] = 0
-            hot = m["hot"][j] == h if len(m["hot"]) else np.zeros(len(h), bool)
             row = np.zeros(n_docs, _ROW)
             ids = batch.column("doc_id")
             row["doc"], row["known_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False)
             row["tokens"] = np.diff(ptr)
-            row["known"] = np.bincount(owner[hot], minlength=n_docs)
-            row["base"] = np.bincount(owner[hot], m["hot_log"][j[hot]], n_docs) if len(m["hot"]) else 0.0
-            row["model"] = np.bincount(owner, logs, n_docs)
             row["bytes"] = batch.column("n_bytes").to_numpy(zero_copy_only=False)
-            rows = [(int(at % parts), at, row.tobytes(), None, None)]
-            rest, own = h[~hot], owner[~hot].astype(np.uint64)
-            part = rest % np.uint64(parts)
-            order = np.lexsort((rest, own, part))
-            rest, own, part = rest[order], own[order], part[order]
-            new = np.flatnonzero(np.r_[True, (rest[1:] != rest[:-1]) | (own[1:] != own[:-1])]) if len(rest) else np.zeros(0, np.int64)
-            times = np.diff(np.r_[new, len(rest)]).astype(np.uint32)
-            rest, own, part = rest[new], own[new].astype(np.uint32), part[new].astype(np.int64)
-            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
-            for x, y in zip(cut, np.r_[cut[1:], len(part)].astype(np.int64), strict=False):
-                rows.append((int(part[x]), at, own[x:y].tobytes(), rest[x:y].tobytes(), times[x:y].tobytes()))
+            rows = []
+            if m:
+                j = np.searchsorted(m["hot"], h)
+                j[j == len(m["hot"])] = 0
+                hot = m["hot"][j] == h if len(m["hot"]) else np.zeros(len(h), bool)
+                row["known"] = np.bincount(owner[hot], minlength=n_docs)
+                row["base"] = np.bincount(owner[hot], m["hot_log"][j[hot]], n_docs) if len(m["hot"]) else 0.0
+                rest, own = h[~hot], owner[~hot].astype(np.uint64)
+                part = rest % np.uint64(parts)
+                order = np.lexsort((rest, own, part))
+                rest, own, part = rest[order], own[order], part[order]
+                new = np.flatnonzero(np.r_[True, (rest[1:] != rest[:-1]) | (own[1:] != own[:-1])]) if len(rest) else np.zeros(0, np.int64)
+                times = np.diff(np.r_[new, len(rest)]).astype(np.uint32)
+                rest, own, part = rest[new], own[new].astype(np.uint32), part[new].astype(np.int64)
+                rows += [(int(part[x]), at, own[x:y].tobytes(), rest[x:y].tobytes(), times[x:y].tobytes()) for x, y in _cuts(part)]
+            t, part, _ = _asked(cls, ptr, parts)
+            rows += [(parts + int(part[x]), at, None, _rising(t[x:y]), None) for x, y in _cuts(part)]
+            rows.append((int(at % parts), at, row.tobytes(), None, _squeeze(cls)))
             yield _pack(rows, *_DEALT)
             at += n_docs
 
     return deal
 
 
-_MET = (["base", "a", "b"], [pa.int64(), pa.binary(), pa.binary()])
-
-
-def _meet(group: pa.Table) -> pa.Table:
-    """Words meet their counts: per batch the documents with their sums."""
-    table = group.filter(pc.less(group.column("base"), 0)).to_pylist()
-    h = np.concatenate([np.frombuffer(r["b"], np.uint64) for r in table]) if table else np.zeros(0, np.uint64)
-    n = np.concatenate([np.frombuffer(r["c"], np.int64) for r in table]) if table else np.zeros(0, np.int64)
-    out = []
-    for r in group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist():
-        if r["b"] is None:
-            out.append((r["base"], r["a"], None))
-            continue
-        own, words, times = (np.frombuffer(r[k], t) for k, t in (("a", np.uint32), ("b", np.uint64), ("c", np.uint32)))
-        c = np.zeros(len(words), np.int64)
-        if len(h):
-            j = np.searchsorted(h, words)
-            j[j == len(h)] = 0
-            c = np.where(h[j] == words, n[j], 0)
-        docs, at = np.unique(own, return_inverse=True)
-        sums = np.zeros(len(docs), [("doc", "u4"), ("known", "i8"), ("base", "f8")])
-        sums["doc"] = docs
-        sums["known"] = np.bincount(at, times * (c > 0), len(docs))
-        sums["base"] = np.bincount(at, times * np.log10(c + ALPHA), len(docs))
-        out.append((r["base"], None, sums.tobytes()))
-    return pa.Table.from_batches([_pack(out, *_MET)])
-
-
-def _finish(n_train: int, norm: float):
+MET = "base long, part int, a binary, b binary, c binary"
+_MET = (["base", "part", "a", "b", "c"], [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()])
+
+
+def _meet(parts: int):
+    """Words and triples meet their counts: per batch the documents with their sums, and the counts along each triple's bits."""
+
+    def run(group: pa.Table) -> pa.Table:
+        bucket = group.column("bucket")[0].as_py()
+        kind = WORD if bucket < parts else TRIPLE
+        table = group.filter(pc.less(group.column("base"), 0))
+        h, n = _read(kind, table.column("b").to_pylist(), table.column("c").to_pylist())
+        out = []
+        for r in group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist():
+            if kind == TRIPLE:
+                out.append((r["base"], bucket - parts, None, None, _squeeze(_paths(h, n, _risen(r["b"])).ravel())))
+                continue
+            if r["b"] is None:
+                out.append((r["base"], -1, r["a"], None, r["c"]))
+                continue
+            own, words, times = (np.frombuffer(r[k], t) for k, t in (("a", np.uint32), ("b", np.uint64), ("c", np.uint32)))
+            c = np.zeros(len(words), np.int64)
+            if len(h):
+                j = np.searchsorted(h, words)
+                j[j == len(h)] = 0
+                c = np.where(h[j] == words, n[j], 0)
+            docs, at = np.unique(own, return_inverse=True)
+            sums = np.zeros(len(docs), [("doc", "u4"), ("known", "i8"), ("base", "f8")])
+            sums["doc"] = docs
+            sums["known"] = np.bincount(at, times * (c > 0), len(docs))
+            sums["base"] = np.bincount(at, times * np.log10(c + ALPHA), len(docs))
+            out.append((r["base"], -1, None, sums.tobytes(), None))
+        return pa.Table.from_batches([_pack(out, *_MET)])
+
+    return run
+
+
+def _back(rows: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Iterator]:
+    """A batch again: its rows, classes and bounds, and by group of texts (from, to, what the counts after two words say)."""
+    first = next(r for r in rows if r["a"] is not None)
+    row, cls = np.frombuffer(first["a"], _ROW).copy(), _loosen(first["c"]).astype(np.int32)
+    ptr = np.r_[0, np.cumsum(row["tokens"])]
+    t, _, own = _asked(cls, ptr, parts)
+    told = np.zeros((len(t), CLASS_BITS), np.float32)
+    lo = 0
+    for r in sorted((r for r in rows if r["a"] is None and r["c"] is not None), key=lambda r: r["part"]):
+        n = _loosen(r["c"]).reshape(CLASS_BITS + 1, -1)
+        hi = lo + n.shape[1]
+        one = (t[lo:hi] >> np.arange(CLASS_BITS)[::-1, None]) & 1
+        told[lo:hi] = (np.log((n[1:] + PRIOR) / (n[:-1] - n[1:] + PRIOR)) * (2 * one - 1)).T
+        lo = hi
+    return row, cls, ptr, ((a, b, told[own[ptr[a] : ptr[b]]]) for a, b in _groups(ptr))
+
+
+def _train_weights(shared, parts: int):
+    """(place, value, weight): weights of the mixer and the probability map, each batch's own."""
+
+    def run(group: pa.Table) -> pa.Table:
+        w = START.copy()
+        hits, tries = np.zeros((CLASS_BITS, MAP_STEPS)), np.zeros((CLASS_BITS, MAP_STEPS))
+        gate = np.arange(CLASS_BITS)[None]
+        _, cls, ptr, groups = _back(group.to_pylist(), parts)
+        for a, b, third in groups:
+            _, w, seen = _mixed(shared.value, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], w, carry=True, third=third)
+            for s, y in seen:
+                j = np.rint((np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)).astype(np.int64)
+                at = (gate * MAP_STEPS + j).ravel()
+                hits += np.bincount(at, y.ravel(), hits.size).reshape(hits.shape)
+                tries += np.bincount(at, minlength=hits.size).reshape(hits.shape)
+        place = np.arange(w.size + hits.size, dtype=np.int32)
+        value = np.r_[w.ravel().astype(float) * len(cls), hits.ravel()]
+        weight = np.r_[np.full(w.size, float(len(cls))), tries.ravel()]
+        return pa.table({"place": place, "value": value, "weight": weight})
+
+    return run
+
+
+def _finish(shared, parts: int, n_train: int, norm: float):
     def run(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
-        row = np.frombuffer(next(r["a"] for r in rows if r["a"] is not None), _ROW).copy()
+        m, rows = shared.value, group.to_pylist()
+        row, cls, ptr, groups = _back(rows, parts)
         for r in rows:
             if r["b"] is not None:
                 s = np.frombuffer(r["b"], [("doc", "u4"), ("known", "i8"), ("base", "f8")])
                 row["known"][s["doc"]] += s["known"]
                 row["base"][s["doc"]] += s["base"]
-        score = row["model"] + row["base"]
+        logs = np.empty(len(cls))
+        for a, b, third in groups:
+            logs[ptr[a] : ptr[b]], _, _ = _mixed(m, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], m["weights"], carry=False, third=third)
+        logs = logs * np.log10(2) - m["class_log"][cls]
+        score = np.bincount(np.repeat(np.arange(len(row)), row["tokens"]), logs, len(row)) + row["base"]
         with np.errstate(divide="ignore", invalid="ignore"):
             bpb = -score * np.log2(10) / row["bytes"]
         return pa.table({
@@ -366,13 +476,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                        F.coalesce((crc32_of_id(key) % 10).cast("int"), F.lit(0)).alias("fold"))
     train = base.where("fold <> 0").select("text", "fold")
     parts = width(docs, GROUP_BYTES)
-    salts = max(1, math.isqrt(known_bytes(docs) >> 27))
 
-    counted = train.mapInArrow(_count(parts, salts), COUNTED)
-    if salts > 1:  # many tasks: their tables are added up in two steps
-        counted = counted.groupBy("part", "salt").applyInArrow(_add_up, COUNTED)
-    counts = materialize(counted.groupBy("part").applyInArrow(_add_up, COUNTED), "counts")
-    words = counts.where("part >= 0")
+    counts = materialize(train.mapInArrow(_count(parts), COUNTED).groupBy("kind", "part").applyInArrow(_add_up, COUNTED), "counts")
+    words = counts.where(F.col("kind") == WORD)
 
     n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in words.mapInArrow(_totals, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
@@ -383,18 +489,28 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     order = np.argsort(hot_h)
     hot_n = np.array([r["n"] for r in hot], np.int64)[order]
 
-    size = 2 * SLOTS // TABLE_PARTS
-    stretch = np.zeros((CONTEXTS, SLOTS), np.float32)
-    for r in counts.where("part < 0").toLocalIterator():
-        c, k = divmod(-1 - r["part"], TABLE_PARTS)
-        both = np.zeros(size, np.int64)
-        both[np.frombuffer(r["keys"], np.int64)] = np.frombuffer(r["counts"], np.int64)
-        stretch[c, k * size // 2 : (k + 1) * size // 2] = np.log((both[1::2] + PRIOR) / (both[::2] + PRIOR))
+    pairs = np.zeros(PAIRS, np.int64)
+    for r in counts.where(F.col("kind") == PAIR).collect():  # at most PAIRS counts
+        at, got = _read(PAIR, [r["keys"]], [r["counts"]])
+        pairs[at] = got
+    pairs = pairs.reshape(CLASSES + 1, CLASSES)
+    stretch = np.zeros((CONTEXTS - 1, SLOTS), np.float32)
+    for k in range(CLASS_BITS):
+        both = pairs.reshape(CLASSES + 1, 1 << k, 2, -1).sum(3)
+        at = np.arange(1 << k, 2 << k)
+        for c, ctx, x in ((0, 0, both.sum(0)), (1, np.arange(CLASSES + 1)[:, None] * (CLASSES - 1) - 1, both)):
+            stretch[c, ctx + at] = np.log((x[..., 1] + PRIOR) / (x[..., 0] + PRIOR))
     model = {
         "stretch": stretch, "map": None, "weights": START, "hot": hot_h[order], "hot_log": np.log10(hot_n + ALPHA),
         "class_log": np.log10(np.maximum(n + ALPHA * (v + 1), 1e-300)),
     }
-    tuned = base.where("fold = 9").select("text").mapInArrow(_train_weights(spark.sparkContext.broadcast(model)), "place int, value double, weight double")
+    table = counts.where(F.col("kind") != PAIR).select(
+        (F.col("part") + F.when(F.col("kind") == TRIPLE, parts).otherwise(0)).cast("int").alias("bucket"), F.lit(-1).cast("long").alias("base"),
+        F.lit(None).cast("binary").alias("a"), F.col("keys").alias("b"), F.col("counts").alias("c"),
+    )
+    dealt = base.where("fold = 9").select("doc_id", "text", "n_bytes").mapInArrow(_deal(None, parts), DEALT)
+    met = dealt.union(table.where(F.col("bucket") >= parts)).groupBy("bucket").applyInArrow(_meet(parts), MET)
+    tuned = met.groupBy("base").applyInArrow(_train_weights(spark.sparkContext.broadcast(model), parts), "place int, value double, weight double")
     got = tuned.groupBy("place").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect()
     value, weight = np.zeros(START.size + CLASS_BITS * MAP_STEPS), np.zeros(START.size + CLASS_BITS * MAP_STEPS)
     for r in got:
@@ -404,10 +520,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     even = np.tile(_squash(np.linspace(-8, 8, MAP_STEPS)), CLASS_BITS)
     model["map"] = ((value[k:] + 8 * even) / (weight[k:] + 8)).reshape(CLASS_BITS, MAP_STEPS).astype(np.float32)
 
-    dealt = base.select("doc_id", "text", "n_bytes").mapInArrow(_score(spark.sparkContext.broadcast(model), parts), DEALT)
-    table = words.select(F.col("part").alias("bucket"), F.lit(-1).cast("long").alias("base"), F.lit(None).cast("binary").alias("a"), F.col("keys").alias("b"), F.col("counts").alias("c"))
-    met = dealt.union(table).groupBy("bucket").applyInArrow(_meet, "base long, a binary, b binary")
+    shared = spark.sparkContext.broadcast(model)
+    met = base.select("doc_id", "text", "n_bytes").mapInArrow(_deal(shared, parts), DEALT).union(table).groupBy("bucket").applyInArrow(_meet(parts), MET)
     norm = math.log10(n_train + ALPHA * (distinct + 1))
-    out = met.groupBy("base").applyInArrow(_finish(n_train, norm), SCORED)
+    out = met.groupBy("base").applyInArrow(_finish(shared, parts, n_train, norm), SCORED)
     held = F.coalesce(crc32_of_id() % 10 == 0, F.lit(True)).alias("held_out")
     return out.select("doc_id", held, *out.columns[1:])

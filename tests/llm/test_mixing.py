@@ -56,3 +56,44 @@ def test_odd_rows(spark):
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in got) == [(0, 3001), (1, 1), (2, 1), (3, 3), (3, 3), (4, 2)]
     assert all(math.isfinite(r["score"]) for r in got)
     assert mixing.score(docs.where("false")).count() == 0
+
+
+def test_contexts_share_no_counts(spark):
+    """Scores against plain counts of every context. No document has remainder 9, so weights and map are what they start as."""
+    rng = np.random.default_rng(3)
+    keep = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 10 != 9][:1500]
+    texts = {i: " ".join(f"w{x}" for x in rng.integers(0, 4000, 150)) for i in keep}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in mixing.score(docs).collect()}
+
+    def steps(text):
+        h, _ = mixing._with_end(mixing.tokens(mixing.pa.array([text]), lower=True))
+        cls = [None, None, *mixing._classes(h).tolist()]
+        for a, b, c in zip(cls, cls[1:], cls[2:], strict=False):
+            for k in range(mixing.CLASS_BITS):
+                start = (k, c >> (mixing.CLASS_BITS - k))
+                yield ((start,), (b, start), (a, b, start)), (c >> (mixing.CLASS_BITS - 1 - k)) & 1
+
+    bits, tokens, words_of, class_n = Counter(), Counter(), {}, Counter()
+    for i, text in texts.items():
+        fold = zlib.crc32(str(i).encode()) % 10
+        if fold == 0:
+            continue
+        h, _ = mixing._with_end(mixing.tokens(mixing.pa.array([text]), lower=True))
+        for x, c in zip(h.tolist(), mixing._classes(h).tolist(), strict=True):
+            tokens[x] += 1
+            class_n[c] += 1
+            words_of.setdefault(c, set()).add(x)
+        for contexts, bit in steps(text):
+            bits.update((c, bit) for c in contexts)
+    grid = np.linspace(-8, 8, mixing.MAP_STEPS)
+    for i in keep[:20]:
+        want = 0.0
+        for contexts, bit in steps(texts[i]):
+            s = sum(math.log((bits[c, 1] + mixing.PRIOR) / (bits[c, 0] + mixing.PRIOR)) for c in contexts) / mixing.CONTEXTS
+            p = 0.5 * (mixing._squash(s) + np.interp(s, grid, mixing._squash(grid)))
+            want += math.log10(p if bit else 1 - p)
+        h, _ = mixing._with_end(mixing.tokens(mixing.pa.array([texts[i]]), lower=True))
+        for x, c in zip(h.tolist(), mixing._classes(h).tolist(), strict=True):
+            want += math.log10((tokens[x] + mixing.ALPHA) / (class_n[c] + mixing.ALPHA * (len(words_of.get(c, ())) + 1)))
+        assert got[i] == pytest.approx(want, rel=1e-4)
