@@ -7,8 +7,8 @@ Words are lower-cased (A-Z) and ASCII punctuation separates like white space, so
    nothing, so an item that was copied a million times keeps its seeds. An item whose windows are all common keeps
    the half with the lowest expected frequency. Items shorter than a window are one window.
 3. Texts that hold a seed of an item are aligned with the whole item: local alignment over words, MATCH for equal words and
-   PENALTY for a changed, added or missing word. The score is divided by that of a perfect copy of the item; at least LEAST
-   means a copy, exact, edited or partial.
+   PENALTY for a changed, added or missing word. The score is divided by that of a perfect copy of the item. At least LEAST
+   means a copy, exact, edited or partial, and so does a score worth LEAST_WORDS equal words, however long the item.
 
 Items are taken in blocks of at most BLOCK_ITEMS items and BLOCK_BYTES bytes, so what a task holds of the benchmark is bounded; each
 block is one pass over the texts, and any number of blocks works.
@@ -31,6 +31,8 @@ from ladle.llm.common import Words, grams, materialize, tokens, tune
 N = 3
 MATCH, PENALTY = 2, -1
 LEAST = 0.5
+#: As many words as LEAST asks for of an item of 60.
+LEAST_WORDS = 30
 CHANCE = 50.0
 BLOCK_ITEMS = 1 << 14
 BLOCK_BYTES = 16 << 20
@@ -166,7 +168,7 @@ def rare_windows(items: Items, frequency: np.ndarray, words_per_text: float) ->
 
 
 def _find(shared, keep: list[str], text: str = "text"):
-    """For each text the aligned items at or above LEAST, and how many items were aligned."""
+    """For each text how many items it copies, and the one it copies the largest share of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, (seed_h, seed_i) = shared.value
@@ -183,9 +185,9 @@ def _find(shared, keep: list[str], text: str = "text"):
             found: list[list] = [[] for _ in range(n)]
             for d, i in pairs.tolist():
                 item = items.words[i]
-                score = align(item, w.hashes[w.ptr[d] : w.ptr[d + 1]]) / (MATCH * len(item))
-                if score >= LEAST:
-                    found[d].append((-score, int(items.ids[i])))
+                score = align(item, w.hashes[w.ptr[d] : w.ptr[d + 1]]) / MATCH
+                if score >= min(LEAST * len(item), LEAST_WORDS):
+                    found[d].append((-score / len(item), int(items.ids[i])))
             best = [min(f) if f else None for f in found]
             count = [len({i for _, i in f}) for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -232,7 +234,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: s
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per row: doc_id, contaminated, n_items (items at or above LEAST), best_item, best_score (null where clean)."""
+    """Per row: doc_id, contaminated, n_items (items that are copied), best_item, best_score (null where clean)."""
     tune(docs.sparkSession)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = []

@@ -64,3 +64,15 @@ def test_edited_copies_and_odd_rows(spark):
     assert sorted((r["doc_id"] or 0, r["contaminated"]) for r in got) == [(0, True), (1, True), (2, False), (3, False), (4, False), (5, True), (5, True), (7, True)]
     assert not any(r["contaminated"] for r in d.contamination(docs, bench.where("false")).collect())
     assert d.contamination(docs.where("false"), bench).count() == 0
+
+
+def test_long_passage_of_a_longer_item(spark):
+    """A passage is a copy by its own length, also where it is below LEAST of the item."""
+    rng = np.random.default_rng(5)
+    item = [f"v{x}" for x in rng.integers(0, 10**6, 500)]
+    rows = [(1, " ".join(item[100:300])), (2, "so it is " + " ".join(item[7 : 7 + d.LEAST_WORDS])), (3, " ".join(item[50 : 50 + d.LEAST_WORDS - 1])), (4, "nothing of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["best_score"]) for r in d.contamination(docs, bench).collect()}
+    assert got == {1: (True, 0.4), 2: (True, d.LEAST_WORDS / 500), 3: (False, None), 4: (False, None)}
+    assert {r["doc_id"] for r in d.clean(docs, bench).collect()} == {3, 4}
