@@ -4,8 +4,8 @@ Words are lower-cased (A-Z) and ASCII punctuation separates like white space, so
 1. All N-word windows of the benchmark items are looked for in every text, which gives each window's document frequency.
 2. Seeds are the rare windows of an item. A window counts as common only if its words are common: if, given the corpus
    frequencies of its words, chance alone would put it into more than CHANCE texts a million. The window's own frequency decides
-   nothing, so an item that was copied a million times keeps its seeds. An item whose windows are all common keeps
-   the half with the lowest expected frequency. Items shorter than a window are one window.
+   nothing, so an item that was copied a million times keeps its seeds. The half of an item's windows with the lowest
+   expected frequency are seeds in any case, so that no item hangs on one or two. Items shorter than a window are one window.
 3. Texts that hold a seed of an item are aligned with the whole item: local alignment over words, MATCH for equal words and
    PENALTY for a changed, added or missing word. The score is divided by that of a perfect copy of the item. At least LEAST
    means a copy, exact, edited or partial, and so does a score worth LEAST_WORDS equal words, however long the item.
@@ -150,7 +150,7 @@ def _word_counts(shared):
 
 
 def rare_windows(items: Items, frequency: np.ndarray, words_per_text: float) -> np.ndarray:
-    """Seeds: for each item its windows that chance would put into few texts, else the rarer half of them."""
+    """Seeds: for each item its windows that chance would put into few texts, and the rarer half in any case."""
     seeds = []
     for i, x in enumerate(items.words):
         if len(x) == 0:
@@ -158,9 +158,7 @@ def rare_windows(items: Items, frequency: np.ndarray, words_per_text: float) ->
         k = min(len(x), N)
         p = np.log(np.maximum(frequency[np.searchsorted(items.vocabulary, x)], 1e-12))
         expected = np.convolve(p, np.ones(k), "valid") + np.log(max(words_per_text, 1.0)) + np.log(1e6)
-        rare = expected <= np.log(CHANCE)
-        if not rare.any():
-            rare = expected <= np.median(expected)
+        rare = expected <= max(np.log(CHANCE), np.median(expected))
         h, whole = grams(Words(np.array([0, len(x)]), x, x, x, x), k)
         h = (h if k == N else h ^ np.uint64(k))[whole][rare]
         seeds.append(np.stack([h, np.full(len(h), i, np.uint64)]))

@@ -76,3 +76,15 @@ def test_long_passage_of_a_longer_item(spark):
     got = {r["doc_id"]: (r["contaminated"], r["best_score"]) for r in d.contamination(docs, bench).collect()}
     assert got == {1: (True, 0.4), 2: (True, d.LEAST_WORDS / 500), 3: (False, None), 4: (False, None)}
     assert {r["doc_id"] for r in d.clean(docs, bench).collect()} == {3, 4}
+
+
+def test_copy_edited_in_its_one_rare_window(spark):
+    """An item of frequent words and one name, copied without the name."""
+    rng = np.random.default_rng(6)
+    plain_words = [f"w{x}" for x in range(12)]
+    text = [" ".join(rng.choice(plain_words, 20)) for _ in range(200)]
+    item = rng.choice(plain_words, 30).tolist()
+    docs = spark.createDataFrame([(-1, " ".join(["someone", *item])), *enumerate(text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(["zorbel", *item]))], "item_id long, text string")
+    got = d.contamination(docs, bench).where("doc_id = -1").first()
+    assert got["contaminated"] and got["best_score"] == pytest.approx(30 / 31)
