@@ -19,8 +19,10 @@ BROADCAST_BYTES = 8 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter, or that no language claims, go."""
+    """Texts without a letter, or that no language claims, go. Where no language could be learned, only those without a letter go."""
     model = ppm.fit(docs.where(~ppm.held_out()))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     told = ppm.identify(docs, model, keep=tuple(docs.columns))
     return told.where((F.col("lang_pred") != ppm.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
 

@@ -8,7 +8,8 @@ the next byte, so the lengths are worked out once for each pair and a text is sc
 belongs to the language with the shortest code; its score is that language's share when every language is as likely beforehand.
 
 Bounds: SAMPLE_DOCS documents a language of at most SAMPLE_BYTES bytes each (whole texts, chosen by a hash of doc_id) are
-learned from, so the model's size does not follow the corpus. Everything is scored, whole.
+learned from, so the model's size does not follow the corpus. A language whose texts are all longer is learned from the first
+SAMPLE_BYTES bytes of its shortest ones. Everything is scored, whole.
 
 Cases: a null text or one without any letter is ``und`` with score 0. Labels that are null are not learned from. Without any
 labelled row every text is ``und``. Ties go to the language that is first by name. Repeated rows are scored alike; other
@@ -29,6 +30,8 @@ from ladle.llm.common import crc32_of_id, materialize, tune
 ORDER = 3
 SAMPLE_DOCS = 300
 SAMPLE_BYTES = 1 << 16
+#: Above the length of any hash: texts above SAMPLE_BYTES come after all others, by size.
+LONG = 64
 MAX_LANGUAGES = 1024
 SLICE = 1 << 18
 UNKNOWN = "und"
@@ -153,18 +156,20 @@ def code_lengths(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text", order: int = ORDER) -> dict | None:
-    """Model learned from the labelled rows of ``docs``: a bounded, repeatable sample of whole texts."""
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l")).where(
-        F.col("l").isNotNull() & (F.octet_length("t") <= SAMPLE_BYTES)
-    )
-    rows = rows.withColumn("h", F.xxhash64("k", "t").bitwiseAND(F.lit((1 << 63) - 1))).withColumn("z", F.length(F.bin("h")))
+    """Model learned from the labelled rows of ``docs``: a bounded, repeatable sample of texts, whole unless a language has only
+    texts above SAMPLE_BYTES."""
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("string").alias("l")).where("l IS NOT NULL AND t IS NOT NULL")
+    size = F.octet_length("t").cast("long")
+    rows = rows.withColumn("h", F.when(size <= SAMPLE_BYTES, F.xxhash64("k", "t").bitwiseAND(F.lit((1 << 63) - 1))).otherwise(size))
+    rows = rows.withColumn("z", F.length(F.bin("h")) + F.when(size <= SAMPLE_BYTES, 0).otherwise(LONG))
     # Short hashes are geometrically rarer, so the rows up to the cut-off length are SAMPLE_DOCS to about twice as many.
     at = Window.partitionBy("l").orderBy("z")
-    cuts = rows.groupBy("l", "z").count().withColumn("before", F.sum("count").over(at) - F.col("count")).where(F.col("before") < SAMPLE_DOCS)
+    cuts = rows.groupBy("l", "z").count().withColumn("before", F.sum("count").over(at) - F.col("count")).withColumn("first", F.min("z").over(Window.partitionBy("l")))
+    cuts = cuts.where((F.col("before") < SAMPLE_DOCS) & ((F.col("z") < LONG) | (F.col("first") >= LONG)))
     cuts = cuts.groupBy("l").agg(F.max("z").alias("cut")).limit(MAX_LANGUAGES + 1)
     near = rows.join(F.broadcast(cuts), "l").where(F.col("z") <= F.col("cut"))
     picked = near.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "k", "t"))).where(F.col("r") <= SAMPLE_DOCS)
-    picked = materialize(picked.select("l", "t"), "sample")
+    picked = materialize(picked.select("l", F.substring("t", 1, SAMPLE_BYTES).alias("t")), "sample")
     names = [r[0] for r in picked.select("l").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -172,7 +177,7 @@ def fit(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "
         return None
     samples: dict[str, list[bytes]] = {name: [] for name in names}
     for r in picked.toLocalIterator():
-        samples[r[0]].append(r[1].encode("utf-8", "replace"))
+        samples[r[0]].append(r[1].encode("utf-8", "replace")[:SAMPLE_BYTES])
     return build(samples, order)
 
 

@@ -76,3 +76,15 @@ def test_odd_rows(spark):
     empty = ppm.detect(docs.where("false"))
     assert empty.count() == 0 and empty.columns == ["doc_id", "held_out", "lang_pred", "score"]
     assert {r["lang_pred"] for r in ppm.detect(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_language_of_long_texts_only(spark):
+    """A language without a text of at most SAMPLE_BYTES is learned all the same; the others learn from short texts alone."""
+    near, far = "the quick brown fox jumps over it ", "zażółć gęślą jaźń szybko "
+    big = ppm.SAMPLE_BYTES // len(far) + 10
+    rows = [(i, near * 5, "en") for i in range(20)] + [(100 + i, far * (big + i), "pl") for i in range(5)] + [(200, far * big, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = ppm.fit(docs)
+    assert model["names"] == ["en", "pl"]
+    got = {r["doc_id"]: r["lang_pred"] for r in ppm.identify(docs, model).collect()}
+    assert {got[i] for i in range(20)} == {"en"} and {got[100 + i] for i in range(5)} == {"pl"} and got[200] == "pl"

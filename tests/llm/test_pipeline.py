@@ -95,3 +95,9 @@ def test_odd_rows_and_empty(spark, tmp_path, sf):
     got = cp.run(spark, str(tmp_path / "odd")).collect()
     assert Counter(r["doc_id"] for r in got) == {1: 2, None: 1}
     assert cp.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_no_language_to_learn_from(spark, sf):
+    """Texts stay where no row is labelled."""
+    docs = spark.createDataFrame([(1, "some words", None), (2, "other words", None), (3, "123", None), (4, None, None)], "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in cp.language(spark, docs, sf).collect()} == {1, 2}
