@@ -21,6 +21,7 @@ shingle. Without doc_id: no component (null), kept. Rows that repeat a doc_id sh
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,9 @@ from ladle.llm.graph import components
 SHINGLE = 5
 SIDE, ROWS = 16, 3
 PERCENT = 75
-#: Agreeing sketch bits (of 96) below which a pair of the wanted similarity is found with probability under 1e-6.
-AGREE = 68
+SKETCH_BITS = 96
+#: With at most this probability the sketches of a pair of the wanted similarity rule it out.
+SKETCH_LOSS = 1e-8
 SLICE = 1 << 16
 BITS = 256
 _BEYOND = [f"r{k}" for k in range(BITS // 64)]
@@ -156,10 +158,18 @@ def _linked(percent: int):
     return F.col("both") * 100 >= (F.col("n") + F.col("m") - F.col("both")) * percent
 
 
+def _agree(percent: int) -> int:
+    """Agreeing sketch bits that a pair of similarity ``percent`` has but for SKETCH_LOSS; a bit of unlike minima agrees every other time."""
+    p, below, k = (1 + percent / 100) / 2, 0.0, 0
+    while k < SKETCH_BITS and (below := below + math.comb(SKETCH_BITS, k) * p**k * (1 - p) ** (SKETCH_BITS - k)) <= SKETCH_LOSS:
+        k += 1
+    return k
+
+
 def _possible(percent: int):
     """Whether x and y, both compared with one pivot, may be linked: sizes, sketches, and the bound from the pivot."""
     near = (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
-    agree = 96 - F.bit_count(F.expr("x.s1 ^ y.s1")) - F.bit_count(F.expr("x.s2 ^ y.s2")) >= AGREE
+    agree = SKETCH_BITS - F.bit_count(F.expr("x.s1 ^ y.s1")) - F.bit_count(F.expr("x.s2 ^ y.s2")) >= _agree(percent)
     shared = sum((F.bit_count(F.expr(f"x.{c} & y.{c}")) for c in _BEYOND), F.lit(0))
     extra = F.least(F.col("x.n") - F.col("x.both"), F.col("y.n") - F.col("y.both"), shared + F.least("x.double", "y.double"))
     most = F.least("x.both", "y.both") + extra

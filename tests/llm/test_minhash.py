@@ -1,5 +1,6 @@
 """Near-duplicates against all pairs, components, odd inputs."""
 
+import math
 import random
 import re
 
@@ -82,3 +83,12 @@ def test_bound_prunes_no_link():
 def test_components(spark, edges, want):
     got = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("percent", [50, 75, 90])
+def test_sketches_rule_out_no_link(percent):
+    """The binomial tail below the bound, written out for the pair at the threshold."""
+    p = (1 + percent / 100) / 2
+    tail = [math.comb(96, k) * p**k * (1 - p) ** (96 - k) for k in range(97)]
+    bound = t._agree(percent)
+    assert sum(tail[:bound]) <= 1e-8 < sum(tail[: bound + 1])
