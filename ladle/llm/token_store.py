@@ -4,9 +4,10 @@ Files. A shard is ``LTOKENS1``, the width of an id in bytes (2 or 4) and the num
 and then the ids, little-endian. Shards follow the order of the keys: concatenated they hold all documents, each closed
 by the end id. ``shards`` is a Parquet table of them (name, ids before, ids in it); a shard that a lost task began has a
 name of its own and is not listed. ``index`` is a Parquet table with a row per hash bucket of keys: a minimal perfect hash
-function (levels of bits; a key belongs to the first level where it fell alone, and its number is the rank of its bit), and for each
-number a fingerprint of the key, its first entry and the entries (shard, offset, ids). A look-up hashes the key,
-reads one bucket, compares the fingerprint and reads one stretch of one shard: constant time, whatever the number of documents.
+function (levels of bits with the number of bits before each word; a key belongs to the first level where it fell alone, and its number is
+the rank of its bit), and for each number a fingerprint of the key, its first entry and the entries (shard, offset, ids). A look-up
+hashes the key, reads one bucket, there one word a level, compares the fingerprint and reads one stretch of one shard:
+constant time, whatever the number of documents.
 
 Cases: a null or empty text is the end id alone. Rows without key come first and are stored and listed, but have no entry in the
 index. Rows that share a key lie side by side, and a look-up gives all of them. An empty table has no shard. A key that
@@ -15,21 +16,20 @@ is not stored is not found, except with the 1 in 2**32 chance of an equal finger
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladle.llm.common import materialize, measured_bytes, mix, tune, width
+from ladle.llm.encoder import Encoder as Tokens  # noqa: F401
+from ladle.llm.encoder import closed, encoder
 from ladle.session import scratch_path
 
 MAGIC = b"LTOKENS1"
@@ -38,78 +38,13 @@ PART_BYTES = 8 << 20
 SHARD_BYTES = 32 << 20
 KEYS_PER_BUCKET = 1 << 17
 BROADCAST_BYTES = 8 << 20
-CACHED = 1 << 19
-#: The pattern by which the byte-level tokenizer splits a text before its merges (a fixed value of that tokenizer).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_LOOSE = re.compile(r" (?:\s|\Z)")
-_CUT = re.compile(r" (?=\S)")
-_RARE = re.compile("<\\||[\x1c-\x1f\x85\xa0ɐ-\U0010ffff]")
-
-
-class Tokens:
-    """Ids of whole texts. No piece of the tokenizer's pattern goes on over a space that a visible character follows, so a
-    text is cut there and equal parts are looked up; the tokenizer itself encodes every distinct part."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split = regex.compile(PATTERN)
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        self.letters = {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
-        self.model = self.tokenizer.model
-        self.bytelevel = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
-        self.parts: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
-            word = piece.encode().decode("latin-1").translate(self.letters)
-            got = self.pieces[piece] = self._pack([t.id for t in self.model.tokenize(word)])
-        return got
-
-    def _part(self, part: str) -> bytes:
-        """A part that a space precedes."""
-        text = " " + part
-        got = self._direct(text) if _RARE.search(text) else b"".join(map(self._piece, self.split.findall(text)))
-        if len(part) <= 64:
-            if len(self.parts) >= CACHED:
-                self.parts.clear()
-            self.parts[part] = got
-        return got
-
-    def _direct(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.bytelevel:
-            return self._direct(text)
-        first, *rest = _CUT.split(text) if _LOOSE.search(text) else text.split(" ")
-        known, part = self.parts.get, self._part
-        return b"".join([self._direct(first) if first else b"", *[known(p) or part(p) for p in rest]])
-
-
-@lru_cache(maxsize=1)
-def _tokens(path: str) -> Tokens:
-    return Tokens(path)
 
 
 def _write_shards(path: str, root: str, end_id: int):
     """Rows (part, seq, shard, doc_id, at, n) of the documents written by a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _tokens(path)
-        end = np.array([end_id], coder.kind).tobytes()
+        coder = encoder(path)
         store, place = fs.FileSystem.from_uri(root)
         part, seq, held, size, rows = TaskContext.get().partitionId(), 0, [], 0, []
 
@@ -117,25 +52,23 @@ def _write_shards(path: str, root: str, end_id: int):
             name = f"part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.ids"
             store.create_dir(place, recursive=True)
             with store.open_output_stream(f"{place}/{name}") as out:
-                out.write(MAGIC + np.array([coder.kind.itemsize, size // coder.kind.itemsize], "<u8").tobytes())
+                out.write(MAGIC + np.array([coder.kind.itemsize, size], "<u8").tobytes())
                 for x in held:
                     out.write(x)
-            ids, ats, ns = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(ids), pa.int32()), pa.array([seq] * len(ids), pa.int32()), pa.array([name] * len(ids)), pa.array(ids, pa.int64()), pa.array(ats, pa.int64()), pa.array(ns, pa.int64())],
-                ["part", "seq", "shard", "doc_id", "at", "n"],
-            )
+            ids = pa.concat_arrays([x[0] for x in rows])
+            ats, ns = (pa.array(np.concatenate([x[k] for x in rows]), pa.int64()) for k in (1, 2))
+            same = [pa.repeat(pa.scalar(v), len(ids)) for v in (np.int32(part), np.int32(seq), name)]
+            return pa.RecordBatch.from_arrays([*same, ids, ats, ns], ["part", "seq", "shard", "doc_id", "at", "n"])
 
         for batch in batches:
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                packed = coder.encode(text or "") + end
-                rows.append((key, size // coder.kind.itemsize, len(packed) // coder.kind.itemsize))
-                held.append(packed)
-                size += len(packed)
-                if size >= SHARD_BYTES:
-                    yield close()
-                    seq, held, size, rows = seq + 1, [], 0, []
-        if rows:
+            ids, ptr = closed(*coder.batch(batch.column("text")), end_id)
+            rows.append((batch.column("doc_id"), ptr[:-1] + size, np.diff(ptr)))
+            held.append(ids)
+            size += len(ids)
+            if size * coder.kind.itemsize >= SHARD_BYTES:
+                yield close()
+                seq, held, size, rows = seq + 1, [], 0, []
+        if size:
             yield close()
 
     return run
@@ -174,6 +107,29 @@ def look_up(levels: list[np.ndarray], h: np.ndarray) -> np.ndarray:
     return out
 
 
+def pack(levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The levels as 64-bit words, for each word the number of bits before it, and for each level its bits and its first word."""
+    words = [np.packbits(np.pad(x, (0, -len(x) % 64)), bitorder="little").view("<u8") for x in levels]
+    bits = np.concatenate(words) if words else np.zeros(0, "<u8")
+    before = np.cumsum(np.bitwise_count(bits), dtype=np.int64)
+    first = np.cumsum([0, *map(len, words)])[: len(words)]
+    return bits, np.r_[0, before[:-1]].astype(np.int64) if len(bits) else before, np.array([[len(x) for x in levels], first], np.int64)
+
+
+def look_up_packed(bits: np.ndarray, before: np.ndarray, sizes: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The same numbers as ``look_up``; a key reads one word of each level until its bit is on."""
+    out = np.full(len(h), -1, np.int64)
+    one = np.uint64(1)
+    for i, (size, first) in enumerate(sizes.T.tolist()):
+        open_ = np.flatnonzero(out < 0)
+        at = _place(h[open_], i, size)
+        word, bit = first + (at >> 6), (at & 63).astype(np.uint64)
+        held = bits[word]
+        hit = (held >> bit) & one == one
+        out[open_[hit]] = (before[word] + np.bitwise_count(held & ((one << bit) - one)))[hit]
+    return out
+
+
 def _key(ids: np.ndarray) -> np.ndarray:
     return mix(ids.astype(np.int64).view(np.uint64) + np.uint64(0xA0761D6478BD642F))
 
@@ -182,7 +138,9 @@ def _mark(ids: np.ndarray) -> np.ndarray:
     return mix(_key(ids) ^ np.uint64(0xE7037ED1A0B428DB)).astype(np.uint32)
 
 
-INDEX = "bucket int, bits binary, sizes binary, marks binary, first binary, shard binary, at binary, n binary"
+INDEX = "bucket int, bits binary, before binary, sizes binary, marks binary, first binary, shard binary, at binary, n binary"
+#: So many buckets at most are named in a filter; beyond that the whole index is read.
+NAMED_BUCKETS = 1000
 
 
 def _build_bucket(group: pa.Table) -> pa.Table:
@@ -198,9 +156,9 @@ def _build_bucket(group: pa.Table) -> pa.Table:
     count = np.diff(np.r_[cut, len(ids)])[by_number]
     first = np.r_[0, np.cumsum(count)].astype(np.int64)
     pick = np.repeat(cut[by_number] - first[:-1], count) + np.arange(len(ids))
-    cells = [np.packbits(np.concatenate(levels)), np.array([len(x) for x in levels], np.int64), marks, first, shard[pick].astype(np.int64), at[pick].astype(np.int64), n[pick].astype(np.int64)]
+    cells = [*pack(levels), marks, first, shard[pick].astype(np.int64), at[pick].astype(np.int64), n[pick].astype(np.int64)]
     row = {"bucket": pa.array([group.column("bucket")[0].as_py()], pa.int32())}
-    names = ("bits", "sizes", "marks", "first", "shard", "at", "n")
+    names = ("bits", "before", "sizes", "marks", "first", "shard", "at", "n")
     return pa.table(row | {k: pa.array([v.tobytes()], pa.binary()) for k, v in zip(names, cells, strict=True)})
 
 
@@ -209,17 +167,14 @@ def _find(keys: pa.Table, index: pa.Table) -> pa.Table:
     ids = np.unique(keys.column("doc_id").to_numpy())
     if not index.num_rows or not len(ids):
         return pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "no", "at", "n")})
-    row = index.to_pylist()[0]
-    sizes = np.frombuffer(row["sizes"], np.int64)
-    bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[: sizes.sum()].astype(bool)
-    levels = np.split(bits, np.cumsum(sizes)[:-1])
-    number = look_up(levels, _key(ids))
-    marks, first = np.frombuffer(row["marks"], np.uint32), np.frombuffer(row["first"], np.int64)
+    read = lambda c, kind: np.frombuffer(index.column(c)[0].as_buffer(), kind)
+    marks, first = read("marks", np.uint32), read("first", np.int64)
+    number = look_up_packed(read("bits", "<u8"), read("before", np.int64), read("sizes", np.int64).reshape(2, -1), _key(ids))
     ok = (number >= 0) & (marks[np.maximum(number, 0)] == _mark(ids))
     ids, number = ids[ok], number[ok]
     count = first[number + 1] - first[number]
     pick = np.repeat(first[number] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    cells = {c: np.frombuffer(row[c], np.int64)[pick] for c in ("shard", "at", "n")}
+    cells = {c: read(c, np.int64)[pick] for c in ("shard", "at", "n")}
     return pa.table({"doc_id": np.repeat(ids, count), "no": cells["shard"], "at": cells["at"], "n": cells["n"]})
 
 
@@ -236,7 +191,9 @@ class Store:
     def find(self, keys: DataFrame) -> DataFrame:
         """(doc_id, no, at, n) of every stored row of the keys in column doc_id, through the index."""
         asked = keys.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).select("doc_id", _bucket(self.buckets))
-        both = asked.groupBy("bucket").cogroup(self.index.groupBy("bucket"))
+        named = [r["bucket"] for r in asked.select("bucket").distinct().limit(NAMED_BUCKETS + 1).collect()]
+        index = self.index.where(F.col("bucket").isin(named)) if len(named) <= NAMED_BUCKETS else self.index
+        both = asked.groupBy("bucket").cogroup(index.groupBy("bucket"))
         return both.applyInArrow(_find, "doc_id long, no long, at long, n long")
 
     def read(self, entries: DataFrame) -> DataFrame:
@@ -291,7 +248,7 @@ def write_store(docs: DataFrame, path: str, end_id: int = END_ID, root: str | No
     count = listed.count()
     buckets = max(1, -(-count // KEYS_PER_BUCKET))
     index = listed.where("doc_id IS NOT NULL").select("doc_id", "no", "at", "n", _bucket(buckets)).groupBy("bucket").applyInArrow(_build_bucket, INDEX)
-    return Store(root, shards, materialize(index, "index"), listed, buckets)
+    return Store(root, shards, materialize(index.sortWithinPartitions("bucket"), "index"), listed, buckets)
 
 
 def read_back(store: Store, keys: DataFrame) -> DataFrame:

@@ -63,3 +63,38 @@ def test_keyed_access_and_odd_rows(spark):
     assert [r["start"] for r in got if r["doc_id"] is None] == [0]
     none = ts.write_store(docs.where("false"), PATH)
     assert ts.read_back(none, docs.where("false").select("doc_id")).count() == 0
+
+
+def test_packed_look_up():
+    """The packed form numbers known and unknown keys as the plain levels do."""
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 63, 64, 65, 5000):
+        ids = np.unique(rng.integers(-(2**62), 2**62, n))
+        levels = ts.build_hash(ts._key(ids))
+        asked = ts._key(np.r_[ids, rng.integers(-(2**62), 2**62, 100)])
+        assert ts.look_up_packed(*ts.pack(levels), asked).tolist() == ts.look_up(levels, asked).tolist()
+
+
+def test_batches(coder):
+    """Whole batches, with slices, nulls, a very long text and tokens spelled out, as text by text."""
+    import pyarrow as pa
+
+    own, lib = coder
+    texts = ["x", None, "", "a b, c.\n\nD  e", "word " * 300000 + "end", "y<|endoftext|> z a\x85 b　 c", " É l'été, don't", "A" * 10000]
+    words = ts.Tokens(P.path("word_bpe_49k.json"))
+    for coder_, lib_ in ((own, lib), (words, Tokenizer.from_file(P.path("word_bpe_49k.json")))):
+        ids, ptr = coder_.batch(pa.array(["skip", *texts]).slice(1))
+        assert [ids[a:b].tolist() for a, b in zip(ptr, ptr[1:], strict=False)] == [lib_.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@given(st.one_of(st.text(max_size=40), st.text("ab 'sé\n\t\x1c　.!<|endoftext|>ÀÉß̈", max_size=40)))
+@settings(max_examples=400, deadline=None)
+def test_word_tokenizer_same_as_whole_text(word_coder, text):
+    own, lib = word_coder
+    assert np.frombuffer(own.encode(text), "<u2").tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def word_coder():
+    path = P.path("word_bpe_49k.json")
+    return ts.Tokens(path), Tokenizer.from_file(path)
