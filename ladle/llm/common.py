@@ -149,8 +149,9 @@ def _pieces(raw: np.ndarray, lo: int, hi: int, seps: np.ndarray) -> Iterator[tup
         yield lo, hi
 
 
-def tokens(texts: pa.Array, lower: bool = False, punctuation: bool = False) -> Words:
-    """Words of an Arrow string column; a null text has none. ``punctuation``: ASCII punctuation separates too."""
+def tokens(texts: pa.Array, lower: bool = False, punctuation: bool = False, seps: np.ndarray | None = None) -> Words:
+    """Words of an Arrow string column; a null text has none. ``punctuation``: ASCII punctuation separates too; ``seps``: which ASCII
+    bytes separate, in place of either."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string())
@@ -163,7 +164,8 @@ def tokens(texts: pa.Array, lower: bool = False, punctuation: bool = False) -> W
     raw, off = raw[off[0] : off[-1]], off - off[0]
     if lower:
         raw = _LOWER[raw]
-    seps = _PUNCT if punctuation else _SPACES
+    if seps is None:
+        seps = _PUNCT if punctuation else _SPACES
     parts = []
     d = 0
     while d < n:

@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladle.llm import decontaminate, mixing, pieces, placement, ppm, revisits, rules, substrings, tensor_minhash, token_store
+from ladle.llm import collocations, decontaminate, mixing, packing, pieces, placement, ppm, prefix_trie, revisits, rules, substrings, tensor_minhash, token_store
 from ladle.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -182,3 +183,65 @@ SELECT record_id, url_key, outcome, r.id AS response_id, CASE WHEN ok THEN coale
        CASE WHEN ok THEN 7 ELSE NULL END::BIGINT AS n_headers
 FROM (SELECT *, outcome = 'resolved' AS ok FROM told)
 """
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrase_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM piece),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY 1),
+cand AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10),
+cut AS (SELECT lang, phrase, a, c, array_to_string(ws[1:c], ' ') AS x, array_to_string(ws[c + 1:k], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
+scored AS (SELECT cut.lang, cut.phrase, a, c, p.f AS l, q.f AS r, (1000000::HUGEINT * a * a) // (p.f::HUGEINT * q.f) AS score
+           FROM cut JOIN f p ON p.lang = cut.lang AND p.phrase = x JOIN f q ON q.lang = cut.lang AND q.phrase = y),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inside AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand WHERE k > 2)) GROUP BY 1, 2),
+kept AS (SELECT weakest.* FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+         md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, digest) AS ts FROM t GROUP BY 1),
+lead AS (
+  SELECT conv_id, ts, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+         lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 9 AS h
+  FROM own),
+built AS (SELECT c.conv_id, list_concat(coalesce(d.ts, [])[1:c.h], c.ts[c.h + 1:len(c.ts)]) AS s FROM lead c LEFT JOIN own d ON d.conv_id = c.conv_id - c.conv_id % 5),
+member AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM built),
+node AS (
+  SELECT s[1:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(s) = depth) AS ends
+  FROM member GROUP BY 1, 2),
+child AS (SELECT k[1:depth - 1] AS k, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (
+  SELECT node.*, coalesce(child.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[depth].t) END AS saved FROM node LEFT JOIN child USING (k)),
+below AS (
+  SELECT k[1:j] AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT k, n_children, saved, unnest(range(0, depth + 1)) AS j FROM full_node) GROUP BY 1)
+SELECT x.conv_id, x.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM full_node x JOIN below ON below.k = x.k LEFT JOIN node p ON x.depth > 0 AND p.depth = x.depth - 1 AND p.k = x.k[1:x.depth - 1]
+"""
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), WORD_BPE)

@@ -18,11 +18,13 @@ COLUMNS = {
     "op7_lm_scoring": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op9_language_id": "doc_id held_out lang_pred score",
     "op10_minhash_near_dedup": "doc_id n_shingles component_id kept",
+    "op11_phrase_collocations": "lang rank phrase a l r n score",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
 def test_names():
-    assert {k.split("_")[0] for k in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {k.split("_")[0] for k in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
     assert set(ORACLES) <= set(QUERIES) <= set(queries())
 
 
