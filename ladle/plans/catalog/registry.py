@@ -17,7 +17,9 @@ def query(name: str, sql: str | None = None, ctes: tuple[str, ...] = ()):
         if sql is not None:
             head = "WITH " + ",\n".join(ctes) + "\n" if ctes else ""
             body = sql.strip()
-            if ctes and body.upper().startswith("WITH "):
+            if ctes and body.upper().startswith("WITH RECURSIVE "):
+                head, body = head.replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ",\n", body[15:]
+            elif ctes and body.upper().startswith("WITH "):
                 head, body = head.rstrip() + ",\n", body[5:]
             ORACLES[name] = head + body
         return fn

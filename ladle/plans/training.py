@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions.scores import positive_score
 from ladle.functions.text import model_text
-from ladle.operators import evaluation, sampling
-from ladle.operators.encode import fit_encoder
+from ladle.operators import evaluation, linear, sampling
+from ladle.operators.encode import InputEncoder, fit_encoder
 from ladle.operators.ranks import rank_blend
 from ladle.operators.skew import attach
-from ladle.operators.tfidf import TfidfModel, fit_counts, text_term_counts, to_vectors
+from ladle.operators.tfidf import TfidfModel, fit_counts, text_term_counts
 from ladle.session import materialize
 
 
@@ -57,6 +59,8 @@ RANK_BLENDS = {
     "char_svm_plus_word_svm_plus_char_logistic": {"char_logistic": 0.40, "char_svm": 0.30, "word_svm": 0.30},
     "all_four": {"char_logistic": 0.40, "word_logistic": 0.20, "char_svm": 0.30, "word_svm": 0.10},
 }
+#: Coefficients of all fits that go through the rows together.
+MAX_TOGETHER = 1 << 25
 CHAMPION = {"char_logistic": 0.50, "word_svm": 0.50}
 LOGISTIC_GRID = [(c, w) for w in (False, True) for c in (0.01, 0.1, 1.0, 10.0)]
 GBT_GRID = {
@@ -92,16 +96,6 @@ def class_weight(counts: Mapping[int, int], label: str = "label"):
     return out
 
 
-def linear_model(spec_model: str, c: float, n: int, l1: bool, weighted: bool, max_iter: int = 100, scale: bool = False):
-    """Spark estimator whose penalty matches an inverse strength ``c`` summed over ``n`` rows."""
-    common = dict(labelCol="label", featuresCol="features", regParam=1.0 / (c * n), maxIter=max_iter, standardization=scale)
-    if weighted:
-        common["weightCol"] = "weight"
-    if spec_model == "logistic":
-        return LogisticRegression(elasticNetParam=1.0 if l1 else 0.0, **common)
-    return LinearSVC(**common)
-
-
 @dataclass
 class TextRanker:
     """A fitted text ranker as tables: ``tfidf`` and the non-zero ``coefficients`` (index, coefficient), stored."""
@@ -149,25 +143,56 @@ def text_counts(df: DataFrame, spec: TextSpec, key: str, text: str) -> DataFrame
     return materialize(text_term_counts(cleaned, key, "__text", spec.analyzer, spec.low, spec.high), "counts")
 
 
+def text_design(rows: DataFrame, weights: DataFrame, key: str, size: int, row_weight: Column | None = None) -> linear.Design:
+    """Rows (key, label) with their document weights, stored for the passes of a fit. A row without known terms keeps the intercept."""
+    none = F.array()
+    joined = rows.join(weights.select(key, "indices", "weights"), key, "left")
+    table = joined.select(
+        F.col("label").cast("int").alias("y"), (F.lit(1.0) if row_weight is None else row_weight).cast("double").alias("s"),
+        F.coalesce("indices", none.cast("array<int>")).alias("indices"), F.coalesce("weights", none.cast("array<double>")).alias("weights"),
+    )
+    return linear.Design(materialize(table, "training"), size)
+
+
+def structured_design(df: DataFrame, size: int, row_weight: Column | None = None) -> linear.Design:
+    """Rows with an ML vector ``features`` and a label, as a design."""
+    v = F.unwrap_udt("features")
+    every = F.sequence(F.lit(0), F.lit(size - 1))
+    table = df.select(
+        F.col("label").cast("int").alias("y"), (F.lit(1.0) if row_weight is None else row_weight).cast("double").alias("s"),
+        F.when(v["type"] == 0, v["indices"]).otherwise(every).alias("indices"), v["values"].alias("weights"),
+    )
+    return linear.Design(materialize(table, "training"), size)
+
+
+def linear_steps(inputs: int, spec: TextSpec, tol: float, passes: int):
+    """Solver of what ``spec`` asks for; the intercept is penalised like any other input."""
+    if spec.l1:
+        if spec.model != "logistic":
+            raise ValueError("an absolute penalty is for the logistic model")
+        return linear.l1_logistic_steps(inputs, spec.c, tol, steps=passes)
+    return linear.newton_cg_steps(inputs, spec.c, "logistic" if spec.model == "logistic" else "squared_hinge", tol, passes)
+
+
+def fit_linear(design: linear.Design, spec: TextSpec, tol: float = 1e-4, passes: int = 400) -> linear.Fit:
+    return linear.solve(design, linear_steps(design.inputs, spec, tol, passes))
+
+
 def fit_ranker(
-    rows: DataFrame, counts: DataFrame, spec: TextSpec, key: str, max_iter: int = 100
+    rows: DataFrame, counts: DataFrame, spec: TextSpec, key: str, max_iter: int = 400, tol: float = 1e-4
 ) -> TextRanker:
-    """Fit on ``rows`` (key, label); ``counts`` may hold more documents, only those of ``rows`` are used."""
+    """Fit on ``rows`` (key, label); ``counts`` may hold more documents, only those of ``rows`` are used. ``max_iter`` bounds the
+    passes over the rows."""
     own = counts.join(rows.select(key), key, "left_semi")
     classes = class_counts(rows)
     n = sum(classes.values())
     tfidf = fit_counts(own, n, spec.analyzer, spec.low, spec.high, spec.min_df, spec.sublinear)
-    data = to_vectors(rows, tfidf.weights(own, key), key, tfidf.size)
-    if spec.balanced:
-        data = data.withColumn("weight", class_weight(classes))
-    # Every iteration reads this table, so it is spread over all cores once.
-    data = materialize(data.repartition(rows.sparkSession.sparkContext.defaultParallelism), "training")
-    model = linear_model(spec.model, spec.c, n, spec.l1, spec.balanced, max_iter).fit(data)
-    dense = model.coefficients.toArray()
-    kept = dense.nonzero()[0]
-    pairs = [(int(i), float(dense[i])) for i in kept]
-    table = materialize(rows.sparkSession.createDataFrame(pairs, "index int, coefficient double"), "coefficients")
-    return TextRanker(spec, tfidf, table, float(model.intercept))
+    weight = class_weight(classes) if spec.balanced else None
+    fit = fit_linear(text_design(rows, tfidf.weights(own, key), key, tfidf.size, weight), spec, tol, max_iter)
+    kept = fit.w[:-1].nonzero()[0]
+    known = pa.table({"index": pa.array(kept, pa.int32()), "coefficient": pa.array(fit.w[kept], pa.float64())})
+    table = materialize(rows.sparkSession.createDataFrame(known), "coefficients")
+    return TextRanker(spec, tfidf, table, float(fit.w[-1]))
 
 
 @dataclass
@@ -200,7 +225,7 @@ class ChampionRanker:
 
 def fit_champion(
     df: DataFrame, key: str, text: str, weights: Mapping[str, float] = CHAMPION,
-    rankers: Mapping[str, TextSpec] = RANKERS, max_iter: int = 100,
+    rankers: Mapping[str, TextSpec] = RANKERS, max_iter: int = 400,
 ) -> ChampionRanker:
     rows = df.select(key, "label")
     fitted = {
@@ -210,45 +235,140 @@ def fit_champion(
     return ChampionRanker(fitted, weights)
 
 
+def fold_vocabulary(counts: DataFrame, folds: DataFrame, key: str, min_df: int = 1) -> DataFrame:
+    """(repeat, fold, term, df, idf) of the documents outside each fold, by subtraction: what all documents hold less what the fold holds.
+
+    ``counts`` (key, term, tf) is grouped once for all documents and once for all folds, whatever their number.
+    """
+    sizes = folds.groupBy("repeat", "fold").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a fold
+    in_repeat: dict[int, int] = {}
+    for r in sizes:
+        in_repeat[r["repeat"]] = in_repeat.get(r["repeat"], 0) + r["n"]
+    every = F.array(*[F.struct(F.lit(r["repeat"]).alias("repeat"), F.lit(r["fold"]).alias("fold"), F.lit(in_repeat[r["repeat"]] - r["n"]).alias("n")) for r in sizes])
+    known = counts.join(folds.select(key).distinct(), key, "left_semi")
+    total = known.groupBy("term").agg(F.count(F.lit(1)).alias("all")).select("term", "all", F.explode(every).alias("f")).select("term", "all", "f.*")
+    held = counts.join(folds.select(key, "repeat", "fold"), key).groupBy("repeat", "fold", "term").agg(F.count(F.lit(1)).alias("held"))
+    df = F.col("all") - F.coalesce("held", F.lit(0))
+    out = total.join(held, ["repeat", "fold", "term"], "left").withColumn("df", df).where(F.col("df") >= min_df)
+    idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    return out.select("repeat", "fold", "term", "df", idf.alias("idf"))
+
+
+@dataclass
+class FoldViews:
+    """What each fit sees of a table (key, y, folds, indices, tf): inputs weighed by the IDF of its own training documents, class weights of
+    its own, and weight 0 for the documents it must not learn from."""
+
+    fits: list[tuple[TextSpec, int, int]]
+    idf: dict[tuple[int, int], np.ndarray]
+    df: dict[tuple[int, int], np.ndarray]
+    classes: dict[tuple[int, int], dict[int, int]]
+
+    def read(self, batch: pa.RecordBatch) -> tuple:
+        n = batch.num_rows
+        count = batch.column("indices").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        index = batch.column("indices").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        tf = batch.column("tf").flatten().to_numpy(zero_copy_only=False).astype(float)
+        folds = batch.column("folds").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        return np.repeat(np.arange(n), count), index, tf, folds, batch.column("y").to_numpy(zero_copy_only=False)
+
+    def view(self, held: tuple, i: int) -> linear.Rows:
+        owner, index, tf, folds, y = held
+        spec, repeat, fold = self.fits[i]
+        n, inputs = len(y), len(self.idf[repeat, fold])
+        idf = np.where(self.df[repeat, fold] >= spec.min_df, self.idf[repeat, fold], 0.0)
+        value = (1.0 + np.log(tf) if spec.sublinear else tf) * idf[index]
+        norm = np.sqrt(np.bincount(owner, value**2, n))
+        value = value / np.where(norm > 0, norm, 1.0)[owner]
+        size = self.classes[repeat, fold]
+        weight = {c: sum(size.values()) / (len(size) * k) if spec.balanced else 1.0 for c, k in size.items()}
+        s = np.where(folds[:, repeat] == fold, 0.0, np.where(y > 0, weight.get(1, 0.0), weight.get(0, 0.0)))
+        return linear.Rows(np.where(y > 0, 1.0, -1.0), s, np.r_[owner, np.arange(n)], np.r_[index, np.full(n, inputs)], np.r_[value, np.ones(n)], inputs + 1)
+
+
 def fold_scores(
-    rows: DataFrame, counts: Mapping[str, DataFrame], specs: Mapping[str, TextSpec], folds: DataFrame,
-    key: str, repeats: int, n_folds: int, max_iter: int = 100,
+    rows: DataFrame, counts: DataFrame, specs: Mapping[str, TextSpec], folds: DataFrame, key: str, max_iter: int = 400, tol: float = 1e-4,
 ) -> DataFrame:
-    """Held-out score columns of every ranker for every (repeat, fold, row), on identical folds."""
-    out = None
-    for r in range(repeats):
-        for f in range(n_folds):
-            part = folds.where(F.col("repeat") == r)
-            train = rows.join(part.where(F.col("fold") != f).select(key), key, "left_semi")
-            held = rows.join(part.where(F.col("fold") == f).select(key), key, "left_semi")
-            scored = held
-            for name, spec in specs.items():
-                ranker = fit_ranker(train, counts[name], spec, key, max_iter)
-                own = counts[name].join(held.select(key), key, "left_semi")
-                scored = ranker.score_counts(scored, own, key, name)
-            tagged = scored.withColumns({"repeat": F.lit(r), "fold": F.lit(f)})
-            out = tagged if out is None else out.unionByName(tagged)
-    return materialize(out, "fold-scores")
+    """Held-out scores (key, label, repeat, fold, model, score) of rankers that share ``counts``, on identical folds.
+
+    All fits of all folds go through the rows together: their number of passes is that of the slowest fit. Vocabulary, IDF and class
+    weights of each fold are those of its training documents, found by subtraction.
+    """
+    least = min(s.min_df for s in specs.values())
+    own = counts.join(rows.select(key), key, "left_semi")
+    model = fit_counts(own, rows.count(), *next((s.analyzer, s.low, s.high) for s in specs.values()), least)
+    size, combos = model.size, [(r["repeat"], r["fold"]) for r in folds.select("repeat", "fold").distinct().orderBy("repeat", "fold").collect()]
+    if size * len(combos) * len(specs) > MAX_TOGETHER:
+        raise ValueError(f"at most {MAX_TOGETHER} coefficients together")
+    stats = fold_vocabulary(own, folds, key, least).join(model.vocabulary.select("term", "index"), "term").select("repeat", "fold", "index", "df", "idf").toArrow()
+    place = {c: i for i, c in enumerate(combos)}
+    at = np.array([place[c] for c in zip(stats.column("repeat").to_pylist(), stats.column("fold").to_pylist(), strict=True)], np.int64)
+    idf, df = np.zeros((len(combos), size)), np.zeros((len(combos), size), np.int64)
+    idf[at, stats.column("index").to_numpy()], df[at, stats.column("index").to_numpy()] = stats.column("idf").to_numpy(), stats.column("df").to_numpy()
+    classes: dict = {c: {} for c in combos}
+    totals: dict = {}
+    for r in folds.select(key, "repeat", "fold").join(rows.select(key, "label"), key).groupBy("repeat", "fold", "label").count().collect():  # two rows a fold
+        totals[r["repeat"], r["label"]] = totals.get((r["repeat"], r["label"]), 0) + r["count"]
+        classes[r["repeat"], r["fold"]][r["label"]] = r["count"]
+    for (r, f), held in classes.items():
+        left = {c: n - held.get(c, 0) for (q, c), n in totals.items() if q == r}
+        classes[r, f] = {int(c): n for c, n in left.items() if n}
+
+    repeats = F.transform(F.array_sort(F.collect_list(F.struct("repeat", "fold"))), lambda x: x["fold"])
+    terms = own.join(model.vocabulary.select("term", "index"), "term").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "tf"))).alias("t"))
+    table = rows.select(key, "label").join(folds.groupBy(key).agg(repeats.alias("folds")), key).join(terms, key, "left").select(
+        key, "label", F.coalesce(F.col("label"), F.lit(0)).cast("int").alias("y"), "folds", F.coalesce(F.transform("t", lambda x: x["index"]), F.array().cast("array<int>")).alias("indices"),
+        F.coalesce(F.transform("t", lambda x: x["tf"].cast("double")), F.array().cast("array<double>")).alias("tf"),
+    )
+    table = materialize(table, "folded")
+    fits = [(spec, r, f) for spec in specs.values() for r, f in combos]
+    views = FoldViews(fits, {c: idf[i] for c, i in place.items()}, {c: df[i] for c, i in place.items()}, classes)
+    shared = rows.sparkSession.sparkContext.broadcast(views)
+
+    def seen(batch: pa.RecordBatch, live: Sequence[int]):
+        held = shared.value.read(batch)
+        return (shared.value.view(held, i) for i in live)
+
+    solvers = [linear_steps(size, spec, tol, max_iter) for spec, _, _ in fits]
+    found = linear.solve_together(table.select("y", "folds", "indices", "tf"), seen, solvers)
+    names = [name for name in specs for _ in combos]
+    weights = rows.sparkSession.sparkContext.broadcast([f.w for f in found])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = shared.value.read(batch)
+            for i, (spec, r, f) in enumerate(fits):
+                out = np.flatnonzero(held[3][:, r] == f)
+                if not len(out):
+                    continue
+                margin = shared.value.view(held, i).dot(weights.value[i])[out]
+                value = margin if spec.model == "svm" else 1 / (1 + np.exp(-margin))
+                kept = [batch.column(c).take(pa.array(out)) for c in (key, "label")]
+                same = [pa.repeat(pa.scalar(v, t), len(out)) for v, t in ((r, pa.int32()), (f, pa.int32()), (names[i], pa.string()))]
+                yield pa.RecordBatch.from_arrays([*kept, *same, pa.array(value)], [key, "label", "repeat", "fold", "model", "score"])
+
+    types = dict(table.dtypes)
+    return table.mapInArrow(score, f"`{key}` {types[key]}, label {types['label']}, repeat int, fold int, model string, score double")
 
 
 def repeated_cv(
     df: DataFrame, key: str, text: str, specs: Mapping[str, TextSpec] = RANKERS,
     probability_blends: Mapping[str, Mapping[str, float]] = PROBABILITY_BLENDS,
     rank_blends: Mapping[str, Mapping[str, float]] = RANK_BLENDS,
-    n_folds: int = 5, repeats: int = 10, seed: int = 42, max_iter: int = 100,
+    n_folds: int = 5, repeats: int = 10, seed: int = 42, max_iter: int = 400,
 ) -> tuple[DataFrame, DataFrame]:
     """Fold AUC per model and blend ``(model, repeat, fold, auc)``, and all held-out scores."""
     rows = materialize(df.select(key, "label"), "rows")
     folds = materialize(sampling.repeated_folds(rows, "label", key, n_folds, repeats, seed), "folds")
-    shared: dict[tuple, DataFrame] = {}
-    counts = {}
+    alike: dict[tuple, dict[str, TextSpec]] = {}
     for name, spec in specs.items():
-        cfg = (spec.analyzer, spec.low, spec.high)
-        if cfg not in shared:
-            shared[cfg] = text_counts(df, spec, key, text)
-        counts[name] = shared[cfg]
-    scores = fold_scores(rows, counts, specs, folds, key, repeats, n_folds, max_iter)
-    wide = scores
+        alike.setdefault((spec.analyzer, spec.low, spec.high), {})[name] = spec
+    parts = None
+    for same in alike.values():
+        part = fold_scores(rows, text_counts(df, next(iter(same.values())), key, text), same, folds, key, max_iter)
+        parts = part if parts is None else parts.union(part)
+    scores = materialize(parts, "fold-scores")
+    wide = scores.groupBy(key, "label", "repeat", "fold").agg(*[F.max(F.when(F.col("model") == name, F.col("score"))).alias(name) for name in specs])
     for name, weights in probability_blends.items():
         wide = wide.withColumn(name, sum(F.lit(w) * F.col(c) for c, w in weights.items()))
     for name, weights in rank_blends.items():
@@ -281,7 +401,7 @@ def grid_search(
 def tune_text(
     df: DataFrame, key: str, text: str, analyzer: str, ranges: Sequence[tuple[int, int]],
     min_dfs: Sequence[int], sublinears: Sequence[bool], model: str, cs: Sequence[float],
-    l1s: Sequence[bool] = (False,), balances: Sequence[bool] = (False,), n_folds: int = 5, max_iter: int = 100,
+    l1s: Sequence[bool] = (False,), balances: Sequence[bool] = (False,), n_folds: int = 5, max_iter: int = 400,
 ) -> DataFrame:
     """Grid search over text settings and model settings.
 
@@ -327,8 +447,46 @@ def fit_structured(
     return score
 
 
-def structured_logistic(c: float = 0.01, max_iter: int = 100) -> Callable[[int, bool], object]:
-    return lambda n, weighted: linear_model("logistic", c, n, False, weighted, max_iter)
+@dataclass
+class StructuredLogistic:
+    """A logistic model of structured inputs: the encoder, the coefficients with the intercept last, and the fit they come from."""
+
+    encoder: InputEncoder
+    candidate: linear.Candidate
+    fit: linear.Fit
+
+    def score(self, df: DataFrame, name: str = "score") -> DataFrame:
+        v = F.unwrap_udt("features")
+        size = len(self.fit.w) - 1
+        w = F.array(*[F.lit(float(x)) for x in self.fit.w[:-1]])
+        pairs = F.arrays_zip(F.when(v["type"] == 0, v["indices"]).otherwise(F.sequence(F.lit(0), F.lit(size - 1))).alias("i"), v["values"].alias("v"))
+        margin = F.aggregate(pairs, F.lit(float(self.fit.w[-1])), lambda a, x: a + x["v"] * F.get(w, x["i"]))
+        return self.encoder.transform(df).select(*df.columns, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias(name))
+
+
+def structured_candidates(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], grid: Sequence[tuple[float, bool]] = LOGISTIC_GRID
+) -> list[StructuredLogistic]:
+    """Every candidate of the grid (inverse strength, balanced classes) at its optimum, fitted together."""
+    enc = fit_encoder(train, numeric, categorical)
+    data = enc.transform(train).select("features", "label")
+    size = int(data.agg(F.max(F.coalesce(F.unwrap_udt("features")["size"], F.size(F.unwrap_udt("features")["values"])))).first()[0] or 0)
+    candidates = [linear.Candidate(c, balanced) for c, balanced in grid]
+    fits = linear.newton_logistic(structured_design(data, size, class_weight(class_counts(train))), candidates)
+    return [StructuredLogistic(enc, c, f) for c, f in zip(candidates, fits, strict=True)]
+
+
+def choose_candidate(models: Sequence[StructuredLogistic], held: DataFrame, key: str) -> tuple[StructuredLogistic, DataFrame]:
+    """The model with the best AUC on ``held``, and (candidate, c, balanced, roc_auc) of all; the first of equals wins."""
+    parts = None
+    for i, m in enumerate(models):
+        part = m.score(held.select(key, "label", *m.encoder.numeric, *m.encoder.categorical)).select("label", "score", F.lit(i).alias("candidate"))
+        parts = part if parts is None else parts.union(part)
+    auc = evaluation.roc_auc(parts, groups=["candidate"]).select("candidate", "roc_auc")
+    settings = held.sparkSession.createDataFrame([(i, m.candidate.c, m.candidate.balanced) for i, m in enumerate(models)], "candidate int, c double, balanced boolean")
+    table = materialize(settings.join(F.broadcast(auc), "candidate", "left"), "candidates")
+    best = table.orderBy(F.desc_nulls_last("roc_auc"), "candidate").first()
+    return models[best["candidate"]], table
 
 
 def boosted_trees(**params) -> Callable[[int, bool], object]:
