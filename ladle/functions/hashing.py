@@ -7,20 +7,19 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ladle.session import measured_bytes
-
-CELL_BYTES = 1 << 20
+CELL_ROWS = 1 << 14
+MOST_DIGITS = 5
 
 
 def seeded_hash(key: Column, seed: Column | int | str) -> Column:
+    """MD5 of ``seed:key``; NULL keys share the hash of a text that no key has."""
     seed = seed if isinstance(seed, Column) else F.lit(str(seed))
-    return F.md5(F.concat(seed.cast("string"), F.lit(":"), key.cast("string")))
+    return F.md5(F.concat(seed.cast("string"), F.coalesce(F.concat(F.lit(":"), key.cast("string")), F.lit("-"))))
 
 
-def cell_digits(df: DataFrame) -> int:
-    """Leading digits that cut a table of the known size into cells of about CELL_BYTES."""
-    size = measured_bytes(df)
-    return 3 if size >= 1 << 58 else max(2, math.ceil(math.log(max(1, size / CELL_BYTES), 16)))
+def cell_digits(rows: int) -> int:
+    """Leading digits that cut so many rows into cells of about CELL_ROWS; at most MOST_DIGITS, so that a list of all cells stays small."""
+    return min(MOST_DIGITS, max(1, math.ceil(math.log(max(1, rows / CELL_ROWS), 16))))
 
 
 def hash_cell(h: Column, digits: int) -> Column:

@@ -1,8 +1,9 @@
 """Seeded samples, exact-quota splits and fold assignment that do not depend on row order.
 
-Rows are ordered by the MD5 of ``seed:key``. Its leading digits form uniform cells, so the exact
-k-th hash of a stratum is found from cell counts plus one cell, and choosing rows is then a narrow
-filter: the table itself is not shuffled.
+Rows are ordered by the MD5 of ``seed:key``. Each key's rows are counted first, so a key that a third of the rows share is one row. The
+leading digits of the hash form uniform cells, as many as the number of keys asks for; the exact k-th row of a stratum is found
+from cell counts plus one cell, and choosing rows is then a narrow filter: the table itself is not shuffled. Only where
+a quota ends among rows that share a key are those rows numbered, by a hash of all their columns.
 """
 
 from __future__ import annotations
@@ -14,26 +15,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ladle.functions.hashing import cell_digits, hash_cell, seeded_hash
-from ladle.operators.ordering import positions_in_cells
+from ladle.operators.ordering import positions_in_cells, row_positions
 from ladle.operators.skew import attach
+from ladle.session import materialize
+
+
+def _spot(key: str, seed: int | str) -> Column:
+    return F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
 
 
 def hash_cutoffs(
     df: DataFrame, key: str, seed: int | str, quotas: Mapping[str, Column], strata: Sequence[str] = ()
 ) -> DataFrame:
-    """Per stratum, the hash of the k-th row for every named quota (an expression over ``total``).
+    """Per stratum and named quota (an expression over ``total``) where its k-th row is: ``cut_<name>`` is the place of its key,
+    ``keep_<name>`` how many rows of that key belong to the quota and ``copies_<name>`` how many there are.
 
-    A quota of 0 gives NULL. The result has one row per stratum. The k-th row's cell is found from counts;
-    only the rows of those few cells are sorted, and the table is scanned in place.
+    A quota of 0 gives NULL. The result has one row per stratum and is stored. The k-th row's cell is found from counts;
+    only the keys of those few cells are sorted.
     """
     strata = list(strata)
-    hashed = df.select(*strata, F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")).alias("o"))
-    hashed = hashed.withColumn("cell", hash_cell(F.col("o.h"), cell_digits(df)))
+    keys = materialize(df.select(*strata, _spot(key, seed).alias("o")).groupBy(*strata, "o").agg(F.count(F.lit(1)).alias("copies")), "keys")
+    keys = keys.withColumn("cell", hash_cell(F.col("o.h"), cell_digits(keys.count())))
     w = Window.partitionBy(*strata)
     running = w.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = (
-        hashed.groupBy(*strata, "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
+        keys.groupBy(*strata, "cell")
+        .agg(F.sum("copies").alias("n"))
         .select(*strata, "cell", "n", (F.sum("n").over(running) - F.col("n")).alias("before"),
                 F.sum("n").over(w).alias("total"))
     )
@@ -44,27 +51,43 @@ def hash_cutoffs(
         ])).alias("w"),
     ).select(*strata, "cell", F.col("w.quota").alias("quota"), (F.col("w.k") - F.col("before")).alias("at"),
              "n").where((F.col("at") > 0) & (F.col("at") <= F.col("n"))).drop("n")
-    inside = attach(hashed, wanted, [*strata, "cell"], "inner")
-    rank = F.row_number().over(Window.partitionBy(*strata, "cell", "quota").orderBy("o"))
-    cut = inside.withColumn("__rn", rank).where(F.col("__rn") == F.col("at"))
+    inside = attach(keys, wanted, [*strata, "cell"], "inner")
+    up_to = F.sum("copies").over(Window.partitionBy(*strata, "cell", "quota").orderBy("o").rowsBetween(Window.unboundedPreceding, 0))
+    cut = inside.withColumn("__to", up_to).where((F.col("__to") >= F.col("at")) & (F.col("__to") - F.col("copies") < F.col("at")))
+    keep = F.col("at") - F.col("__to") + F.col("copies")
+    picked = {"cut": F.col("o"), "keep": keep, "copies": F.col("copies")}
     found = cut.groupBy(*strata).agg(
-        *[F.max(F.when(F.col("quota") == name, F.col("o"))).alias(f"cut_{name}") for name in quotas]
+        *[F.max(F.when(F.col("quota") == name, c)).alias(f"{what}_{name}") for name in quotas for what, c in picked.items()]
     )
-    return found
+    return materialize(found, "cuts")
 
 
-def _attach_cuts(df: DataFrame, cuts: DataFrame, strata: Sequence[str]) -> DataFrame:
+def _marked(df: DataFrame, key: str, seed: int | str, quotas: Mapping[str, Column], strata: Sequence[str] = ()) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with helper columns (their names begin with ``__``), and for each quota whether a row belongs to it."""
+    cuts = hash_cutoffs(df, key, seed, quotas, strata)
+    names = {c: f"__{c}" for c in cuts.columns if c not in strata}
     if strata:
-        return attach(df, cuts, strata)
-    out = df
-    for c in cuts.columns:
-        out = out.withColumn(c, cuts.select(c).scalar())
-    return out
-
-
-def _until(key: str, seed: int | str, cut: str) -> Column:
-    spot = F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k"))
-    return F.coalesce(spot <= F.col(cut), F.lit(False))
+        out = attach(df, cuts.withColumnsRenamed(names), strata, stored=True)
+    else:
+        out = df.withColumns({n: cuts.select(c).scalar() for c, n in names.items()})
+    spot = _spot(key, seed)
+    cut_within = F.lit(False)
+    for q in quotas:
+        cut_within = cut_within | (F.col(f"copies_{q}") > F.col(f"keep_{q}"))
+    if cuts.where(cut_within).isEmpty():
+        return out, {q: F.coalesce(spot <= F.col(f"__cut_{q}"), F.lit(False)) for q in quotas}
+    tie = F.lit(False)
+    for q in quotas:
+        tie = tie | F.coalesce((spot == F.col(f"__cut_{q}")) & (F.col(f"__copies_{q}") > F.col(f"__keep_{q}")), F.lit(False))
+    plain = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    ties = out.where(tie).withColumn("__row", F.xxhash64(*plain))
+    numbered = row_positions(ties, ["__row"], [*strata, key], "__nth").drop("__row")
+    out = out.where(~tie).withColumn("__nth", F.lit(1).cast("bigint")).unionByName(numbered)
+    inside = {
+        q: F.coalesce((spot < F.col(f"__cut_{q}")) | (spot == F.col(f"__cut_{q}")) & ((F.col(f"__copies_{q}") == F.col(f"__keep_{q}")) | (F.col("__nth") <= F.col(f"__keep_{q}"))), F.lit(False))
+        for q in quotas
+    }
+    return out, inside
 
 
 def stratified_split(
@@ -83,23 +106,15 @@ def stratified_split(
     total = F.col("total").cast("double")
     n_test = F.round(total * F.lit(test))
     n_val = F.round((total - n_test) * F.lit(val / (train + val)))
-    cuts = hash_cutoffs(df, key, seed, {"test": n_test, "val": n_test + n_val}, [label])
-    return (
-        _attach_cuts(df, cuts, [label])
-        .withColumn(
-            name,
-            F.when(_until(key, seed, "cut_test"), "test")
-            .when(_until(key, seed, "cut_val"), "val")
-            .otherwise("train"),
-        )
-        .drop("cut_test", "cut_val")
-    )
+    marked, inside = _marked(df, key, seed, {"test": n_test, "val": n_test + n_val}, [label])
+    part = F.when(inside["test"], "test").when(inside["val"], "val").otherwise("train")
+    return marked.select(*[c for c in df.columns if c != name], part.alias(name))
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, uniform without replacement, the same for any row order."""
-    cuts = hash_cutoffs(df, key, seed, {"n": F.least(F.col("total"), F.lit(n))})
-    return _attach_cuts(df, cuts, []).where(_until(key, seed, "cut_n")).drop("cut_n")
+    marked, inside = _marked(df, key, seed, {"n": F.least(F.col("total"), F.lit(n))})
+    return marked.where(inside["n"]).select(*df.columns)
 
 
 def mark_fraction(
@@ -107,10 +122,8 @@ def mark_fraction(
 ) -> DataFrame:
     """Mark exactly ``max(1, floor(n * frac))`` rows, as two halves (the first is rounded down)."""
     k = F.greatest(F.lit(1), F.floor(F.col("total").cast("double") * F.lit(float(frac))))
-    cuts = hash_cutoffs(df, key, seed, {"half": F.floor(k / 2), "all": k})
-    out = _attach_cuts(df, cuts, [])
-    early, hit = _until(key, seed, "cut_half"), _until(key, seed, "cut_all")
-    return out.withColumns({first: early, second: hit & ~early}).drop("cut_half", "cut_all")
+    marked, inside = _marked(df, key, seed, {"half": F.floor(k / 2), "all": k})
+    return marked.select(*df.columns, inside["half"].alias(first), (inside["all"] & ~inside["half"]).alias(second))
 
 
 def fold_assignment(
@@ -122,7 +135,7 @@ def fold_assignment(
     Hash cells split even a label that holds all rows over many tasks.
     """
     hashed = df.withColumn("__o", F.struct(seeded_hash(F.col(key), seed).alias("h"), F.col(key).alias("k")))
-    celled = hashed.withColumn("__cell", hash_cell(F.col("__o.h"), cell_digits(df)))
+    celled = hashed.withColumn("__cell", hash_cell(F.col("__o.h"), cell_digits(df.count())))
     placed = positions_in_cells(celled, "__cell", F.col("__o"), [*extra, label], "__pos")
     fold = F.pmod(F.col("__pos") - 1, F.lit(folds)).cast("int")
     return placed.withColumn(name, fold).drop("__o", "__cell", "__pos")

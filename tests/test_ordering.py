@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ladle.operators import evaluation, ordering, ranks, skew
+from ladle.operators import evaluation, ordering, ranks, sampling, skew
 from ladle.operators.ordering import measured_ranks, row_positions
 from ladle.operators.skew import spread_join
 
@@ -164,3 +164,27 @@ def test_many_hot_keys(spark):
     table = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
     got = spread_join(rows, table, ["k"], "n", hot_rows=1)
     assert got.count() == 6000 and got.where("top % 1500 <> k").count() == 0
+
+
+def test_exact_quotas_under_repeated_keys(spark):
+    """Twenty rows over ten keys, and one key that half of all rows share: quotas hold whatever the order of the rows."""
+    pairs = spark.createDataFrame([(i % 10, i) for i in range(20)], "k long, v long")
+    for n in (0, 1, 3, 7, 20, 50):
+        got = sampling.hash_sample(pairs, "k", n)
+        assert got.columns == ["k", "v"] and got.count() == min(n, 20)
+    hot = spark.createDataFrame([(7 if i % 2 else i, i, i % 3 == 0) for i in range(600)] + [(None, 600, True), (None, 601, True)], "k long, v long, y boolean")
+    first = {r["v"] for r in sampling.hash_sample(hot, "k", 200).collect()}
+    assert len(first) == 200 and first == {r["v"] for r in sampling.hash_sample(hot.repartition(7), "k", 200).collect()}
+    marked = sampling.mark_fraction(hot, "k", 0.25)
+    assert marked.where("hit_first").count() == 75 and marked.where("hit_second").count() == 75
+    split = sampling.stratified_split(hot, "y", "k")
+    for y, n in ((True, 202), (False, 400)):
+        test = round(n * 0.15)
+        assert split.where(F.col("y") == y).groupBy("split").count().where("split = 'test'").first()["count"] == test
+    assert split.count() == 602 and set(split.columns) == {"k", "v", "y", "split"}
+
+
+def test_cells_follow_the_number_of_rows():
+    from ladle.functions.hashing import CELL_ROWS, MOST_DIGITS, cell_digits
+
+    assert cell_digits(0) == 1 and cell_digits(CELL_ROWS * 16) == 1 and cell_digits(CELL_ROWS * 17) == 2 and cell_digits(10**15) == MOST_DIGITS
