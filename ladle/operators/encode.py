@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladle.functions import fixed
@@ -88,6 +89,24 @@ class InputEncoder:
             out = known.withColumn(f"__i_{c}", F.coalesce(F.col(f"__i_{c}"), size)).drop(f"__n_{c}")
         return out
 
+    def save(self, path: str) -> None:
+        """Settings as a row of JSON, categories as tables, the one-hot stages as Spark writes them."""
+        spark = self.stages_session()
+        settings = {k: getattr(self, k) for k in ("numeric", "categorical", "fill", "mode", "mean", "std")}
+        spark.range(1).select(F.lit(json.dumps(settings)).alias("settings")).write.mode("overwrite").parquet(f"{path}/settings")
+        for i, c in enumerate(self.categorical):
+            self.tables[c].write.mode("overwrite").parquet(f"{path}/categories-{i}")
+        self.stages.write().overwrite().save(f"{path}/stages")
+
+    def stages_session(self) -> SparkSession:
+        return next(iter(self.tables.values())).sparkSession if self.tables else SparkSession.active()
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> InputEncoder:
+        settings = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
+        tables = {c: spark.read.parquet(f"{path}/categories-{i}") for i, c in enumerate(settings["categorical"])}
+        return InputEncoder(**settings, tables=tables, stages=PipelineModel.load(f"{path}/stages"))
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``features``, sparse in the categories; an unseen category is all zeros."""
         return self.stages.transform(self.indexed(df))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from ladle.operators import popularity, sampling
+from ladle.operators import estimators, popularity, sampling
 from ladle.plans import inputs, pipeline
 from ladle.plans.catalog.ranking import SPLIT_CTE
 from ladle.plans.catalog.registry import query, rounded
@@ -97,3 +98,30 @@ def prepared_features(spark, sf):
         "recipe_id", "label", "split", "total_time_minutes", "total_time_bucket",
         F.col("popularity_zscore_within_cuisine").alias("zscore"),
         F.col("popularity_rank_pct_within_cuisine").alias("rank_pct"), "has_egg"), "zscore", "rank_pct")
+
+
+@query("stored_pipeline", """
+WITH s AS (
+  SELECT doc_id, source, n_chars, count(DISTINCT w) AS n_terms, coalesce(any_value(m), any_value(g)) AS score
+  FROM (SELECT doc_id, source, n_chars, unnest(list_concat([NULL], regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}'))) AS w FROM documents)
+  LEFT JOIN (SELECT source, avg(n_chars) AS m FROM documents WHERE lang <> 'en' GROUP BY source) USING (source),
+    (SELECT avg(n_chars) AS g FROM documents WHERE lang <> 'en')
+  GROUP BY doc_id, source, n_chars)
+SELECT doc_id, round(score, 6) AS score, n_terms,
+       round(0.5::DOUBLE * (rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE) / count(*) OVER ()
+       + 0.5::DOUBLE * (rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0::DOUBLE) / count(*) OVER (), 8) AS blend
+FROM s""")
+def stored_pipeline(spark, sf):
+    """A pipeline of all four stages, fitted, saved, loaded as a plain pipeline model and applied."""
+    docs = inputs.table(spark, sf, "documents").select("doc_id", "source", "lang", "text", F.col("n_chars").cast("double").alias("v"), F.col("n_chars").cast("double").alias("size"))
+    stages = [
+        estimators.PopularityRanker("source", "v", "score"), estimators.TfidfVectorizer("doc_id", "text", "terms", min_df=1),
+        estimators.StructuredEncoder(["size"], ["lang"]), estimators.RankBlend({"score": 0.5, "v": 0.5}, "blend"),
+    ]
+    path = scratch_path(spark, "pipeline")
+    fitted = Pipeline(stages=stages).fit(docs)
+    popular = Pipeline(stages=stages[:1]).fit(docs.where("lang <> 'en'"))
+    writers.save_pipeline(PipelineModel(stages=[popular.stages[0], *fitted.stages[1:]]), path)
+    out = writers.load_pipeline(path).transform(docs)
+    n = F.size(F.unwrap_udt("terms")["indices"]).cast("bigint")
+    return rounded(rounded(out.select("doc_id", "score", n.alias("n_terms"), "blend"), "score", digits=6), "blend")
