@@ -34,14 +34,18 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", groups: S
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(threshold, fpr, tpr) for every distinct score: rates among rows scored at or above it."""
+    """(threshold, fpr, tpr): the start point, no row above an infinite threshold, and for every distinct score the rates among rows scored
+    at or above it. An empty table has no point."""
     curve = _curve(df, label, score, ())
 
     def rate(x: str) -> Column:
         above = (F.col(f"total_{x}") - F.col(f"before_{x}")).cast("double")
         return above / F.nullif(F.col(f"total_{x}").cast("double"), F.lit(0.0))
 
-    return curve.select(F.col(score).alias("threshold"), rate("neg").alias("fpr"), rate("pos").alias("tpr"))
+    points = curve.select(F.col(score).cast("double").alias("threshold"), rate("neg").alias("fpr"), rate("pos").alias("tpr"))
+    nothing = F.lit(0.0)
+    start = df.where(F.col(score).isNotNull()).limit(1).select(F.lit(float("inf")).alias("threshold"), nothing.alias("fpr"), nothing.alias("tpr"))
+    return points.union(start)
 
 
 def precision_at_k(

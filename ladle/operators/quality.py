@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from ladle.functions import fixed
 from ladle.functions.text import duration_minutes
 from ladle.operators.dedupe import duplicate_count
+from ladle.sources.readers import file_exists
 
 FINDING = "`column` string, `check` string, failure_case string, row_id string"
 
@@ -97,9 +98,11 @@ def request_level_rules() -> list[ColumnRule]:
     ]
 
 
-def missing_table(spark: SparkSession, name: str, gating: bool = True) -> DataFrame:
-    """Finding for a table that is not there: critical if later stages need it, else a warning."""
-    return gate(spark.createDataFrame([(None, "table_exists", name, None)], FINDING), gating)
+def table_findings(spark: SparkSession, paths: Mapping[str, str], gating: bool = True) -> DataFrame:
+    """A finding for each named table whose path is not there: critical if later stages need it, else a warning. Nothing is read; a table that
+    is there gives no row."""
+    absent = [(None, "table_exists", name, None) for name, path in paths.items() if not file_exists(spark, path)]
+    return gate(spark.createDataFrame(absent, FINDING), gating)
 
 
 def column_findings(df: DataFrame, rules: Sequence[ColumnRule]) -> list[tuple[str, str, str]]:

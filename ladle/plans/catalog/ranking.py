@@ -206,7 +206,8 @@ def roc_auc_by_group(spark, sf):
 SELECT discount AS threshold,
        round(sum(sum(1 - label)) OVER w / sum(sum(1 - label)) OVER ()::DOUBLE, 8) AS fpr,
        round(sum(sum(label)) OVER w / sum(sum(label)) OVER ()::DOUBLE, 8) AS tpr
-FROM ratings GROUP BY discount WINDOW w AS (ORDER BY discount DESC)""", (RATINGS_SQL,))
+FROM ratings GROUP BY discount WINDOW w AS (ORDER BY discount DESC)
+UNION ALL SELECT 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""", (RATINGS_SQL,))
 def roc_points(spark, sf):
     return rounded(evaluation.roc_points(inputs.ratings(spark, sf), score="discount"), "fpr", "tpr")
 

@@ -171,3 +171,13 @@ def test_promotion(spark, runs, champion, want):
     added = promotion.register(registry, gate, "champion", F.lit(9), {"target": "label"})
     now = promotion.current_champion(registry.unionByName(added.drop("tags"))).first()
     assert now.run_id == ("a" if want == "promoted" else ("old" if champion else None))
+
+
+def test_table_findings(spark, sf):
+    """Only tables that are not there are found."""
+    from ladle.operators import quality
+
+    paths = {"documents": f"{sf}/documents.parquet", "recipes": f"{sf}/recipes.parquet"}
+    assert [(r["failure_case"], r["severity"]) for r in quality.table_findings(spark, paths).collect()] == [("recipes", "critical")]
+    assert [r["severity"] for r in quality.table_findings(spark, {"menus": f"{sf}/menus.parquet"}, gating=False).collect()] == ["warning"]
+    assert quality.table_findings(spark, {"documents": paths["documents"]}).count() == 0
