@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are lower-cased (A-Z) and ASCII punctuation separates like white space, so that case and punctuation do not hide a copy.
-1. All N-word windows of the benchmark items are looked for in every text, which gives each window's document frequency.
+1. The words of the benchmark items are counted over all texts.
 2. Seeds are the rare windows of an item. A window counts as common only if its words are common: if, given the corpus
    frequencies of its words, chance alone would put it into more than CHANCE texts a million. The window's own frequency decides
    nothing, so an item that was copied a million times keeps its seeds. The half of an item's windows with the lowest
@@ -11,10 +11,10 @@ Words are lower-cased (A-Z) and ASCII punctuation separates like white space, so
    means a copy, exact, edited or partial, and so does a score worth LEAST_WORDS equal words, however long the item.
 
 Items are taken in blocks of at most BLOCK_ITEMS items and BLOCK_BYTES bytes, so what a task holds of the benchmark is bounded; each
-block is one pass over the texts, and any number of blocks works.
+block is one pass over the texts to count and one to align, and any number of blocks works. The aligning passes are chained, so rows need no number.
 
-Cases: null or wordless texts and items match nothing. Repeated items and texts are each judged alike. Ties of the best item go to
-the smallest item_id. An empty benchmark leaves every text clean. Other columns are ignored, whatever their names.
+Cases: null or wordless texts and items match nothing. Repeated items and texts are each judged alike. Items without id count, each as one
+item; if such an item is the best, best_item is null. Ties of the best item go to the smallest item_id. Keys are whole numbers. An empty benchmark leaves every text clean. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladle.llm.common import Words, grams, materialize, tokens, tune
+from ladle.llm.common import Words, grams, tokens, tune
 
 N = 3
 MATCH, PENALTY = 2, -1
@@ -61,9 +61,9 @@ def _short(w: Words, k: int) -> np.ndarray:
 class Items:
     """A block of benchmark items: words, windows and, for each window, the items that hold it."""
 
-    def __init__(self, ids: list[int], texts: list[str]):
+    def __init__(self, ids: list[int | None], texts: list[str]):
         w = tokens(pa.array(texts, pa.string()), punctuation=True, lower=True)
-        self.ids = np.array(ids, np.int64)
+        self.ids = ids
         self.words = [w.hashes[a:b] for a, b in zip(w.ptr[:-1], w.ptr[1:], strict=True)]
         self.vocabulary = np.unique(w.hashes)
         h, owner = windows(w)
@@ -115,7 +115,7 @@ def align(item: np.ndarray, text: np.ndarray) -> int:
 
 
 def _blocks(benchmark: DataFrame, item_key: str, item_text: str) -> Iterator[Items]:
-    rows = benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL AND i IS NOT NULL").orderBy("i", "t")
+    rows = benchmark.select(F.col(item_key).cast("long").alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL").orderBy("i", "t")
     ids, texts, size = [], [], 0
     for r in rows.toLocalIterator():
         ids.append(r[0])
@@ -165,32 +165,50 @@ def rare_windows(items: Items, frequency: np.ndarray, words_per_text: float) ->
     return np.concatenate(seeds, 1) if seeds else np.zeros((2, 0), np.uint64)
 
 
-def _find(shared, keep: list[str], text: str = "text"):
-    """For each text how many items it copies, and the one it copies the largest share of."""
+def _copied(shared):
+    """For the texts of a batch the items that each copies: (-share of the item, whether it has no id, its id, its number)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> list[list[tuple]]:
         items, (seed_h, seed_i) = shared.value
         order = np.argsort(seed_h, kind="stable")
         seed_h, seed_i = seed_h[order], seed_i[order].astype(np.int64)
+        w = tokens(texts, punctuation=True, lower=True)
+        h, owner = items.hits(w)
+        lo, hi = np.searchsorted(seed_h, h, "left"), np.searchsorted(seed_h, h, "right")
+        many = hi - lo
+        flat = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        pairs = np.unique(np.stack([np.repeat(owner, many), seed_i[flat]], 1), axis=0) if len(flat) else np.zeros((0, 2), np.int64)
+        found: list[list[tuple]] = [[] for _ in range(len(texts))]
+        for d, i in pairs.tolist():
+            item = items.words[i]
+            score = align(item, w.hashes[w.ptr[d] : w.ptr[d + 1]]) / MATCH
+            if score >= min(LEAST * len(item), LEAST_WORDS):
+                key = items.ids[i]
+                found[d].append((-score / len(item), key is None, key or 0, i))
+        return found
+
+    return run
+
+
+def _judge(shared):
+    """Adds the items of a block to n_items, best_item and best_score."""
+    copied = _copied(shared)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w = tokens(batch.column(text), punctuation=True, lower=True)
-            h, owner = items.hits(w)
-            lo, hi = np.searchsorted(seed_h, h, "left"), np.searchsorted(seed_h, h, "right")
-            many = hi - lo
-            flat = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            pairs = np.unique(np.stack([np.repeat(owner, many), seed_i[flat]], 1), axis=0) if len(flat) else np.zeros((0, 2), np.int64)
-            n = batch.num_rows
-            found: list[list] = [[] for _ in range(n)]
-            for d, i in pairs.tolist():
-                item = items.words[i]
-                score = align(item, w.hashes[w.ptr[d] : w.ptr[d + 1]]) / MATCH
-                if score >= min(LEAST * len(item), LEAST_WORDS):
-                    found[d].append((-score / len(item), int(items.ids[i])))
-            best = [min(f) if f else None for f in found]
-            count = [len({i for _, i in f}) for f in found]
+            found = copied(batch.column("text"))
+            n, item, score = (batch.column(c).to_pylist() for c in ("n_items", "best_item", "best_score"))
+            for d, f in enumerate(found):
+                if not f:
+                    continue
+                n[d] += len({(x[2],) if not x[1] else (0, x[3]) for x in f})
+                best = min(f)
+                # Nulls last among equal shares, as in the block itself.
+                if score[d] is None or (best[0], best[1], best[2]) < (-score[d], item[d] is None, item[d] or 0):
+                    item[d], score[d] = None if best[1] else best[2], -best[0]
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(count, pa.int64()), pa.array([b and b[1] for b in best], pa.int64()), pa.array([b and -b[0] for b in best], pa.float64())],
-                [*keep, "n_items", "best_item", "best_score"],
+                [batch.column("doc_id"), batch.column("text"), pa.array(n, pa.int64()), pa.array(item, pa.int64()), pa.array(score, pa.float64())],
+                ["doc_id", "text", "n_items", "best_item", "best_score"],
             )
 
     return run
@@ -220,12 +238,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: s
     base = docs.select(F.col(text).alias("text"))
     out = docs
     for shared in _seeded(base, benchmark, item_key, item_text):
-        find = _find(shared, [], text)
+        copied = _copied(shared)
 
-        def keep(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
+        def keep(batches: Iterator[pa.RecordBatch], copied=copied) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = next(find(iter([batch])))
-                yield batch.filter(pa.array(found.column("n_items").to_numpy() == 0))
+                yield batch.filter(pa.array([not f for f in copied(batch.column(text))], pa.bool_()))
 
         out = out.mapInArrow(keep, docs.schema)
     return out
@@ -235,22 +252,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """Per row: doc_id, contaminated, n_items (items that are copied), best_item, best_score (null where clean)."""
     tune(docs.sparkSession)
     base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    parts = []
+    out = base.select("*", F.lit(0).cast("long").alias("n_items"), F.lit(None).cast("long").alias("best_item"), F.lit(None).cast("double").alias("best_score"))
+    # Block after block in one pass over the texts: a row carries what the blocks before have found.
     for shared in _seeded(base, benchmark, item_key, item_text):
-        found = base.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-            _find(shared, ["row", "doc_id"]), "row long, doc_id long, n_items long, best_item long, best_score double"
-        )
-        parts.append(found)
-    if not parts:
-        return base.select("doc_id", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"), F.lit(None).cast("long").alias("best_item"), F.lit(None).cast("double").alias("best_score"))
-    if len(parts) == 1:
-        out = parts[0]
-    else:
-        # Blocks read the same rows in the same order, so a row has one number in all of them.
-        stored = [materialize(p, "block") for p in parts]
-        every = stored[0]
-        for p in stored[1:]:
-            every = every.union(p)
-        best = F.min(F.when(F.col("best_score").isNotNull(), F.struct((-F.col("best_score")).alias("s"), F.col("best_item").alias("i")))).alias("best")
-        out = every.groupBy("row", "doc_id").agg(F.sum("n_items").alias("n_items"), best).select("row", "doc_id", "n_items", F.col("best.i").alias("best_item"), (-F.col("best.s")).alias("best_score"))
+        out = out.mapInArrow(_judge(shared), out.schema)
     return out.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "best_item", "best_score")

@@ -3,7 +3,7 @@
 Learning is sequential covering. Labelled rows are dealt by a hash into a growing and a pruning part. A rule grows by adding the
 threshold test with the highest information gain on the growing rows that no earlier rule covers; it is cut back to
 the prefix that does best on the pruning rows, and joins the list if it is right there more often than LEAST_RIGHT. Rows that it
-covers are set aside and the next rule grows, until a rule fails. Every step is one grouped count of (feature, bin) over the
+covers are set aside and the next rule grows, until a rule fails or the list has MAX_RULES rules (of at most MAX_TESTS tests; both are arguments). Every step is one grouped count of (feature, bin) over the
 whole labelled table; the driver sees only those counts. The list becomes one ordered conditional expression
 (``CASE WHEN ... THEN false ... ELSE true END``) that Spark evaluates with the statistics. No Python runs on rows.
 
@@ -26,6 +26,7 @@ from ladle.session import materialize
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 BINS = 32
+#: Bounds of what is learned, arguments of ``learn`` and ``judge``: tests in a rule and rules in a list. None: no bound.
 MAX_TESTS = 4
 MAX_RULES = 8
 LEAST_RIGHT = 0.8
@@ -133,7 +134,7 @@ def _covers(rule: list[tuple[str, str, int]]) -> Column:
     return cond
 
 
-def learn(labelled: DataFrame, bad: str = "bad") -> DecisionList:
+def learn(labelled: DataFrame, bad: str = "bad", max_tests: int | None = MAX_TESTS, max_rules: int | None = MAX_RULES) -> DecisionList:
     """Decision list from rows with COUNTS and a boolean ``bad`` (and doc_id, which only deals rows into the two parts)."""
     names = list(FEATURES)
     rows = labelled.where(F.col(bad).isNotNull()).select(
@@ -162,9 +163,9 @@ def learn(labelled: DataFrame, bad: str = "bad") -> DecisionList:
             out[r["f"]][r["b"]] = (r["p"], r["all"] - r["p"])
         return out
 
-    while len(rules) < MAX_RULES:
+    while max_rules is None or len(rules) < max_rules:
         rule: list[tuple[str, str, int]] = []
-        while len(rule) < MAX_TESTS:
+        while max_tests is None or len(rule) < max_tests:
             bins = histogram(F.col("grow") & left & _covers(rule))
             p0 = sum(p for p, _ in bins[names[0]].values())
             n0 = sum(n for _, n in bins[names[0]].values())
@@ -200,9 +201,9 @@ def learn(labelled: DataFrame, bad: str = "bad") -> DecisionList:
     return DecisionList([[(f, side, threshold(f, b)) for f, side, b in rule] for rule in rules])
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_tests: int | None = MAX_TESTS, max_rules: int | None = MAX_RULES) -> DataFrame:
     """Per row: doc_id, COUNTS, base_failed, kept."""
     stats = materialize(statistics(docs, key, text), "statistics")
     known = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("doc_id"), (F.col(label) == 0).alias("bad"))
-    found = learn(stats.join(known, "doc_id").where(~base_failed()))
+    found = learn(stats.join(known, "doc_id").where(~base_failed()), max_tests=max_tests, max_rules=max_rules)
     return stats.select("*", base_failed().alias("base_failed"), (~base_failed() & found.verdict()).alias("kept"))

@@ -88,3 +88,34 @@ def test_copy_edited_in_its_one_rare_window(spark):
     bench = spark.createDataFrame([(1, " ".join(["zorbel", *item]))], "item_id long, text string")
     got = d.contamination(docs, bench).where("doc_id = -1").first()
     assert got["contaminated"] and got["best_score"] == pytest.approx(30 / 31)
+
+
+def test_items_without_id(spark):
+    """A copy of an item without id is found; each such item counts, and a named item goes first among equal shares."""
+    a = "alpha bravo charlie delta echo foxtrot golf hotel india juliet"
+    b = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(1, a), (2, b), (3, "nothing of the kind here"), (4, a + " " + b)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, a), (None, b), (7, b)], "item_id long, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["n_items"], r["best_item"]) for r in d.contamination(docs, items).collect()}
+    assert got == {1: (True, 1, None), 2: (True, 2, 7), 3: (False, 0, None), 4: (True, 3, 7)}
+    assert {r["doc_id"] for r in d.clean(docs, items).collect()} == {3}
+
+
+def test_many_blocks(spark, sf, monkeypatch):
+    """Blocks of three items find what one block finds, also when rows come from a shuffle."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(5)
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").limit(12)
+    cols = ["doc_id", "contaminated", "n_items", "best_item", "best_score"]
+    whole = sorted(map(tuple, d.contamination(docs, items).select(*cols).collect()), key=repr)
+    monkeypatch.setattr(d, "BLOCK_ITEMS", 3)
+    parts = d.contamination(docs, items).select(*cols).collect()
+    # Seeds depend on a block's own words only through their counts, which are the corpus's.
+    assert sorted(map(tuple, parts), key=repr) == whole
+
+
+def test_very_long_text_and_clashing_names(spark):
+    text = "w " * 200000 + "alpha bravo charlie delta echo foxtrot golf"
+    docs = spark.createDataFrame([(1, text, 5, 6, "x")], "doc_id long, text string, row long, n_items long, best_item string")
+    items = spark.createDataFrame([(3, "alpha bravo charlie delta echo foxtrot golf", 1)], "item_id long, text string, row long")
+    assert [(r["n_items"], r["best_item"]) for r in d.contamination(docs, items).collect()] == [(1, 3)]
+    assert d.clean(docs, items).columns == docs.columns and d.clean(docs, items).count() == 0
