@@ -14,13 +14,28 @@ _MAP = "map<string,string>"
 MAX_COLUMNS = 1000
 
 
+#: Quoted texts, words, and what is between them.
+_PIECES = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|\w+|[^\w'"]+|['"])"""
+_LITERALS = {"None": "null", "True": "true", "False": "false"}
+
+
+def literal_as_json(c: Column) -> Column:
+    """A Python literal as JSON: its three words outside quotes, and texts in double quotes. What is quoted stays as it is."""
+
+    def piece(x: Column) -> Column:
+        inner = F.replace(F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("\\'"), F.lit("'")), F.lit('"'), F.lit('\\"'))
+        out = F.when(x.startswith("'") & (F.length(x) > 1), F.concat(F.lit('"'), inner, F.lit('"')))
+        for word, json_word in _LITERALS.items():
+            out = out.when(x == word, json_word)
+        return out.otherwise(x)
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), 1), piece), "")
+
+
 def parse_map(c: Column) -> Column:
     """JSON object, or a Python dict literal, as a string map; anything else is an empty map."""
-    loose = c
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        loose = F.regexp_replace(loose, rf"\b{word}\b", json_word)
     empty = F.create_map().cast(_MAP)
-    return F.coalesce(F.from_json(c, _MAP), F.from_json(loose, _MAP), empty)
+    return F.coalesce(F.from_json(c, _MAP), F.from_json(literal_as_json(c), _MAP), empty)
 
 
 def coerce_number(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from ladle.operators import estimators, popularity, sampling
+from ladle.operators import estimators, popularity, quality, sampling
 from ladle.plans import inputs, pipeline
 from ladle.plans.catalog.ranking import SPLIT_CTE
 from ladle.plans.catalog.registry import query, rounded
@@ -125,3 +125,77 @@ def stored_pipeline(spark, sf):
     out = writers.load_pipeline(path).transform(docs)
     n = F.size(F.unwrap_udt("terms")["indices"]).cast("bigint")
     return rounded(rounded(out.select("doc_id", "score", n.alias("n_terms"), "blend"), "score", digits=6), "blend")
+
+
+@query("landed_tables", """
+SELECT 'part' AS name, count(*) AS row_count, 3 AS column_count, 'kept' AS second_run FROM part
+UNION ALL SELECT 'nation', count(*), 2, 'kept' FROM nation
+UNION ALL SELECT 'menu', 0, 0, 'missing'""")
+def landed_tables(spark, sf):
+    """Two CSV files landed as tables, a second landing that changes nothing but reports the missing file, and a summary of each."""
+    src, dest = scratch_path(spark, "files"), scratch_path(spark, "landed")
+    writers.write_csv(inputs.table(spark, sf, "part").select("p_partkey", "p_name", "p_size"), f"{src}/part.csv")
+    writers.write_csv(inputs.table(spark, sf, "nation").select("n_nationkey", "n_name"), f"{src}/nation.csv")
+    names = ["part.csv", "nation.csv"]
+    first = writers.land_dataset(spark, src, dest, names)
+    again = writers.land_dataset(spark, src, dest, names)
+    more = writers.land_dataset(spark, src, dest, ["menu.csv"])
+    out = spark.createDataFrame([(n.removesuffix(".csv"), 0, 0, "missing") for n in more["missing"]], "name string, row_count long, column_count int, second_run string")
+    for n in first["landed"]:
+        name = n.removesuffix(".csv")
+        landed = writers.table_summary(spark.read.parquet(f"{dest}/{name}"), name)
+        out = out.union(landed.withColumn("second_run", F.lit("kept" if n in again["kept"] else "landed")))
+    return out
+
+
+@query("report_roundtrip", """
+SELECT event_id, 'value' AS "column", 'in_range(0, 40)' AS "check", round(value, 6) AS failure_case FROM events WHERE value NOT BETWEEN 0 AND 40""")
+def report_roundtrip(spark, sf):
+    """A findings report written as JSON and read again."""
+    path = scratch_path(spark, "report")
+    events = inputs.table(spark, sf, "events")
+    found = events.where("value NOT BETWEEN 0 AND 40").select("event_id", F.lit("value").alias("column"), F.lit("in_range(0, 40)").alias("check"), F.col("value").alias("failure_case"))
+    writers.write_report(found, path)
+    return rounded(spark.read.schema(found.schema).json(path), "failure_case", digits=6)
+
+
+@query("prediction_table", "SELECT label, round(score, 6) AS score, grp FROM ratings", (RATINGS_SQL,))
+def prediction_table(spark, sf):
+    """Predictions with their group through the sink."""
+    path = scratch_path(spark, "predictions")
+    writers.write_predictions(inputs.ratings(spark, sf), path, group="grp")
+    return rounded(spark.read.parquet(path), "score", digits=6)
+
+
+@query("gate_verdicts", """
+SELECT 'items' AS name, count(*) > 0 AS refused FROM documents WHERE doc_id IS NULL OR lang = 'de'
+UNION ALL SELECT 'warned', false""")
+def gate_verdicts(spark, sf):
+    """Which table the gate refuses: critical findings refuse, the same findings as warnings do not."""
+    docs = inputs.table(spark, sf, "documents")
+    found = docs.where("doc_id IS NULL OR lang = 'de'").select(
+        F.lit("lang").alias("column"), F.lit("isin").alias("check"), F.col("lang").alias("failure_case"), F.col("doc_id").cast("string").alias("row_id"))
+    verdicts = []
+    for name, gating in (("items", True), ("warned", False)):
+        try:
+            quality.require_passed(quality.gate(found, gating))
+            verdicts.append((name, False))
+        except quality.GateFailed:
+            verdicts.append((name, True))
+    return spark.createDataFrame(verdicts, "name string, refused boolean")
+
+
+@query("uploaded_json", """
+SELECT p_partkey AS pos_key, 'c' || p_partkey AS recipe_id, p_name AS title, lower(p_type) AS tags FROM part""")
+def uploaded_json(spark, sf):
+    """Candidates uploaded as several JSON files, each an object with a list of them: every row once, with places of its own."""
+    path = scratch_path(spark, "uploads")
+    parts = inputs.table(spark, sf, "part").select(
+        F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("recipe_id"), F.col("p_name").alias("title"), F.col("p_name").alias("ingredients_parsed"),
+        F.array(F.lower("p_type")).alias("dietary_tags"), (F.col("p_partkey") % 37).alias("upload"))
+    files = parts.groupBy("upload").agg(F.collect_list(F.struct("recipe_id", "title", "ingredients_parsed", "dietary_tags")).alias("candidates"))
+    files.select(F.to_json(F.struct("candidates")).alias("value"), "upload").write.partitionBy("upload").option("compression", "none").text(path)
+    out = readers.read_candidates(spark, path, json=True)
+    if out.select("pos").distinct().count() != out.count():
+        raise ValueError("two rows share a place")
+    return out.select(F.substring("recipe_id", 2, 20).cast("bigint").alias("pos_key"), "recipe_id", "title", F.array_join("dietary_tags", ",").alias("tags"))

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ladle.operators import drift, inject, promotion, quality, ranks, telemetry
+from ladle.operators import drift, inject, promotion, quality, ranks, scoring, telemetry
 from ladle.plans import inputs, validation
 from ladle.plans.catalog.registry import query, rounded
+from ladle.plans.catalog.screening import MENU_SQL, menu
 from ladle.plans.inputs import BATCH_SQL, CANDIDATES_SQL, DRIFT_SQL, REQUEST_LOG_SQL
+from ladle.session import scratch_path
 from ladle.streaming import sinks, windows
 
 _DRIFT_COLUMNS = ["value", "spread"]
@@ -272,8 +274,6 @@ def telemetry_sliding(spark, sf):
 SELECT event_id, 'negative or huge value' AS errors FROM events WHERE value > 40""")
 def stream_quarantine(spark, sf):
     """Rejected rows of an event stream, as its quarantine sink holds them."""
-    from ladle.session import scratch_path
-
     schema = inputs.table(spark, sf, "events").schema
     events = windows.stream_table(spark, sf, schema, "events.parquet")
     bad = F.filter(F.array(F.when(F.col("value") > 40, F.lit("negative or huge value"))), lambda e: e.isNotNull())
@@ -283,12 +283,26 @@ def stream_quarantine(spark, sf):
     return rejected.select("event_id", F.array_join("errors", "|").alias("errors"))
 
 
+@query("stream_item_quarantine", """
+SELECT pos, errors = '' AS valid, errors FROM (
+  SELECT pos, concat_ws('|',
+   CASE WHEN trim(title) = '' THEN 'no title' END,
+   CASE WHEN trim(ingredients) = '' THEN 'no ingredients' END,
+   CASE WHEN calories = 'many' THEN 'calories are no number: many'
+        WHEN TRY_CAST(calories AS DOUBLE) < 0 THEN 'calories below zero'
+        WHEN TRY_CAST(calories AS DOUBLE) > 25000 THEN 'calories above 25000' END) AS errors FROM menu)""", (CANDIDATES_SQL, MENU_SQL))
+def stream_item_quarantine(spark, sf):
+    """Every row of a stream of raw items, judged by the item rules, from whichever sink holds it."""
+    parts = windows.stream_table(spark, sf, inputs.table(spark, sf, "part").schema, "part.parquet")
+    out = scratch_path(spark, "quarantine")
+    sinks.quarantine_stream(menu(spark, sf, parts), scoring.raw_errors(), out, scratch_path(spark, "quarantine-state"), True).awaitTermination()
+    return spark.read.parquet(out).select("pos", F.col("valid").cast("boolean").alias("valid"), F.array_join("errors", "|").alias("errors"))
+
+
 @query("stream_monitor", """
 SELECT count(*) AS row_count, 0::BIGINT AS issue_count FROM batch""", (BATCH_SQL,))
 def stream_monitor(spark, sf):
     """Quality findings of one micro-batch of parts against a reference half."""
-    from ladle.session import scratch_path
-
     schema = inputs.table(spark, sf, "part").schema
     parts = windows.stream_table(spark, sf, schema, "part.parquet")
     as_batch = parts.select(

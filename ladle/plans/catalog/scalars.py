@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ladle.functions import fixed, flags, nutrition, scores, text
@@ -67,6 +68,10 @@ def unjoin_lines(spark, sf):
     return df.select("doc_id", F.size(parts).alias("n_parts"))
 
 
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
 def _flag_sql(col: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({col}, '{w}')" for w in words) + ")"
 
@@ -78,6 +83,57 @@ def keyword_flags(spark, sf):
     return flags.keyword_flags(df, "lines", NAME_GROUPS).drop("lines")
 
 
+# A line for each part: its name, and some of the default words by turns.
+_WORDS = sorted({w for ws in fixed.PROTEIN_GROUPS.values() for w in ws} | set(fixed.MEAT_WORDS) | set(fixed.ANIMAL_WORDS) | set(fixed.GLUTEN_WORDS))
+_LINE = f"p_name || ' ' || ({_list(_WORDS)})[p_partkey % {len(_WORDS)} + 1] || CASE WHEN p_partkey % 3 = 0 THEN ' and ' || ({_list(_WORDS)})[p_partkey % 7 + 1] ELSE '' END"
+
+
+def _word_lines(spark, sf):
+    words, key = F.array(*[F.lit(w) for w in _WORDS]), F.col("p_partkey")
+    more = F.when(key % 3 == 0, F.concat(F.lit(" and "), F.element_at(words, (key % 7 + 1).cast("int")))).otherwise("")
+    line = F.concat("p_name", F.lit(" "), F.element_at(words, (key % len(_WORDS) + 1).cast("int")), more)
+    return inputs.table(spark, sf, "part").select("p_partkey", line.alias("line"))
+
+
+@query("default_flags", "SELECT p_partkey, " + ", ".join(f"{_flag_sql('line', ws)}::INTEGER AS has_{g}" for g, ws in fixed.PROTEIN_GROUPS.items()) + f""",
+       (NOT {_flag_sql('line', fixed.MEAT_WORDS)})::INTEGER AS is_likely_vegetarian,
+       (NOT {_flag_sql('line', [*fixed.MEAT_WORDS, *fixed.ANIMAL_WORDS])})::INTEGER AS is_likely_vegan,
+       (NOT {_flag_sql('line', fixed.GLUTEN_WORDS)})::INTEGER AS is_likely_gluten_free
+FROM (SELECT p_partkey, {_LINE} AS line FROM part)""")
+def default_flags(spark, sf):
+    """All default keyword groups and diet flags."""
+    df = _word_lines(spark, sf).withColumn("lines", F.array("line"))
+    return flags.absence_flags(flags.keyword_flags(df, "lines"), "lines").drop("line", "lines")
+
+
+@query("default_tags", f"""
+SELECT p_partkey, concat_ws(',', CASE WHEN NOT {_flag_sql('line', fixed.GLUTEN_WORDS)} THEN 'gluten_free' END,
+         CASE WHEN NOT {_flag_sql('line', [*fixed.MEAT_WORDS, *fixed.ANIMAL_WORDS])} THEN 'vegan' END,
+         CASE WHEN NOT {_flag_sql('line', fixed.MEAT_WORDS)} THEN 'vegetarian' END) AS tags,
+       concat_ws(',', {", ".join(f"CASE WHEN {_flag_sql('line', ws)} THEN '{g}' END" for g, ws in fixed.PROTEIN_GROUPS.items())}) AS groups
+FROM (SELECT p_partkey, {_LINE} AS line FROM part)""")
+def default_tags(spark, sf):
+    """Tags and detected groups by the default lists."""
+    df = _word_lines(spark, sf)
+    return df.select("p_partkey", F.array_join(flags.derived_tags(F.col("line")), ",").alias("tags"), F.array_join(flags.detected_groups(F.col("line")), ",").alias("groups"))
+
+
+@query("positive_scores", """
+SELECT p_partkey, round(p, 8) AS from_probability, round(p, 8) AS from_array, round(3 * p, 8) AS from_margin, p >= 0.5 AS predicted
+FROM (SELECT p_partkey, (p_partkey % 1000) / 1000.0::DOUBLE AS p FROM part)""")
+def positive_scores(spark, sf):
+    """The positive-class score, whichever column a model left: a vector, an array or a margin."""
+    p = (F.col("p_partkey") % 1000) / 1000.0
+    df = inputs.table(spark, sf, "part").select("p_partkey", p.alias("p"))
+    out = None
+    for name, col, value in (("from_probability", "probability", array_to_vector(F.array(1 - F.col("p"), F.col("p")))), ("from_array", "probability", F.array(1 - F.col("p"), F.col("p"))),
+                             ("from_margin", "rawPrediction", F.array(-3 * F.col("p"), 3 * F.col("p")))):
+        left = df.withColumn(col, value)
+        part = left.select("p_partkey", scores.positive_score(left).alias(name))
+        out = part if out is None else out.join(part, "p_partkey")
+    return rounded(out.withColumn("predicted", scores.predicted_positive(F.col("from_probability"))), "from_probability", "from_array", "from_margin")
+
+
 _MEAT, _ANIMAL, _GLUTEN = ["anvil", "bolt"], ["gear"], ["plate"]
 
 

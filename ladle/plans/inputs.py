@@ -83,10 +83,10 @@ DURATIONS_SQL = """durations AS (
 NAME_GROUPS = {"tool": ["gear", "bolt", "anvil"], "shape": ["plate", "ring", "rod"], "tint": ["red", "blue"]}
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate sets: parts in twenty requests, with missing calories and times."""
+def candidates(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    """Candidate sets: parts in twenty requests, with missing calories and times; ``part`` may be a stream of them."""
     key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
+    return (table(spark, sf_dir, "part") if part is None else part).select(
         key.alias("pos"),
         (key % 20).alias("request_id"),
         F.concat(F.lit("c"), key.cast("string")).alias("recipe_id"),

@@ -99,6 +99,8 @@ def test_ratio_and_label(spark):
 @pytest.mark.parametrize("raw,want", [
     ('{"Fat": "12g", "b": 3}', {"Fat": "12g", "b": "3"}), ("{'a': None, 'b': True}", {"a": None, "b": "true"}),
     ("[1, 2]", {}), ("junk", {}), (None, {}), ("", {}),
+    ("{'a': 'True', 'b': None}", {"a": "True", "b": None}), ("{'a': 'None or False', \"b\": False}", {"a": "None or False", "b": "false"}),
+    ("{'say \"hi\"': 'it\\'s', 'n': None}", {'say "hi"': "it's", "n": None}),
 ])
 def test_parse_map(spark, raw, want):
     assert one(spark, nutrition.parse_map, raw) == want
