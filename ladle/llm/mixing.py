@@ -6,15 +6,16 @@ the previous word's class, and with the two previous words' classes); the predic
 weight set chosen by the bit's place (the gate) and then corrected by an adaptive probability map. Within its class the word is
 coded by its training count. Both factors are proper distributions, so the score is a log probability and the code length total.
 
-Learning reads every training document. Bit counts are added up over the documents whose remainder is 1 to 8; the weights
-start equal and are trained online over those with remainder 9, block by block, and averaged over tasks, so that no context has
-seen the text it is weighed on. While a document is scored its own weights go on learning after each block of BLOCK tokens. Word
-counts cover all training documents, stay distributed, and meet the documents in a shuffle; only words above 1/HOT_SHARE of all
-tokens (at most HOT_SHARE by counting) are broadcast.
+Learning reads every training document. Bit counts are added up over the documents whose remainder is 1 to 8; the weights are trained over
+those with remainder 9, so that no context has seen the text it is weighed on: from even weights, ROUNDS Newton steps on sums over all
+their bits, and then one pass for the probability map. Sums do not depend on how rows are dealt, so a score is a function of the table. While a document
+is scored its own weights go on learning after each block of BLOCK tokens. Word counts cover all training documents, stay
+distributed, and meet the distinct words of each batch in a shuffle.
 
 No two contexts share a count. The bits after no word and after one have a slot each in a table that holds all there can be
 (1025 x 1023), which is broadcast. What follows two words is kept as the count of every class triple that occurs, in rows dealt by
-the two words, as many as the input has; each batch sends its distinct triples there and gets the counts along their bits back.
+the two words, as many as the input has; each batch sends its distinct triples there and gets the counts
+along their bits back.
 
 Cases: a null or empty text is one end token. A null doc_id counts as held out (crc32 of nothing) and is scored. Repeated rows
 count and are scored each on their own. An empty table gives no rows; without training rows all predictions are even.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,15 @@ from ladle.llm.common import Words, crc32_of_id, materialize, mix, tokens, tune,
 CLASS_BITS = 10
 CLASSES = 1 << CLASS_BITS
 CONTEXTS = 3
-#: At least (CLASSES + 1) x (CLASSES - 1): every pair of a previous class and a place in the next.
-SLOTS = 1 << 20
+#: Every pair of a previous class and a place in the next.
+SLOTS = (CLASSES + 1) * (CLASSES - 1)
 BLOCK = 256
 RATE = 0.02
-HOT_SHARE = 4096
+ROUNDS = 3
 GROUP_BYTES = 8 << 20
 MAP_STEPS = 33
 PRIOR = 0.4
+RIDGE = 1.0
 END = np.uint64(0x8C7F0AAC97C4AA2F)
 ALPHA = 0.1
 TOKENS_AT_ONCE = 1 << 17
@@ -86,18 +89,13 @@ def _triples(cls: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return ((prev1 * (CLASSES + 1) + prev2) << CLASS_BITS) | cls
 
 
-def _slots(cls: np.ndarray, ptr: np.ndarray, contexts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of every bit in the first ``contexts`` contexts (contexts x tokens x bits) and the bits (tokens x bits)."""
-    prev1, prev2 = _before(cls, ptr)
+def _slots(cls: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of every bit after no word and after one (2 x tokens x bits), and the bits (tokens x bits)."""
+    prev1, _ = _before(cls, ptr)
     shift = np.arange(CLASS_BITS, dtype=np.int64)
     node = (cls[:, None].astype(np.int64) | CLASSES) >> (CLASS_BITS - shift)[None, :]
     bits = ((cls[:, None] >> (CLASS_BITS - 1 - shift)[None, :]) & 1).astype(np.float32)
-    out = np.empty((contexts, len(cls), CLASS_BITS), np.int32)
-    out[0] = node
-    out[1] = prev1[:, None] * (CLASSES - 1) + node - 1
-    if contexts == CONTEXTS:
-        out[2] = ((prev1 * (CLASSES + 1) + prev2)[:, None] * (CLASSES - 1) + node - 1) % SLOTS
-    return out, bits
+    return np.stack([node, prev1[:, None] * (CLASSES - 1) + node - 1]).astype(np.int32), bits
 
 
 def _squash(x: np.ndarray) -> np.ndarray:
@@ -112,51 +110,50 @@ def _groups(ptr: np.ndarray) -> Iterator[tuple[int, int]]:
         d = to
 
 
-def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, weights: np.ndarray, carry: bool, third: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list]:
-    """Log2 probability of every token's class. ``weights`` (gates x contexts + 1) start each text; with ``carry`` they run on
-    from text to text instead. ``third`` (tokens x bits) is what the counts after two words say; without it a third
-    table of the model is asked, by slot. Returns also the last weights and (stretch, bit) pieces for the probability map."""
+def _inputs(stretch: np.ndarray, slots: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """What each context says of each bit, and a constant (tokens x bits x contexts + 1)."""
+    out = np.empty((*third.shape, CONTEXTS + 1), np.float32)
+    for c in range(CONTEXTS - 1):
+        out[..., c] = stretch[c][slots[c]]
+    out[..., CONTEXTS - 1] = third
+    out[..., CONTEXTS] = 0.3
+    return out
+
+
+def _mapped(table: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Half the mixer's probability, half what the map holds for its neighbourhood."""
+    gate = np.arange(CLASS_BITS)[None]
+    q = (np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)
+    j = np.minimum(q.astype(np.int32), MAP_STEPS - 2)
+    f = q - j
+    return 0.5 * (_squash(s) + (1 - f) * table[gate, j] + f * table[gate, j + 1])
+
+
+def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, third: np.ndarray) -> np.ndarray:
+    """Log2 probability of every token's class. ``third`` (tokens x bits) is what the counts after two words say. Each text begins
+    with the model's weights, and they go on learning block by block."""
     n_docs = len(ptr) - 1
     out = np.zeros(len(cls))
-    local = np.repeat(weights[None], n_docs, 0).astype(np.float32)
-    run = weights.astype(np.float32).copy()
-    seen = []
+    local = np.repeat(model["weights"][None], n_docs, 0).astype(np.float32)
     counts = np.diff(ptr)
     place = np.arange(len(cls)) - np.repeat(ptr[:-1], counts)
     owner = np.repeat(np.arange(n_docs), counts)
     block = place // BLOCK
     order = np.argsort(block, kind="stable")
     edges = np.searchsorted(block[order], np.arange(int(block.max()) + 2 if len(block) else 1))
-    own_tables = CONTEXTS if third is None else CONTEXTS - 1
-    slots, bits = _slots(cls, ptr, own_tables)
-    gate = np.arange(CLASS_BITS)
+    slots, bits = _slots(cls, ptr)
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         pick = order[lo:hi]
-        x = [model["stretch"][c][slots[c][pick]] for c in range(own_tables)] + ([] if third is None else [third[pick]])
-        x = np.stack([*x, np.full((len(pick), CLASS_BITS), 0.3, np.float32)], 2)
-        w = run[None, gate] if carry else local[owner[pick]]
-        s = np.einsum("tbc,tbc->tb", x, np.broadcast_to(w, x.shape))
-        p = _squash(s)
-        y = bits[pick]
-        if model.get("map") is not None:
-            q = (np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)
-            j = np.minimum(q.astype(np.int32), MAP_STEPS - 2)
-            f = q - j
-            table = model["map"]
-            p = 0.5 * (p + (1 - f) * table[gate[None], j] + f * table[gate[None], j + 1])
-        else:
-            seen.append((s, y))
+        x = _inputs(model["stretch"], slots[:, pick], third[pick])
+        own, y = owner[pick], bits[pick]
+        s = np.einsum("tbc,tbc->tb", x, local[own])
+        p = _mapped(model["map"], s)
         right = np.where(y > 0, p, 1 - p)
         out[pick] = np.log2(np.clip(right, 1e-6, 1)).sum(1)
-        error = (y - p).astype(np.float32)
-        if carry:
-            run += RATE * np.einsum("tb,tbc->bc", error, x) / max(1, len(pick)) ** 0.5
-        else:
-            own = owner[pick]
-            cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            size = np.diff(np.r_[cut, len(own)])[:, None, None]
-            local[own[cut]] += RATE * np.add.reduceat(error[:, :, None] * x, cut, axis=0) / size**0.5
-    return out, run, seen
+        cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        size = np.diff(np.r_[cut, len(own)])[:, None, None]
+        local[own[cut]] += RATE * np.add.reduceat((y - p).astype(np.float32)[:, :, None] * x, cut, axis=0) / size**0.5
+    return out
 
 
 def _pack(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
@@ -297,20 +294,10 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(n), pa.array(v)], ["c", "n", "v"])
 
 
-def _hot(least: float):
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, c in zip(batch.column("keys").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                h, n = np.frombuffer(k, np.int64), np.frombuffer(c, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h[n >= least]), pa.array(n[n >= least])], ["h", "n"])
-
-    return pick
-
-
 START = np.concatenate([np.full((CLASS_BITS, CONTEXTS), 1 / CONTEXTS), np.zeros((CLASS_BITS, 1))], 1).astype(np.float32)
 DEALT = "bucket int, base long, a binary, b binary, c binary"
 _DEALT = (["bucket", "base", "a", "b", "c"], [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
-_ROW = np.dtype([("doc", "i8"), ("known_id", "i1"), ("tokens", "i8"), ("known", "i8"), ("base", "f8"), ("bytes", "i8")])
+_ROW = np.dtype([("doc", "i8"), ("known_id", "i1"), ("tokens", "i8"), ("bytes", "i8")])
 
 
 def _asked(cls: np.ndarray, ptr: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,42 +310,34 @@ def _asked(cls: np.ndarray, ptr: np.ndarray, parts: int) -> tuple[np.ndarray, np
     return t[order], part[order], place[own]
 
 
-def _deal(shared, parts: int):
-    """Per batch: a row of what is known at once, and the words and class triples that must meet their counts, by part. Without
-    the model (training of the weights) no words."""
+def _deal(parts: int, words: bool):
+    """Per batch: a row that tells the batch itself, and its distinct class triples and words, by part, to meet their counts. Without
+    ``words`` (training of the weights) tokens are told by their class, else by the place of their word among the batch's."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared and shared.value
         at = TaskContext.get().partitionId() << 33
         for batch in batches:
             h, ptr = _with_end(tokens(batch.column("text"), lower=True))
-            cls, n_docs = _classes(h), batch.num_rows
-            owner = np.repeat(np.arange(n_docs), np.diff(ptr))
-            row = np.zeros(n_docs, _ROW)
+            row = np.zeros(batch.num_rows, _ROW)
             ids = batch.column("doc_id")
             row["doc"], row["known_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_valid().to_numpy(zero_copy_only=False)
             row["tokens"] = np.diff(ptr)
             row["bytes"] = batch.column("n_bytes").to_numpy(zero_copy_only=False)
             rows = []
-            if m:
-                j = np.searchsorted(m["hot"], h)
-                j[j == len(m["hot"])] = 0
-                hot = m["hot"][j] == h if len(m["hot"]) else np.zeros(len(h), bool)
-                row["known"] = np.bincount(owner[hot], minlength=n_docs)
-                row["base"] = np.bincount(owner[hot], m["hot_log"][j[hot]], n_docs) if len(m["hot"]) else 0.0
-                rest, own = h[~hot], owner[~hot].astype(np.uint64)
-                part = rest % np.uint64(parts)
-                order = np.lexsort((rest, own, part))
-                rest, own, part = rest[order], own[order], part[order]
-                new = np.flatnonzero(np.r_[True, (rest[1:] != rest[:-1]) | (own[1:] != own[:-1])]) if len(rest) else np.zeros(0, np.int64)
-                times = np.diff(np.r_[new, len(rest)]).astype(np.uint32)
-                rest, own, part = rest[new], own[new].astype(np.uint32), part[new].astype(np.int64)
-                rows += [(int(part[x]), at, own[x:y].tobytes(), rest[x:y].tobytes(), times[x:y].tobytes()) for x, y in _cuts(part)]
-            t, part, _ = _asked(cls, ptr, parts)
+            if words:
+                held, own = np.unique(h, return_inverse=True)
+                part = _word_parts(held, parts)
+                order = np.argsort(part, kind="stable")
+                place = np.empty(len(held), np.int64)
+                place[order] = np.arange(len(held))
+                rows += [(int(part[order[x]]), at, None, held[order[x:y]].tobytes(), None) for x, y in _cuts(part[order])]
+                rows.append((int(at % parts), at, row.tobytes(), _squeeze(_classes(held[order])), _squeeze(place[own])))
+            else:
+                rows.append((int(at % parts), at, row.tobytes(), None, _squeeze(_classes(h))))
+            t, part, _ = _asked(_classes(h), ptr, parts)
             rows += [(parts + int(part[x]), at, None, _rising(t[x:y]), None) for x, y in _cuts(part)]
-            rows.append((int(at % parts), at, row.tobytes(), None, _squeeze(cls)))
             yield _pack(rows, *_DEALT)
-            at += n_docs
+            at += batch.num_rows
 
     return deal
 
@@ -368,7 +347,8 @@ _MET = (["base", "part", "a", "b", "c"], [pa.int64(), pa.int32(), pa.binary(), p
 
 
 def _meet(parts: int):
-    """Words and triples meet their counts: per batch the documents with their sums, and the counts along each triple's bits."""
+    """Words and triples meet their counts: per batch and part the counts of its words (part from 0), and the counts along each
+    triple's bits (part from ``parts``), in the order they were asked. The batch's own row goes through (part -1)."""
 
     def run(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
@@ -377,89 +357,137 @@ def _meet(parts: int):
         h, n = _read(kind, table.column("b").to_pylist(), table.column("c").to_pylist())
         out = []
         for r in group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist():
-            if kind == TRIPLE:
-                out.append((r["base"], bucket - parts, None, None, _squeeze(_paths(h, n, _risen(r["b"])).ravel())))
-                continue
-            if r["b"] is None:
-                out.append((r["base"], -1, r["a"], None, r["c"]))
-                continue
-            own, words, times = (np.frombuffer(r[k], t) for k, t in (("a", np.uint32), ("b", np.uint64), ("c", np.uint32)))
-            c = np.zeros(len(words), np.int64)
-            if len(h):
-                j = np.searchsorted(h, words)
-                j[j == len(h)] = 0
-                c = np.where(h[j] == words, n[j], 0)
-            docs, at = np.unique(own, return_inverse=True)
-            sums = np.zeros(len(docs), [("doc", "u4"), ("known", "i8"), ("base", "f8")])
-            sums["doc"] = docs
-            sums["known"] = np.bincount(at, times * (c > 0), len(docs))
-            sums["base"] = np.bincount(at, times * np.log10(c + ALPHA), len(docs))
-            out.append((r["base"], -1, None, sums.tobytes(), None))
+            if r["a"] is not None:
+                out.append((r["base"], -1, r["a"], r["b"], r["c"]))
+            elif kind == TRIPLE:
+                out.append((r["base"], bucket, None, None, _squeeze(_paths(h, n, _risen(r["b"])).ravel())))
+            else:
+                words = np.frombuffer(r["b"], np.uint64)
+                c = np.zeros(len(words), np.int64)
+                if len(h):
+                    j = np.searchsorted(h, words)
+                    j[j == len(h)] = 0
+                    c = np.where(h[j] == words, n[j], 0)
+                out.append((r["base"], bucket, None, None, _squeeze(c)))
         return pa.Table.from_batches([_pack(out, *_MET)])
 
     return run
 
 
-def _back(rows: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, Iterator]:
-    """A batch again: its rows, classes and bounds, and by group of texts (from, to, what the counts after two words say)."""
-    first = next(r for r in rows if r["a"] is not None)
-    row, cls = np.frombuffer(first["a"], _ROW).copy(), _loosen(first["c"]).astype(np.int32)
+def _back(rows: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple | None, Iterator]:
+    """A batch again: its rows, classes and bounds, (word of each token, count of each word), and by group of texts (from, to, what the
+    counts after two words say)."""
+    first = next(r for r in rows if r["part"] < 0)
+    answers = sorted((r for r in rows if r["part"] >= 0), key=lambda r: r["part"])
+    row, seq = np.frombuffer(first["a"], _ROW).copy(), _loosen(first["c"])
     ptr = np.r_[0, np.cumsum(row["tokens"])]
+    words = None
+    if first["b"] is not None:
+        counts = np.concatenate([np.zeros(0, np.int64), *[_loosen(r["c"]) for r in answers if r["part"] < parts]])
+        words, seq = (seq, counts), _loosen(first["b"])[seq]
+    cls = seq.astype(np.int32)
     t, _, own = _asked(cls, ptr, parts)
     told = np.zeros((len(t), CLASS_BITS), np.float32)
     lo = 0
-    for r in sorted((r for r in rows if r["a"] is None and r["c"] is not None), key=lambda r: r["part"]):
+    for r in answers:
+        if r["part"] < parts:
+            continue
         n = _loosen(r["c"]).reshape(CLASS_BITS + 1, -1)
         hi = lo + n.shape[1]
         one = (t[lo:hi] >> np.arange(CLASS_BITS)[::-1, None]) & 1
         told[lo:hi] = (np.log((n[1:] + PRIOR) / (n[:-1] - n[1:] + PRIOR)) * (2 * one - 1)).T
         lo = hi
-    return row, cls, ptr, ((a, b, told[own[ptr[a] : ptr[b]]]) for a, b in _groups(ptr))
+    return row, cls, ptr, words, ((a, b, told[own[ptr[a] : ptr[b]]]) for a, b in _groups(ptr))
 
 
-def _train_weights(shared, parts: int):
-    """(place, value, weight): weights of the mixer and the probability map, each batch's own."""
+LESSON = "part array<int>, a array<binary>, b array<binary>, c array<binary>"
 
-    def run(group: pa.Table) -> pa.Table:
-        w = START.copy()
-        hits, tries = np.zeros((CLASS_BITS, MAP_STEPS)), np.zeros((CLASS_BITS, MAP_STEPS))
-        gate = np.arange(CLASS_BITS)[None]
-        _, cls, ptr, groups = _back(group.to_pylist(), parts)
-        for a, b, third in groups:
-            _, w, seen = _mixed(shared.value, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], w, carry=True, third=third)
-            for s, y in seen:
-                j = np.rint((np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)).astype(np.int64)
-                at = (gate * MAP_STEPS + j).ravel()
-                hits += np.bincount(at, y.ravel(), hits.size).reshape(hits.shape)
-                tries += np.bincount(at, minlength=hits.size).reshape(hits.shape)
-        place = np.arange(w.size + hits.size, dtype=np.int32)
-        value = np.r_[w.ravel().astype(float) * len(cls), hits.ravel()]
-        weight = np.r_[np.full(w.size, float(len(cls))), tries.ravel()]
-        return pa.table({"place": place, "value": value, "weight": weight})
 
-    return run
+def _lesson(group: pa.Table) -> pa.Table:
+    """A batch and its answers as one row, to be read in every round."""
+    cols = {k: pa.array([group.column(k).to_pylist()], pa.list_(_MET[1][1] if k == "part" else pa.binary())) for k in ("part", "a", "b", "c")}
+    return pa.table(cols)
+
+
+def _bits_of(batches: Iterator[pa.RecordBatch], stretch: np.ndarray, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Inputs and bits of the lessons, group by group."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            rows = [dict(zip(("part", "a", "b", "c"), x, strict=True)) for x in zip(r["part"], r["a"], r["b"], r["c"], strict=True)]
+            _, cls, ptr, _, groups = _back(rows, parts)
+            for a, b, third in groups:
+                slots, bits = _slots(cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a])
+                yield _inputs(stretch, slots, third), bits
+
+
+def _sums(lessons: DataFrame, shared, parts: int, size: int, part) -> np.ndarray:
+    """Sum of vectors of ``size`` over all bits of the lessons."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc = np.zeros(size)
+        for x, y in _bits_of(batches, shared.value, parts):
+            acc += part(x, y)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(acc)], ["place", "value"])
+
+    out = np.zeros(size)
+    for r in lessons.mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect():  # ``size`` rows
+        out[r["place"]] = r["value"]
+    return out
+
+
+def train_weights(lessons: DataFrame, shared, parts: int) -> np.ndarray:
+    """Weights of each gate after ROUNDS Newton steps from even ones, in double precision. A gate without a bit keeps them."""
+    w = START.astype(float)
+    k = CONTEXTS + 1
+    for _ in range(ROUNDS):
+
+        def part(x: np.ndarray, y: np.ndarray, w=w) -> np.ndarray:
+            x = x.astype(float).transpose(1, 0, 2)  # gates x tokens x contexts
+            p = _squash(np.einsum("btc,bc->bt", x, w))
+            g = np.einsum("bt,btc->bc", p - y.T, x)
+            h = (x * (p * (1 - p))[..., None]).transpose(0, 2, 1) @ x
+            return np.r_[g.ravel(), h.ravel()]
+
+        got = _sums(lessons, shared, parts, CLASS_BITS * (k + k * k), part)
+        g, h = got[: CLASS_BITS * k].reshape(CLASS_BITS, k), got[CLASS_BITS * k :].reshape(CLASS_BITS, k, k)
+        w = w - np.stack([np.linalg.solve(h[b] + RIDGE * np.eye(k), g[b] + RIDGE * (w[b] - START[b])) for b in range(CLASS_BITS)])
+    return w
+
+
+def train_map(lessons: DataFrame, shared, parts: int, w: np.ndarray) -> np.ndarray:
+    """How often a bit is one where the mixer says so much, near what the mixer says where there is little to go by."""
+    gate = np.arange(CLASS_BITS)[None]
+    size = CLASS_BITS * MAP_STEPS
+
+    def part(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        s = np.einsum("tbc,bc->tb", x.astype(float), w)
+        j = np.rint((np.clip(s, -8, 8) + 8) * ((MAP_STEPS - 1) / 16)).astype(np.int64)
+        at = (gate * MAP_STEPS + j).ravel()
+        return np.r_[np.bincount(at, y.ravel(), size), np.bincount(at, minlength=size)]
+
+    got = _sums(lessons, shared, parts, 2 * size, part)
+    even = np.tile(_squash(np.linspace(-8, 8, MAP_STEPS)), CLASS_BITS)
+    return ((got[:size] + 8 * even) / (got[size:] + 8)).reshape(CLASS_BITS, MAP_STEPS)
 
 
 def _finish(shared, parts: int, n_train: int, norm: float):
     def run(group: pa.Table) -> pa.Table:
-        m, rows = shared.value, group.to_pylist()
-        row, cls, ptr, groups = _back(rows, parts)
-        for r in rows:
-            if r["b"] is not None:
-                s = np.frombuffer(r["b"], [("doc", "u4"), ("known", "i8"), ("base", "f8")])
-                row["known"][s["doc"]] += s["known"]
-                row["base"][s["doc"]] += s["base"]
+        m = shared.value
+        row, cls, ptr, (word, count), groups = _back(group.to_pylist(), parts)
+        n_docs = len(row)
+        owner = np.repeat(np.arange(n_docs), row["tokens"])
+        base = np.bincount(owner, np.log10(count + ALPHA)[word], n_docs)
         logs = np.empty(len(cls))
         for a, b, third in groups:
-            logs[ptr[a] : ptr[b]], _, _ = _mixed(m, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], m["weights"], carry=False, third=third)
+            logs[ptr[a] : ptr[b]] = _mixed(m, cls[ptr[a] : ptr[b]], ptr[a : b + 1] - ptr[a], third)
         logs = logs * np.log10(2) - m["class_log"][cls]
-        score = np.bincount(np.repeat(np.arange(len(row)), row["tokens"]), logs, len(row)) + row["base"]
+        score = np.bincount(owner, logs, n_docs) + base
         with np.errstate(divide="ignore", invalid="ignore"):
             bpb = -score * np.log2(10) / row["bytes"]
         return pa.table({
-            "doc_id": pa.array(row["doc"].copy(), mask=row["known_id"] == 0), "n_tokens": row["tokens"].copy(), "n_known": row["known"].copy(),
-            "train_tokens": np.full(len(row), n_train, np.int64), "base_score": row["base"] - row["tokens"] * norm, "score": score,
-            "bits_per_byte": pa.array(bpb, mask=row["bytes"] == 0),
+            "doc_id": pa.array(row["doc"].copy(), mask=row["known_id"] == 0), "n_tokens": row["tokens"].copy(),
+            "n_known": np.bincount(owner, count[word] > 0, n_docs).astype(np.int64), "train_tokens": np.full(n_docs, n_train, np.int64),
+            "base_score": base - row["tokens"] * norm, "score": score, "bits_per_byte": pa.array(bpb, mask=row["bytes"] == 0),
         })
 
     return run
@@ -468,12 +496,27 @@ def _finish(shared, parts: int, n_train: int, norm: float):
 SCORED = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+@dataclass
+class Learned:
+    """What the corpus gave: the model (of fixed size), the stored counts of words and triples by part, and totals."""
+
+    model: dict
+    table: DataFrame
+    parts: int
+    n_train: int
+    distinct: int
+
+
+def _base(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
+                       F.coalesce((crc32_of_id(key) % 10).cast("int"), F.lit(0)).alias("fold"))
+
+
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Learned:
+    """Counts, weights and map from the documents whose remainder is not 0."""
     spark = docs.sparkSession
     tune(spark)
-    base = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
-                       F.coalesce((crc32_of_id(key) % 10).cast("int"), F.lit(0)).alias("fold"))
+    base = _base(docs, key, text)
     train = base.where("fold <> 0").select("text", "fold")
     parts = width(docs, GROUP_BYTES)
 
@@ -484,10 +527,6 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     for r in words.mapInArrow(_totals, "c int, n long, v long").groupBy("c").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         n[r["c"]], v[r["c"]] = r["n"], r["v"]
     n_train, distinct = int(n.sum()), int(v.sum())
-    hot = words.mapInArrow(_hot(n_train / HOT_SHARE), "h long, n long").collect()  # at most HOT_SHARE rows
-    hot_h = np.array([r["h"] for r in hot], np.int64).view(np.uint64)
-    order = np.argsort(hot_h)
-    hot_n = np.array([r["n"] for r in hot], np.int64)[order]
 
     pairs = np.zeros(PAIRS, np.int64)
     for r in counts.where(F.col("kind") == PAIR).collect():  # at most PAIRS counts
@@ -500,29 +539,30 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         at = np.arange(1 << k, 2 << k)
         for c, ctx, x in ((0, 0, both.sum(0)), (1, np.arange(CLASSES + 1)[:, None] * (CLASSES - 1) - 1, both)):
             stretch[c, ctx + at] = np.log((x[..., 1] + PRIOR) / (x[..., 0] + PRIOR))
-    model = {
-        "stretch": stretch, "map": None, "weights": START, "hot": hot_h[order], "hot_log": np.log10(hot_n + ALPHA),
-        "class_log": np.log10(np.maximum(n + ALPHA * (v + 1), 1e-300)),
-    }
     table = counts.where(F.col("kind") != PAIR).select(
         (F.col("part") + F.when(F.col("kind") == TRIPLE, parts).otherwise(0)).cast("int").alias("bucket"), F.lit(-1).cast("long").alias("base"),
         F.lit(None).cast("binary").alias("a"), F.col("keys").alias("b"), F.col("counts").alias("c"),
     )
-    dealt = base.where("fold = 9").select("doc_id", "text", "n_bytes").mapInArrow(_deal(None, parts), DEALT)
+    dealt = base.where("fold = 9").select("doc_id", "text", "n_bytes").mapInArrow(_deal(parts, False), DEALT)
     met = dealt.union(table.where(F.col("bucket") >= parts)).groupBy("bucket").applyInArrow(_meet(parts), MET)
-    tuned = met.groupBy("base").applyInArrow(_train_weights(spark.sparkContext.broadcast(model), parts), "place int, value double, weight double")
-    got = tuned.groupBy("place").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).collect()
-    value, weight = np.zeros(START.size + CLASS_BITS * MAP_STEPS), np.zeros(START.size + CLASS_BITS * MAP_STEPS)
-    for r in got:
-        value[r["place"]], weight[r["place"]] = r["value"], r["weight"]
-    k = START.size
-    model["weights"] = np.where(weight[:k] > 0, value[:k] / np.maximum(weight[:k], 1), START.ravel()).reshape(START.shape).astype(np.float32)
-    even = np.tile(_squash(np.linspace(-8, 8, MAP_STEPS)), CLASS_BITS)
-    model["map"] = ((value[k:] + 8 * even) / (weight[k:] + 8)).reshape(CLASS_BITS, MAP_STEPS).astype(np.float32)
-
-    shared = spark.sparkContext.broadcast(model)
-    met = base.select("doc_id", "text", "n_bytes").mapInArrow(_deal(shared, parts), DEALT).union(table).groupBy("bucket").applyInArrow(_meet(parts), MET)
-    norm = math.log10(n_train + ALPHA * (distinct + 1))
-    out = met.groupBy("base").applyInArrow(_finish(shared, parts, n_train, norm), SCORED)
-    held = F.coalesce(crc32_of_id() % 10 == 0, F.lit(True)).alias("held_out")
-    return out.select("doc_id", held, *out.columns[1:])
+    lessons = materialize(met.groupBy("base").applyInArrow(_lesson, LESSON), "lessons")
+    held = spark.sparkContext.broadcast(stretch)
+    weights = train_weights(lessons, held, parts)
+    model = {
+        "stretch": stretch, "weights": weights.astype(np.float32), "map": train_map(lessons, held, parts, weights).astype(np.float32),
+        "class_log": np.log10(np.maximum(n + ALPHA * (v + 1), 1e-300)),
+    }
+    return Learned(model, table, parts, n_train, distinct)
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
+    known = learn(docs, key, text)
+    parts = known.parts
+    shared = docs.sparkSession.sparkContext.broadcast(known.model)
+    dealt = _base(docs, key, text).select("doc_id", "text", "n_bytes").mapInArrow(_deal(parts, True), DEALT)
+    met = dealt.union(known.table).groupBy("bucket").applyInArrow(_meet(parts), MET)
+    norm = math.log10(known.n_train + ALPHA * (known.distinct + 1))
+    out = met.groupBy("base").applyInArrow(_finish(shared, parts, known.n_train, norm), SCORED)
+    held_out = F.coalesce(crc32_of_id() % 10 == 0, F.lit(True)).alias("held_out")
+    return out.select("doc_id", held_out, *out.columns[1:])
