@@ -76,5 +76,7 @@ def register(
 
 
 def current_champion(registry: DataFrame, alias: str = "champion") -> DataFrame:
-    newest = F.max_by(F.struct("version", "run_id", "metric_value"), F.struct("promoted_at", "version"))
+    """The newest version that carries the alias, with its tags where the registry has them."""
+    shown = [c for c in ("version", "run_id", "metric_value", "tags") if c in registry.columns]
+    newest = F.max_by(F.struct(*shown), F.struct("promoted_at", "version"))
     return registry.where(F.col("alias") == alias).agg(newest.alias("c")).select("c.*")

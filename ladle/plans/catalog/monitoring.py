@@ -10,7 +10,7 @@ from ladle.plans.catalog.registry import query, rounded
 from ladle.plans.catalog.screening import MENU_SQL, menu
 from ladle.plans.inputs import BATCH_SQL, CANDIDATES_SQL, DRIFT_SQL, REQUEST_LOG_SQL
 from ladle.session import scratch_path
-from ladle.streaming import sinks, windows
+from ladle.streaming import sinks, sketches, windows
 
 _DRIFT_COLUMNS = ["value", "spread"]
 
@@ -315,6 +315,29 @@ def stream_monitor(spark, sf):
     return spark.read.parquet(out).select("row_count", "issue_count")
 
 
+@query("window_drift", """
+WITH b AS (SELECT event_id % 4 AS b, unnest(['value', 'spread']) AS "column", unnest([value, (event_id % 97)::DOUBLE]) AS v FROM events)
+SELECT e AS batch_id, "column", count(v) AS n_current, (SELECT count(v) FROM b r WHERE r.b = 0 AND r."column" = b."column") AS n_reference, true AS holds
+FROM b, (SELECT unnest(range(4)) AS e) WHERE b.b BETWEEN e - 1 AND e GROUP BY "column", e""")
+def window_drift(spark, sf):
+    """Four micro-batches stored as sketches; for each run of two whether the exact distance to the first batch lies within the bound."""
+    events = inputs.table(spark, sf, "events").select((F.col("event_id") % 4).alias("b"), "value", (F.col("event_id") % 97).cast("double").alias("spread"))
+    src, out = scratch_path(spark, "batches"), scratch_path(spark, "sketches")
+    for i in range(4):  # a file a batch, in order
+        events.where(F.col("b") == i).coalesce(1).write.mode("append").parquet(src)
+    stream = windows.stream_table(spark, src, events.schema, files_per_batch=1)
+    sketches.sketch_stream(stream, _DRIFT_COLUMNS, out, scratch_path(spark, "sketches-state"), True).awaitTermination()
+    first = events.where("b = 0")
+    reference = sketches.sketches(first, _DRIFT_COLUMNS)
+    told = sketches.sketch_drift(sketches.last_batches(sketches.stored(spark, out), 2), reference, ["batch_id"])
+    exact = None
+    for end in range(4):
+        part = drift.ks_drift(events.where(F.col("b").between(end - 1, end)), first, _DRIFT_COLUMNS).select(F.lit(end).cast("bigint").alias("batch_id"), "column", "statistic")
+        exact = part if exact is None else exact.union(part)
+    near = F.abs(F.col("distance") - F.col("statistic")) <= F.col("bound")
+    return told.join(exact, ["batch_id", "column"]).select("batch_id", "column", "n_current", "n_reference", near.alias("holds"))
+
+
 RUNS_SQL = """runs AS (
   SELECT o_orderkey::VARCHAR AS run_id, o_orderpriority AS run_name, CASE WHEN o_orderstatus = 'F' THEN 'FINISHED' ELSE 'FAILED' END AS status,
          o_orderdate AS start_time, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice / 1000000.0::DOUBLE END AS auc FROM orders)"""
@@ -350,12 +373,13 @@ WITH best AS (SELECT * FROM runs WHERE run_name = '1-URGENT' AND status = 'FINIS
 rows AS (SELECT c_custkey AS version, c_name AS run_id, c_acctbal / 100000.0::DOUBLE AS metric_value, c_nationkey AS promoted_at
          FROM customer WHERE c_mktsegment = 'MACHINERY'),
 champ AS (SELECT * FROM rows ORDER BY promoted_at DESC, version DESC LIMIT 1)
-SELECT version, run_id, metric_value FROM (
-  SELECT *, 0 AS o FROM champ
-  UNION ALL SELECT (SELECT max(c_custkey) + 1 FROM customer), b.run_id, b.auc, 99, 1 FROM best b, champ c WHERE b.auc > c.metric_value)
+SELECT version, run_id, metric_value, target, approved FROM (
+  SELECT *, NULL AS target, NULL AS approved, 0 AS o FROM champ
+  UNION ALL SELECT (SELECT max(c_custkey) + 1 FROM customer), b.run_id, b.auc, 99, 'rating>=4', 'yes', 1 FROM best b, champ c WHERE b.auc > c.metric_value)
 ORDER BY o DESC LIMIT 1""", (RUNS_SQL,))
 def champion_registry(spark, sf):
     registry = _registry(spark, sf)
     gate = promotion.promotion_decision(_runs(spark, sf), registry, "1-URGENT", "validation_roc_auc", "machinery")
-    added = promotion.register(registry, gate, "machinery", F.lit(99))
-    return promotion.current_champion(registry.unionByName(added.drop("tags")), "machinery")
+    added = promotion.register(registry, gate, "machinery", F.lit(99), {"target": "rating>=4", "approved": "yes"})
+    now = promotion.current_champion(registry.withColumn("tags", F.lit(None).cast("map<string,string>")).unionByName(added), "machinery")
+    return now.select("version", "run_id", "metric_value", *[F.try_element_at("tags", F.lit(t)).alias(t) for t in ("target", "approved")])
