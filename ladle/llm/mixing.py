@@ -146,7 +146,7 @@ def _mixed(model: dict, cls: np.ndarray, ptr: np.ndarray, third: np.ndarray) ->
         pick = order[lo:hi]
         x = _inputs(model["stretch"], slots[:, pick], third[pick])
         own, y = owner[pick], bits[pick]
-        s = np.einsum("tbc,tbc->tb", x, local[own])
+        s = np.einsum("tbc,bc->tb", x, model["weights"]) if lo == 0 else np.einsum("tbc,tbc->tb", x, local[own])
         p = _mapped(model["map"], s)
         right = np.where(y > 0, p, 1 - p)
         out[pick] = np.log2(np.clip(right, 1e-6, 1)).sum(1)
@@ -200,8 +200,10 @@ def _word_parts(h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _triple_parts(t: np.ndarray, parts: int) -> np.ndarray:
-    """All triples after the same two words are in one part: at most CLASSES."""
-    return _word_parts(mix((t >> CLASS_BITS).astype(np.uint64)), parts)
+    """All triples after the same two words are in one part. While parts are few, neighbouring pairs of words go together, which keeps the
+    steps between a part's triples small."""
+    together = min(7, max(0, int(math.log2((CLASSES + 1) ** 2 / (16 * parts)))))
+    return _word_parts(mix((t >> (CLASS_BITS + together)).astype(np.uint64)), parts)
 
 
 def _cuts(part: np.ndarray) -> list[tuple[int, int]]:
@@ -283,6 +285,23 @@ def _paths(table: np.ndarray, counts: np.ndarray, t: np.ndarray) -> np.ndarray:
     return out
 
 
+def _starts(t: np.ndarray, level: int) -> np.ndarray:
+    """Where, among sorted triples, the first ``level`` bits of the class (with the two words) change."""
+    top = t >> (CLASS_BITS - level)
+    return np.r_[True, top[1:] != top[:-1]]
+
+
+def _pack_paths(n: np.ndarray, t: np.ndarray) -> bytes:
+    """Counts along the bits of sorted triples (CLASS_BITS + 1 rows); what neighbours share is sent once."""
+    packed = [_squeeze(n[k][_starts(t, k)]) for k in range(CLASS_BITS + 1)]
+    return np.array([len(x) for x in packed], np.int64).tobytes() + b"".join(packed)
+
+
+def _unpack_paths(raw: bytes, t: np.ndarray) -> np.ndarray:
+    cut = np.cumsum([8 * (CLASS_BITS + 1), *np.frombuffer(raw, np.int64, CLASS_BITS + 1).tolist()]).tolist()
+    return np.stack([_loosen(raw[cut[k] : cut[k + 1]])[np.cumsum(_starts(t, k)) - 1] for k in range(CLASS_BITS + 1)])
+
+
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(class, tokens, words) of the stored counts."""
     for batch in batches:
@@ -356,11 +375,19 @@ def _meet(parts: int):
         table = group.filter(pc.less(group.column("base"), 0))
         h, n = _read(kind, table.column("b").to_pylist(), table.column("c").to_pylist())
         out = []
-        for r in group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist():
+        asks = group.filter(pc.greater_equal(group.column("base"), 0)).to_pylist()
+        if kind == TRIPLE:
+            # Batches ask for much the same triples: each is followed once.
+            asked = [_risen(r["b"]) for r in asks]
+            every, own = np.unique(np.concatenate([np.zeros(0, np.int64), *asked]), return_inverse=True)
+            paths, at = _paths(h, n, every), 0
+            for r, t in zip(asks, asked, strict=True):
+                out.append((r["base"], bucket, None, None, _pack_paths(paths[:, own[at : at + len(t)]], t)))
+                at += len(t)
+            return pa.Table.from_batches([_pack(out, *_MET)])
+        for r in asks:
             if r["a"] is not None:
                 out.append((r["base"], -1, r["a"], r["b"], r["c"]))
-            elif kind == TRIPLE:
-                out.append((r["base"], bucket, None, None, _squeeze(_paths(h, n, _risen(r["b"])).ravel())))
             else:
                 words = np.frombuffer(r["b"], np.uint64)
                 c = np.zeros(len(words), np.int64)
@@ -386,17 +413,15 @@ def _back(rows: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         counts = np.concatenate([np.zeros(0, np.int64), *[_loosen(r["c"]) for r in answers if r["part"] < parts]])
         words, seq = (seq, counts), _loosen(first["b"])[seq]
     cls = seq.astype(np.int32)
-    t, _, own = _asked(cls, ptr, parts)
+    t, part, own = _asked(cls, ptr, parts)
     told = np.zeros((len(t), CLASS_BITS), np.float32)
-    lo = 0
-    for r in answers:
-        if r["part"] < parts:
-            continue
-        n = _loosen(r["c"]).reshape(CLASS_BITS + 1, -1)
-        hi = lo + n.shape[1]
-        one = (t[lo:hi] >> np.arange(CLASS_BITS)[::-1, None]) & 1
-        told[lo:hi] = (np.log((n[1:] + PRIOR) / (n[:-1] - n[1:] + PRIOR)) * (2 * one - 1)).T
-        lo = hi
+    found = {r["part"]: r["c"] for r in answers if r["part"] >= parts}
+    sign = 2 * ((t >> np.arange(CLASS_BITS)[::-1, None]) & 1).astype(np.float32) - 1
+    prior = np.float32(PRIOR)
+    for lo, hi in _cuts(part):
+        n = _unpack_paths(found[parts + int(part[lo])], t[lo:hi])
+        ahead, aside = n[1:].astype(np.float32) + prior, (n[:-1] - n[1:]).astype(np.float32) + prior
+        told[lo:hi] = (np.log(ahead / aside) * sign[:, lo:hi]).T
     return row, cls, ptr, words, ((a, b, told[own[ptr[a] : ptr[b]]]) for a, b in _groups(ptr))
 
 

@@ -73,3 +73,9 @@ def place(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", size: int
 def write_placed(docs: DataFrame, path: str, shards: Sequence[str], key: str = "doc_id", rows_per_file: int = 1 << 20, **options) -> None:
     """Write ``docs`` below ``path``, a folder a shard. A shard's rows may come from many tasks, so no task holds a whole shard."""
     place(docs, shards, key, **options).write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)
+
+
+def read_placed(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """What ``write_placed`` wrote, as ``columns`` (names and types of the documents' columns); a filter on ``shard`` reads that shard's
+    folder alone. Where nothing was written there are no rows."""
+    return spark.read.schema(f"{columns}, slot int, shard string").option("basePath", path).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ladle.llm import collocations, decontaminate, mixing, packing, pieces, placement, ppm, prefix_trie, revisits, rules, substrings, tensor_minhash, token_store
 from ladle.llm.common import table
+from ladle.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -104,12 +105,15 @@ SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return placement.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+    """Whole documents written to their shards and read back."""
+    path = scratch_path(spark, "placed")
+    placement.write_placed(table(spark, sf_dir, "documents").select("doc_id", "text"), path, SHARDS, spread=["text"])
+    return placement.read_placed(spark, path, "doc_id long, text string").select("doc_id", "slot", "shard", F.md5("text").alias("text_md5"))
 
 
 ORACLES["op8_sharding"] = f"""
-SELECT doc_id, slot::INTEGER AS slot, shard
-FROM (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {placement.SIZE}) AS slot FROM documents)
+SELECT doc_id, slot::INTEGER AS slot, shard, text_md5
+FROM (SELECT doc_id, md5(text) AS text_md5, (('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {placement.SIZE}) AS slot FROM documents)
 JOIN (SELECT unnest(range({placement.SIZE})) AS slot, printf('shard-%03d', unnest([{", ".join(map(str, placement.fill(SHARDS)))}]::INTEGER[])) AS shard) USING (slot)
 """
 

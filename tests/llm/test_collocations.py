@@ -72,27 +72,42 @@ def test_long_text_and_empty_table(spark):
     assert co.collocations(docs.where("false")).count() == 0
 
 
-def test_full_filter_changes_nothing(spark, monkeypatch):
-    """Where the bitmap tells nothing apart, every word counts as frequent."""
-    rows = [("en", f"a b c{i % 7} d") for i in range(200)]
+def test_full_filter_and_no_codes_change_nothing(spark, monkeypatch):
+    """Where the bitmap tells nothing apart every word may be frequent; without short numbers words are told by their hash."""
+    rows = [("en", f"a b c{i % 7} d. rare{i}") for i in range(200)]
     docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
-    monkeypatch.setattr(co, "frequent_words", lambda texts, least: np.full(co.FILTER_BITS // 8, 255, np.uint8))
+    plain = co.vocabulary
+
+    def full(texts, least):
+        known = plain(texts, least)
+        return co.Vocabulary(known.words, np.full(co.FILTER_BITS // 8, 255, np.uint8), known.keys, known.codes)
+
+    monkeypatch.setattr(co, "vocabulary", full)
+    assert got(co.collocations(docs)) == brute(rows, 3, 10, 2000, 50)
+    monkeypatch.setattr(co, "vocabulary", plain)
+    monkeypatch.setattr(co, "CODES", 2)
     assert got(co.collocations(docs)) == brute(rows, 3, 10, 2000, 50)
 
 
 def test_windows_start_at_every_word():
-    """Each word starts one window; distinct windows of a batch carry their number."""
+    """Each word starts one window; distinct windows of a batch carry their number; a rare word ends its window."""
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en"], "text": ["a b c, a b c", "b c odd b"]})
+    r = co._read(batch)
+    strings = r.strings.to_pylist()
+    keys = np.sort(r.key[[strings.index(x) for x in "abc"]])
 
     class Shared:
-        value = np.full(co.FILTER_BITS // 8, 255, np.uint8)
+        value = (np.zeros(co.FILTER_BITS // 8, np.uint8), keys, np.arange(3) + 2)
 
-    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en"], "text": ["a b c, a b c", "b c"]})
+    name = {co.PAD: "", co.RARE: "?", **{int(i + 2): strings[r.key.tolist().index(k)] for i, k in enumerate(keys.tolist())}}
     out = next(co._windows(Shared, 3)(iter([batch]))).to_pylist()
-    assert sorted((r["w1"], r["w2"], r["w3"], r["n"]) for r in out) == [("a", "b", "c", 2), ("b", "c", "", 3), ("c", "", "", 3)]
+    assert sorted((name[x["w1"]], name[x["w2"]], name[x["w3"]], x["n"]) for x in out) == [
+        ("?", "", "", 1), ("a", "b", "c", 2), ("b", "", "", 1), ("b", "c", "", 2), ("b", "c", "?", 1), ("c", "", "", 2), ("c", "?", "", 1)]
 
 
 def test_counts_beyond_64_bits(spark):
     """Products of counts of 10**12 are exact."""
     a, l, r = 10**12 - 1, 10**12 + 7, 10**12 + 9
-    row = spark.createDataFrame([("en", "x y", 2, a), ("en", "x", 1, l), ("en", "y", 1, r), ("en", "", 0, 2 * l)], "lang string, phrase string, size int, f long")
-    assert got(co.rank(row, co.TOP, co.SHARE)) == [("en", 1, "x y", a, l, r, 2 * l, co.SCALE * a * a // (l * r))]
+    counts = spark.createDataFrame([("en", [5, 6], a), ("en", [5], l), ("en", [6], r), ("en", [], 2 * l)], "lang string, ws array<long>, f long")
+    words = spark.createDataFrame([(5, "x"), (6, "y")], "code long, word string")
+    assert got(co.rank(counts, words, co.TOP, co.SHARE)) == [("en", 1, "x y", a, l, r, 2 * l, co.SCALE * a * a // (l * r))]

@@ -101,3 +101,14 @@ def test_no_language_to_learn_from(spark, sf):
     """Texts stay where no row is labelled."""
     docs = spark.createDataFrame([(1, "some words", None), (2, "other words", None), (3, "123", None), (4, None, None)], "doc_id long, text string, lang string")
     assert {r["doc_id"] for r in cp.language(spark, docs, sf).collect()} == {1, 2}
+
+
+def test_near_duplicates_go_by_row(spark, sf):
+    """A text that shares its doc_id with a copy of another text is no copy itself."""
+    a, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "az")
+    data = [(3, a), (7, a), (7, z), (9, z), (None, a), (8, None), (8, "")]
+    docs = spark.createDataFrame([(*r, "en") for r in data], "doc_id long, text string, lang string")
+    got = Counter((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, sf).collect())
+    assert got == Counter({(3, a): 1, (9, z): 1, (None, a): 1, (8, None): 1, (8, ""): 1})
+    plain = docs.where("text = '" + a + "'")
+    assert Counter(r["doc_id"] for r in cp.near_duplicates(spark, plain, sf).collect()) == Counter([3, None])

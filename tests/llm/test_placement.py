@@ -57,3 +57,16 @@ def test_odd_rows(spark, tmp_path):
     assert p.place(docs.where("false"), NAMES).count() == 0
     p.write_placed(docs, str(tmp_path / "out"), NAMES)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_read_back(spark, tmp_path):
+    """Each shard is a folder of its own, with whole texts; a very long one, too."""
+    docs = spark.createDataFrame([(i, "text " * (i + 1) + ("x" * 2_000_000 if i == 3 else "")) for i in range(200)] + [(None, "a"), (None, None)], "doc_id long, text string")
+    path = str(tmp_path / "placed")
+    p.write_placed(docs, path, NAMES, spread=["text"])
+    back = p.read_placed(spark, path, "doc_id long, text string")
+    assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=repr) == sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr)
+    one = back.where("shard = 'shard-003'")
+    assert {r["slot"] for r in one.collect()} == {r["slot"] for r in p.place(docs, NAMES, spread=["text"]).where("shard = 'shard-003'").collect()}
+    p.write_placed(docs.where("false"), str(tmp_path / "none"), NAMES)
+    assert p.read_placed(spark, str(tmp_path / "none"), "doc_id long, text string").count() == 0
