@@ -9,7 +9,7 @@ from ladle.operators import encode, evaluation, linear, sampling, scoring, tfidf
 from ladle.plans import inputs, training
 from ladle.plans.catalog.registry import query, rounded
 from ladle.plans.inputs import CANDIDATES_SQL, LABELLED_SQL
-from ladle.session import materialize
+from ladle.session import materialize, scratch_path
 
 _NUMERIC, _CATEGORICAL = ["cook_time_minutes", "calories"], ["title", "kind"]
 
@@ -211,6 +211,13 @@ def grid_search(spark, sf):
     return training.grid_search(data, lr, grid, 5, 4)
 
 
+@query("text_grid")
+def text_grid(spark, sf):
+    """Word rankers over ranges, vocabulary floors, term weights and strengths, with a ledger that a restart reads."""
+    return training.tune_text(inputs.labelled_text(spark, sf), "doc_id", "text", "word", [(1, 1), (1, 2)], [1, 3], [False, True], "svm", [0.03, 0.3], n_folds=3,
+                              ledger=scratch_path(spark, "ledger"))
+
+
 @query("fold_vocabulary", """
 WITH f AS (
   SELECT doc_id, text, repeat, (row_number() OVER (PARTITION BY repeat, label ORDER BY md5('42:' || repeat || ':' || doc_id), doc_id) - 1) % 5 AS fold

@@ -23,6 +23,7 @@ from ladle.operators.ranks import rank_blend
 from ladle.operators.skew import attach
 from ladle.operators.tfidf import TfidfModel, fit_counts, text_term_counts
 from ladle.session import materialize
+from ladle.sources.readers import file_exists
 
 
 @dataclass(frozen=True)
@@ -402,29 +403,40 @@ def tune_text(
     df: DataFrame, key: str, text: str, analyzer: str, ranges: Sequence[tuple[int, int]],
     min_dfs: Sequence[int], sublinears: Sequence[bool], model: str, cs: Sequence[float],
     l1s: Sequence[bool] = (False,), balances: Sequence[bool] = (False,), n_folds: int = 5, max_iter: int = 400,
+    ledger: str | None = None,
 ) -> DataFrame:
-    """Grid search over text settings and model settings.
+    """Mean held-out AUC of every point of a grid of text and model settings, best first.
 
-    Term counts are stored once per n-gram range and shared by every point; vocabulary and IDF are fitted
-    inside each fold's training part.
+    All points and folds of an n-gram range go through the rows together, as many at a time as MAX_TOGETHER allows. With ``ledger``
+    (a folder) the points of each range are appended once they are done, and a restart goes on after them.
     """
-    rows = materialize(sampling.fold_assignment(df.select(key, "label"), "label", key, n_folds), "folds")
-    results = None
+    spark = df.sparkSession
+    rows = materialize(df.select(key, "label"), "rows")
+    folds = materialize(sampling.fold_assignment(rows, "label", key, n_folds).select(key, F.lit(0).alias("repeat"), "fold"), "folds")
+    parts = []
     for low, high in ranges:
-        base = TextSpec(analyzer, low, high, 1, False, model, 1.0)
-        counts = text_counts(df, base, key, text)
-        for m, s, c, l1, b in ((m, s, c, l1, b) for m in min_dfs for s in sublinears for c in cs for l1 in l1s
-                               for b in balances):
-            spec = TextSpec(analyzer, low, high, m, s, model, c, l1, b)
-            for f in range(n_folds):
-                train, held = rows.where(F.col("fold") != f).drop("fold"), rows.where(F.col("fold") == f).drop("fold")
-                ranker = fit_ranker(train, counts, spec, key, max_iter)
-                own = counts.join(held.select(key), key, "left_semi")
-                part = ranker.score_counts(held, own, key, "score").select(
-                    "label", "score", F.lit(str(spec)).alias("params"), F.lit(f).alias("fold"))
-                results = part if results is None else results.unionByName(part)
-    auc = evaluation.roc_auc(materialize(results, "tuning"), groups=["params", "fold"])
-    return auc.groupBy("params").agg(F.avg("roc_auc").alias("mean_auc")).orderBy(F.desc("mean_auc"), "params")
+        done = f"{ledger}/{analyzer}-{low}-{high}-{model}" if ledger else None
+        if done and file_exists(spark, f"{done}/_SUCCESS"):
+            parts.append(spark.read.parquet(done))
+            continue
+        points = [TextSpec(analyzer, low, high, m, s, model, c, l1, b) for m in min_dfs for s in sublinears for c in cs for l1 in l1s for b in balances]
+        counts = text_counts(df, points[0], key, text)
+        terms = counts.select("term").distinct().count()
+        at_once = max(1, MAX_TOGETHER // max(1, terms * n_folds))
+        scores = None
+        for i in range(0, len(points), at_once):
+            part = materialize(fold_scores(rows, counts, {str(p): p for p in points[i : i + at_once]}, folds, key, max_iter), "tuning")
+            scores = part if scores is None else scores.union(part)
+        auc = evaluation.roc_auc(scores, groups=["model", "fold"])
+        means = auc.groupBy(F.col("model").alias("params")).agg(F.avg("roc_auc").alias("mean_auc"))
+        if done:
+            means.write.mode("overwrite").parquet(done)
+            means = spark.read.parquet(done)
+        parts.append(means)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out.orderBy(F.desc("mean_auc"), "params")
 
 
 def fit_structured(
