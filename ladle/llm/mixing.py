@@ -292,14 +292,21 @@ def _starts(t: np.ndarray, level: int) -> np.ndarray:
 
 
 def _pack_paths(n: np.ndarray, t: np.ndarray) -> bytes:
-    """Counts along the bits of sorted triples (CLASS_BITS + 1 rows); what neighbours share is sent once."""
-    packed = [_squeeze(n[k][_starts(t, k)]) for k in range(CLASS_BITS + 1)]
+    """Counts along the bits of sorted triples (CLASS_BITS + 1 rows); what neighbours share is sent once. After the first row it is what
+    each bit leaves aside, mostly nothing."""
+    packed = [_squeeze(n[0][_starts(t, 0)])]
+    for k in range(1, CLASS_BITS + 1):
+        at = _starts(t, k)
+        packed.append(_squeeze(n[k - 1][at] - n[k][at]))
     return np.array([len(x) for x in packed], np.int64).tobytes() + b"".join(packed)
 
 
 def _unpack_paths(raw: bytes, t: np.ndarray) -> np.ndarray:
     cut = np.cumsum([8 * (CLASS_BITS + 1), *np.frombuffer(raw, np.int64, CLASS_BITS + 1).tolist()]).tolist()
-    return np.stack([_loosen(raw[cut[k] : cut[k + 1]])[np.cumsum(_starts(t, k)) - 1] for k in range(CLASS_BITS + 1)])
+    out = np.stack([_loosen(raw[cut[k] : cut[k + 1]])[np.cumsum(_starts(t, k)) - 1] for k in range(CLASS_BITS + 1)])
+    for k in range(CLASS_BITS):
+        np.subtract(out[k], out[k + 1], out=out[k + 1])
+    return out
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -151,3 +151,17 @@ def test_long_text_and_clashing_names(spark):
     docs = spark.createDataFrame([(i, "a b c d " * (50000 if i == 3 else 5), 1, 2, 3) for i in range(30)], "doc_id long, text string, fold int, n_bytes int, base long")
     got = {r["doc_id"]: r for r in mixing.score(docs).collect()}
     assert got[3]["n_tokens"] == 200001 and all(math.isfinite(r["score"]) for r in got.values())
+
+
+def test_answers_send_what_bits_leave_aside():
+    """Answers come back whole, and are shorter than the counts along every bit."""
+    rng = np.random.default_rng(3)
+    table = np.unique((rng.integers(0, 4000, 60_000) << mixing.CLASS_BITS) | rng.integers(0, mixing.CLASSES, 60_000))
+    counts = rng.zipf(1.5, len(table)).clip(max=5000).astype(np.int64)
+    t = np.unique(np.r_[table[::2], (rng.integers(0, 5000, 3000) << mixing.CLASS_BITS) | rng.integers(0, mixing.CLASSES, 3000)])
+    n = mixing._paths(table, counts, t)
+    raw = mixing._pack_paths(n, t)
+    assert (mixing._unpack_paths(raw, t) == n).all()
+    whole = sum(len(mixing._squeeze(n[k][mixing._starts(t, k)])) for k in range(mixing.CLASS_BITS + 1))
+    print(len(raw), whole)
+    assert len(raw) < 0.8 * whole
